@@ -19,6 +19,23 @@ def _null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Dat
     return left.join(r, cond).drop(*[f"_k_{c}" for c in by])
 
 
+def bin_index(x, edges: Sequence[float]):
+    """0-based bin of ``x`` for ascending edges (last bin closed, outside -> NULL).
+    Equal integer steps use arithmetic; other edges a CASE ladder (exact at edges)."""
+    edges = [float(e) for e in edges]
+    nb = len(edges) - 1
+    step = edges[1] - edges[0]
+    regular = all(e == int(e) for e in edges) and all(edges[i + 1] - edges[i] == step for i in range(nb))
+    if regular:
+        inside = (x >= edges[0]) & (x <= edges[-1])
+        return F.when(inside, F.least(F.floor((x - F.lit(edges[0])) / F.lit(step)), F.lit(nb - 1)))
+    b = None
+    for i in range(nb):
+        cond = (x >= edges[i]) & ((x < edges[i + 1]) if i < nb - 1 else (x <= edges[i + 1]))
+        b = F.when(cond, F.lit(i).cast("bigint")) if b is None else b.when(cond, F.lit(i).cast("bigint"))
+    return b
+
+
 def hist(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
     """Counts per bin for ascending ``edges``: bins [e_i, e_{i+1}), the last one closed;
     values outside [e_0, e_last] are not counted. Output: bin (0-based), lo, hi, count;
@@ -26,16 +43,12 @@ def hist(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
     edges = [float(e) for e in edges]
     nb = len(edges) - 1
     x = F.col(col).cast("double")
-    # Edges are few; a CASE ladder keeps arbitrary (unequal) edges exact.
-    b = None
-    for i in range(nb):
-        cond = (x >= edges[i]) & ((x < edges[i + 1]) if i < nb - 1 else (x <= edges[i + 1]))
-        b = F.when(cond, F.lit(i)) if b is None else b.when(cond, F.lit(i))
+    b = bin_index(x, edges)
     counts = df.select(b.alias("bin")).where(F.col("bin").isNotNull()).groupBy("bin").agg(
         F.count(F.lit(1)).alias("count")
     )
     spark = df.sparkSession
-    frame = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(nb)], "bin int, lo double, hi double")
+    frame = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(nb)], "bin bigint, lo double, hi double")
     # The bin frame has one row per edge pair (a fixed, caller-given size).
     return (
         F.broadcast(frame)
