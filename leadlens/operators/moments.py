@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +72,68 @@ class Moments:
         return xx, xy, yy, self.mu_x + sx / n, self.mu_y + sy / n, n
 
 
+# Above this many features the sums of products exceed whole-stage codegen's field limit;
+# partial Gram matrices are then formed per partition with BLAS and summed by Spark.
+JVM_MAX_FEATURES = 10
+
+
+def _moments_partials(base: DataFrame, feats: list[str], group: str | None, mu_x: np.ndarray, mu_y: float) -> Moments:
+    """Per partition (and group): n, shifted Z'Z, Z'y, y'y from Arrow batches with NumPy;
+    emitted as (group, slot, value) rows and summed with a grouped aggregate, so only
+    (p+1)(p+2)/2 + p + 2 numbers per group ever reach the driver."""
+    p = len(feats)
+    q = p + 1
+    iu = np.triu_indices(q)
+    n_tri = len(iu[0])
+    xcols = [f"_x{i}" for i in range(p)]
+    grouped = group is not None
+
+    def partials(batches):
+        acc: dict = {}
+        for pdf in batches:
+            keys = pdf["_g"] if grouped else None
+            for g, sub in (pdf.groupby(keys, dropna=False, sort=False) if grouped else [(None, pdf)]):
+                x = sub[xcols].to_numpy(dtype=np.float64) - mu_x
+                y = sub["_y"].to_numpy(dtype=np.float64) - mu_y
+                z = np.empty((len(sub), q))
+                z[:, 0] = 1.0
+                z[:, 1:] = x
+                a = acc.setdefault(g, [np.zeros((q, q)), np.zeros(q), 0.0])
+                a[0] += z.T @ z
+                a[1] += z.T @ y
+                a[2] += float(y @ y)
+        for g, (zz, zy, yy) in acc.items():
+            vals = np.concatenate([zz[iu], zy, [yy]])
+            yield pd.DataFrame({"_g": [None if g is None else str(g)] * len(vals),
+                                "slot": np.arange(len(vals), dtype=np.int32), "value": vals})
+
+    gtype = "string"
+    summed = (base.mapInPandas(partials, f"_g {gtype}, slot int, value double")
+              .groupBy("_g", "slot").agg(F.sum("value").alias("value")).collect())
+    by_g: dict = {}
+    for r in summed:
+        by_g.setdefault(r["_g"], np.zeros(n_tri + q + 1))[r["slot"]] = r["value"]
+    # Recover the original group values' types from the data (few groups).
+    if grouped:
+        originals = {str(v): v for v in [r[0] for r in base.select("_g").distinct().collect()]}
+        keys = sorted(by_g, key=lambda k: (originals.get(k) is None, originals.get(k)))
+        groups = [originals.get(k) for k in keys]
+    else:
+        keys, groups = [None], [None]
+    G = len(keys)
+    zz = np.zeros((G, q, q))
+    zy = np.zeros((G, q))
+    yy = np.zeros(G)
+    for gi, k in enumerate(keys):
+        v = by_g.get(k, np.zeros(n_tri + q + 1))
+        m = np.zeros((q, q))
+        m[iu] = v[:n_tri]
+        zz[gi] = m + np.triu(m, 1).T
+        zy[gi] = v[n_tri:n_tri + q]
+        yy[gi] = v[-1]
+    return Moments(feats, groups, zz[:, 0, 0].copy(), zz, zy, yy, mu_x, mu_y)
+
+
 def moments(df: DataFrame, features: Sequence[str], label: str, group: str | None = None,
             shift: bool = True) -> Moments:
     """Two aggregates: means (for the shift), then all sums of products per ``group``
@@ -88,6 +151,8 @@ def moments(df: DataFrame, features: Sequence[str], label: str, group: str | Non
         mu_y = float(m[p] or 0.0)
     else:
         mu_x, mu_y = np.zeros(p), 0.0
+    if p > JVM_MAX_FEATURES:
+        return _moments_partials(base, feats, group, mu_x, mu_y)
     xs = [F.col(f"_x{i}") - F.lit(float(mu_x[i])) for i in range(p)]
     yv = F.col("_y") - F.lit(mu_y)
     aggs = [F.count(F.lit(1)).alias("n")]

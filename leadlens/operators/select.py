@@ -155,11 +155,7 @@ def exhaustive(spark: SparkSession, mom: Moments, min_features: int = 1, max_fea
     scored = spark.range(1, 2 ** p).mapInPandas(score, "subset_id long, k int, avg_mse double")
     scored = scored.where((F.col("k") >= min_features) & (F.col("k") <= max_features))
     best = scored.groupBy("k").agg(F.min_by(F.struct("avg_mse", "subset_id"), F.struct("avg_mse", "subset_id")).alias("b"))
-    names = F.array(*[F.lit(n) for n in mom.names])
-    bits = F.sequence(F.lit(0), F.lit(p - 1))
-    return best.select(
-        "k",
-        F.transform(F.filter(bits, lambda i: F.shiftright(F.col("b.subset_id"), i).bitwiseAND(F.lit(1)) == 1),
-                    lambda i: F.element_at(names, i + 1)).alias("features"),
-        F.col("b.avg_mse").alias("avg_mse"),
-    )
+    names = "array(" + ", ".join("'" + n.replace("'", "''") + "'" for n in mom.names) + ")"
+    picked = F.expr(f"transform(filter(sequence(0, {p - 1}), i -> (shiftright(b.subset_id, i) & 1) = 1), "
+                    f"i -> element_at({names}, i + 1))")
+    return best.select("k", picked.alias("features"), F.col("b.avg_mse").alias("avg_mse"))
