@@ -98,7 +98,7 @@ def exact_quantiles(
         aggs.append(F.max(F.when(F.col("_r") == F.floor(h), F.col("_x"))).alias(f"_lo_{nm}"))
         aggs.append(F.max(F.when(F.col("_r") == F.ceil(h), F.col("_x"))).alias(f"_hi_{nm}"))
     agg = ranked.groupBy(*by).agg(*aggs)
-    out = [*by, F.col("n")]
+    out = [*by, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")]
     for p, nm in zip(probs, names):
         h = (F.col("n") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo_{nm}"), F.col(f"_hi_{nm}")

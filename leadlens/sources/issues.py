@@ -43,6 +43,8 @@ ISSUE_SCHEMA = T.StructType(
 )
 ISSUE_COLUMNS = [f.name for f in ISSUE_SCHEMA.fields]
 
+ISSUE_SQL_TABLES = ["orders", "lineitem", "customer", "nation"]
+
 # The derivation as SQL, runnable unchanged by Spark and DuckDB.
 ISSUES_SQL = """
 WITH li AS (
