@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import exact_quantiles
+from .ordering import exact_quantiles, quantiles_from_ranked, ranked_value_counts
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -86,31 +86,34 @@ def equal_width_hist(df: DataFrame, col: str, bins: int = 10, by: Sequence[str]
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Box-plot statistics of ``col`` per ``by`` group: n, mean, min, q1, median, q3, max,
     iqr, whiskers (the most extreme data points within 1.5 IQR of the quartiles) and the
-    number of outliers beyond them. Quartiles are exact (linear interpolation)."""
+    number of outliers beyond them. Quartiles are exact (linear interpolation).
+
+    The data is scanned once, into (group, value, count); quartiles, whiskers, outlier
+    counts and the mean are all computed from that distinct-value table."""
     by = list(by)
-    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
+    cum = ranked_value_counts(df, col, by)
+    q = quantiles_from_ranked(cum, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("_lf", F.col("q1") - 1.5 * F.col("iqr")).withColumn("_hf", F.col("q3") + 1.5 * F.col("iqr"))
-    base = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    base = cum.select(*by, "_x", "_c")
     if by:
         j = _null_safe_join(base, q, by)
     else:
         # One statistics row: pass it as literals rather than joining.
-        row = q.collect()
-        if not row:
+        r = q.first().asDict()
+        if not r["n"]:
             return q.drop("_lf", "_hf").withColumns(
                 {k: F.lit(None).cast("double") for k in ["mean", "min", "max", "lower_whisker", "upper_whisker"]}
             ).withColumn("n_outliers", F.lit(0).cast("bigint"))
-        r = row[0].asDict()
         j = base.withColumns({k: F.lit(v) for k, v in r.items()})
-    x = F.col("_x")
+    x, c = F.col("_x"), F.col("_c")
     agg = j.groupBy(*by, "n", "q1", "median", "q3", "iqr").agg(
-        F.avg(x).alias("mean"),
+        (F.sum(x * c) / F.sum(c)).alias("mean"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
         F.min(F.when(x >= F.col("_lf"), x)).alias("lower_whisker"),
         F.max(F.when(x <= F.col("_hf"), x)).alias("upper_whisker"),
-        F.count_if((x < F.col("_lf")) | (x > F.col("_hf"))).alias("n_outliers"),
+        F.sum(F.when((x < F.col("_lf")) | (x > F.col("_hf")), c).otherwise(0)).alias("n_outliers"),
     )
     return agg.select(
         *by, F.col("n").cast("bigint").alias("n"), "mean", "min", "q1", "median", "q3", "max", "iqr",

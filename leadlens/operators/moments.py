@@ -185,7 +185,13 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlations of every column pair (long form: x, y, corr), pairwise
     complete, from one aggregate of ``corr`` expressions."""
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
-    structs = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"_c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
+    # Only the upper triangle is aggregated (corr is symmetric); it is mirrored after.
+    uniq = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    slot = {p: f"_c{i}" for i, p in enumerate(uniq)}
+    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(slot[(a, b)]) for a, b in uniq])
+    structs = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            c = slot[(a, b)] if i <= j else slot[(b, a)]
+            structs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(c).alias("corr")))
     return agg.select(F.inline(F.array(*structs)))

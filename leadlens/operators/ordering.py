@@ -1,15 +1,17 @@
 """Order-dependent results without one-task windows.
 
 A window ``ORDER BY`` with no (or a skewed) ``PARTITION BY`` runs in a single task. Here
-rows are range-partitioned on (by, order), sorted inside each partition, numbered by
-position, and the numbering is made global with a small per-(partition, group) offset
-table (at most partitions + groups rows). The ranged rows are checkpointed to the shared
-checkpoint folder first, so the offset table and the rows it is joined back to see the
-same partitions even when tasks are retried.
+rows are range-partitioned on (by, order) so that partition ids follow the global order,
+positions (or running weights) are computed inside each partition, and a small
+per-(partition, group) offset table (at most partitions + groups rows) turns them into
+global ones. The range-partitioned rows are written once as Parquet under the shared
+checkpoint folder before the offsets are taken, so offsets and rows come from the same
+partitioning even when tasks are retried or executors are lost.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -24,6 +26,25 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write to the shared checkpoint folder and read back (cuts lineage, pins the
+    partition assignment computed above)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/leadlens-rank-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _join_offsets(ranged: DataFrame, blocks: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
+    blocks = blocks.select(*[F.col(c).alias(f"_b_{c}") for c in keep])
+    cond = F.col("_pid") == F.col("_b__pid")
+    for g in by:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_b_{g}"))
+    # Without groups the offset table has at most one row per partition: a proven bound.
+    right = F.broadcast(blocks) if not by else blocks
+    return ranged.join(right, cond)
+
+
 def rank_rows(
     df: DataFrame,
     order: Sequence[str],
@@ -37,37 +58,56 @@ def rank_rows(
     must identify rows reproducibly."""
     by, order = list(by), list(order)
     keys = by + order
-    checkpoint_root(df.sparkSession)  # DataFrame.checkpoint needs the folder set
-    ranged = (
+    ranged = _materialize(
         df.repartitionByRange(_partitions(df), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_pid", F.shiftright("_mid", 33))
-        .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
-        .drop("_mid")
-    )
-    blocks = ranged.groupBy("_pid", *by).agg(
-        F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_cnt")
     )
+    ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33))
+              .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33))).drop("_mid"))
+    blocks = ranged.groupBy("_pid", *by).agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
     keep = ["_pid", *by, "_first", "_before"]
     if size_col:
-        blocks = blocks.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*by)))
-        keep.append(size_col)
-    blocks = blocks.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(keep)])
-    cond = F.col("_pid") == F.col("_b0")
-    for i, g in enumerate(by, start=1):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_b{i}"))
-    # Without groups the offset table has at most one row per partition: a proven bound.
-    right = F.broadcast(blocks) if not by else blocks
-    out = ranged.join(right, cond)
-    nb = len(by)
-    out = out.withColumn(rank_col, F.col(f"_b{nb + 2}") + F.col("_idx") - F.col(f"_b{nb + 1}"))
+        blocks = blocks.withColumn("_size", F.sum("_cnt").over(Window.partitionBy(*by)))
+        keep.append("_size")
+    out = _join_offsets(ranged, blocks, by, keep)
+    out = out.withColumn(rank_col, F.col("_b__before") + F.col("_idx") - F.col("_b__first"))
     if size_col:
-        out = out.withColumnRenamed(f"_b{nb + 3}", size_col)
-    return out.drop("_pid", "_idx", *[f"_b{i}" for i in range(len(keep))])
+        out = out.withColumn(size_col, F.col("_b__size"))
+    return out.drop("_pid", "_idx", *[f"_b_{c}" for c in keep])
+
+
+def cumulative_weights(
+    df: DataFrame,
+    order: Sequence[str],
+    weight: str,
+    by: Sequence[str] = (),
+    before_col: str = "cum_before",
+    total_col: str | None = None,
+) -> DataFrame:
+    """Add ``before_col``: the sum of ``weight`` over rows that sort before this one
+    within its ``by`` group (``order`` should be unique within a group, e.g. distinct
+    values with their counts). The running sum is a window per (range partition, group),
+    so no window ever holds more than one range partition."""
+    by, order = list(by), list(order)
+    keys = by + order
+    ranged = _materialize(df.repartitionByRange(_partitions(df), *keys).withColumn("_pid", F.spark_partition_id()))
+    local = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumn("_local", F.coalesce(F.sum(weight).over(local), F.lit(0)))
+    blocks = ranged.groupBy("_pid", *by).agg(F.sum(weight).alias("_w"))
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_w").over(before), F.lit(0)))
+    keep = ["_pid", *by, "_before"]
+    if total_col:
+        blocks = blocks.withColumn("_total", F.sum("_w").over(Window.partitionBy(*by)))
+        keep.append("_total")
+    out = _join_offsets(ranged, blocks, by, keep)
+    out = out.withColumn(before_col, F.col("_b__before") + F.col("_local"))
+    if total_col:
+        out = out.withColumn(total_col, F.col("_b__total"))
+    return out.drop("_pid", "_local", *[f"_b_{c}" for c in keep])
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), col: str = "row_number") -> DataFrame:
@@ -75,32 +115,48 @@ def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), col
     return rank_rows(df, order, by, rank_col="_r0").withColumn(col, F.col("_r0") + 1).drop("_r0")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    names: Sequence[str] | None = None,
-) -> DataFrame:
-    """Exact linearly interpolated quantiles (type 7, DuckDB ``quantile_cont``) of the
-    non-null values of ``col`` per ``by`` group, plus the group's non-null count ``n``.
+def ranked_value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., _x, _c, _cb, _n): each distinct non-null value of ``col`` per group with
+    its count, the count of smaller values, and the group's non-null total. Only distinct
+    values are shuffled and ranked (a partial aggregate runs first)."""
+    by = list(by)
+    vals = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    return cumulative_weights(counts, ["_x"], "_c", by, before_col="_cb", total_col="_n")
+
 
-    Memory per task stays bounded for any number of distinct values: ranks come from
-    :func:`rank_rows`, then one conditional aggregate picks the two order statistics
-    around each position h = (n-1)p."""
+def quantiles_from_ranked(cum: DataFrame, probs: Sequence[float], by: Sequence[str] = (),
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles from a :func:`ranked_value_counts` table."""
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
-    vals = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    ranked = rank_rows(vals, ["_x"], by, rank_col="_r", size_col="_n")
+    lo_end, hi_end = F.col("_cb"), F.col("_cb") + F.col("_c")
     aggs = [F.max("_n").alias("n")]
     for p, nm in zip(probs, names):
         h = (F.col("_n") - 1) * F.lit(float(p))
-        aggs.append(F.max(F.when(F.col("_r") == F.floor(h), F.col("_x"))).alias(f"_lo_{nm}"))
-        aggs.append(F.max(F.when(F.col("_r") == F.ceil(h), F.col("_x"))).alias(f"_hi_{nm}"))
-    agg = ranked.groupBy(*by).agg(*aggs)
+        for tag, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((lo_end <= r) & (r < hi_end), F.col("_x"))).alias(f"_{tag}_{nm}"))
+    agg = cum.groupBy(*by).agg(*aggs)
     out = [*by, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")]
     for p, nm in zip(probs, names):
         h = (F.col("n") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo_{nm}"), F.col(f"_hi_{nm}")
         out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(nm))
     return agg.select(*out)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    col: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+) -> DataFrame:
+    """Exact linearly interpolated quantiles (type 7, DuckDB ``quantile_cont``) of the
+    non-null values of ``col`` per ``by`` group, plus the group's non-null count ``n``.
+
+    Values are first reduced to (group, value, count) by a partial aggregate, so only
+    distinct values are shuffled and ranked; cumulative counts then locate the two order
+    statistics around each position h = (n-1)p. Memory per task stays bounded for any
+    group size or number of distinct values."""
+    return quantiles_from_ranked(ranked_value_counts(df, col, by), probs, by, names)

@@ -55,3 +55,15 @@ def test_exact_quantiles_single_value_and_empty(spark):
     empty = spark.createDataFrame([], "x double")
     r = exact_quantiles(empty, "x", [0.5]).collect()  # one row, as a global SQL aggregate
     assert len(r) == 1 and r[0]["n"] == 0 and r[0]["q50"] is None
+
+
+def test_cumulative_weights_hot_group(spark):
+    from leadlens.operators.ordering import cumulative_weights
+
+    df, pdf = _df(spark)
+    counts = df.groupBy("g", "x").count()
+    out = cumulative_weights(counts, ["x"], "count", ["g"], total_col="tot").toPandas()
+    cp = pdf.groupby(["g", "x"], dropna=False).size().rename("count").reset_index().sort_values(["g", "x"])
+    cp["exp"] = cp.groupby("g", dropna=False)["count"].cumsum() - cp["count"]
+    m = out.merge(cp, on=["g", "x"])
+    assert len(m) == len(cp) and (m["cum_before"] == m["exp"]).all()
