@@ -114,7 +114,7 @@ def linspace(start: float, stop: float, num: int) -> Column:
     if num == 1:
         return F.array(F.lit(float(start)))
     step = (stop - start) / (num - 1)
-    return F.transform(F.sequence(F.lit(0), F.lit(num - 1)), lambda i: F.lit(float(start)) + i * F.lit(step))
+    return F.transform(F.sequence(F.lit(0), F.lit(num - 1)), lambda i: F.lit(float(start)) + i.cast("double") * F.lit(step))
 
 
 def logspace(start: float, stop: float, num: int) -> Column:

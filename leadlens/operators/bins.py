@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -165,12 +166,17 @@ def hist2d(df: DataFrame, x: str, y: str, x_edges: Sequence[float] | None = None
     )
 
 
+# Axial-coordinate factors of a pointy-top hexagonal grid: sqrt(3)/3 and 2/3.
+HEX_Q = math.sqrt(3.0) / 3.0
+HEX_R = 2.0 / 3.0
+
+
 def hexbin(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     """Counts per pointy-top hexagon of circumradius ``size`` (axial q, r), found by
     cube rounding of the fractional axial coordinates."""
     X, Y = F.col(x).cast("double"), F.col(y).cast("double")
-    qf = (F.sqrt(F.lit(3.0)) / 3 * X - Y / 3) / size
-    rf = (2.0 / 3 * Y) / size
+    qf = (F.lit(HEX_Q) * X - Y / F.lit(3.0)) / F.lit(float(size))
+    rf = (F.lit(HEX_R) * Y) / F.lit(float(size))
     sf = -qf - rf
     q, r, s = F.round(qf), F.round(rf), F.round(sf)
     dq, dr, ds = F.abs(q - qf), F.abs(r - rf), F.abs(s - sf)

@@ -236,7 +236,7 @@ def simple_ols_durbin_watson(spark, data_dir):
     with_issues(
         """SELECT bin, round(lo_ + bin * (hi_ - lo_) / 20, 6) AS lo, round(lo_ + (bin + 1) * (hi_ - lo_) / 20, 6) AS hi,
        CAST(count(*) AS BIGINT) AS count
-FROM (SELECT least(CAST(floor((x - lo_) / (hi_ - lo_) * 20) AS BIGINT), 19) AS bin, lo_, hi_
+FROM (SELECT least(CAST(floor(20 * (x - lo_) / (hi_ - lo_)) AS BIGINT), 19) AS bin, lo_, hi_
       FROM (SELECT x, min(x) OVER () AS lo_, max(x) OVER () AS hi_
             FROM (SELECT e / sqrt(sum(e * e) OVER () / (count(*) OVER () - 2)) AS x FROM fit)))
 GROUP BY bin, lo_, hi_""",

@@ -375,7 +375,7 @@ def hist_document_chars(spark, data_dir):
     with_issues(
         """SELECT bin, round(lo_ + bin * (hi_ - lo_) / 20, 6) AS lo, round(lo_ + (bin + 1) * (hi_ - lo_) / 20, 6) AS hi,
        CAST(count(*) AS BIGINT) AS count
-FROM (SELECT CASE WHEN hi_ = lo_ THEN 0 ELSE least(CAST(floor((x - lo_) / (hi_ - lo_) * 20) AS BIGINT), 19) END AS bin, lo_, hi_
+FROM (SELECT CASE WHEN hi_ = lo_ THEN 0 ELSE least(CAST(floor(20 * (x - lo_) / (hi_ - lo_)) AS BIGINT), 19) END AS bin, lo_, hi_
       FROM (SELECT x, min(x) OVER () AS lo_, max(x) OVER () AS hi_
             FROM (SELECT ln(date_sub('minute', created, resolutiondate)) AS x FROM issues
                   WHERE resolutiondate IS NOT NULL AND created IS NOT NULL
