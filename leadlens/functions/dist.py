@@ -155,3 +155,23 @@ def f_sf(f: float, d1: float, d2: float) -> float:
 def chi2_sf_2df(x: float) -> float:
     """Upper tail of chi-square with 2 degrees of freedom (exp(-x/2))."""
     return math.exp(-x / 2.0)
+
+
+def norm_ppf_sql(p: str) -> str:
+    """The AS 241 normal quantile as SQL text (same Horner order as :func:`norm_ppf_col`),
+    for engines without a built-in probit."""
+
+    def poly(coef, x):
+        acc = repr(coef[-1])
+        for c in reversed(coef[:-1]):
+            acc = f"(({acc}) * ({x}) + {c!r})"
+        return acc
+
+    q = f"(({p}) - 0.5)"
+    rc = f"(0.180625 - {q} * {q})"
+    central = f"({q} * {poly(_A, rc)} / {poly(_B, rc)})"
+    r = f"sqrt(-ln(CASE WHEN {q} < 0 THEN ({p}) ELSE 1.0 - ({p}) END))"
+    mid = f"({poly(_C, f'{r} - 1.6')} / {poly(_D, f'{r} - 1.6')})"
+    far = f"({poly(_E, f'{r} - 5.0')} / {poly(_F, f'{r} - 5.0')})"
+    tail = f"(CASE WHEN {r} <= 5.0 THEN {mid} ELSE {far} END)"
+    return f"(CASE WHEN abs({q}) <= 0.425 THEN {central} ELSE (CASE WHEN {q} < 0 THEN -{tail} ELSE {tail} END) END)"

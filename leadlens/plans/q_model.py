@@ -86,7 +86,20 @@ def shapiro_summary_length(spark, data_dir):
     return rounded(stattests.shapiro(issues(spark, data_dir), "summary_length"))
 
 
-@register("qq_summary_length")
+def _qq_sql() -> str:
+    from ..functions.dist import norm_ppf_sql
+
+    z = norm_ppf_sql("CAST(i AS DOUBLE) / (n + 1)")
+    return with_issues(
+        f"""SELECT CAST(i AS BIGINT) AS rank, round(x, 6) AS sample, round({z}, 6) AS theoretical,
+       round(mu + sd * {z}, 6) AS line
+FROM (SELECT x, row_number() OVER (ORDER BY x) AS i, count(*) OVER () AS n, avg(x) OVER () AS mu,
+             stddev_pop(x) OVER () AS sd
+      FROM (SELECT CAST(summary_length AS DOUBLE) AS x FROM issues WHERE summary_length IS NOT NULL))"""
+    )
+
+
+@register("qq_summary_length", _qq_sql())
 def qq_summary_length(spark, data_dir):
     """Normal Q-Q points of summary_length with the standardised line."""
     return rounded(stattests.qq_points(issues(spark, data_dir), "summary_length", line="s"))
