@@ -36,10 +36,12 @@ def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100, max_depth: int | None = 50,
                max_leaves: int | None = 50, subset: str = "all", seed: int = 0, bootstrap: bool = True,
-               min_instances: int = 1):
+               min_instances: int = 1, max_memory_mb: int = 1024):
+    """Forest of depth-limited trees; ``max_memory_mb`` is the per-iteration node
+    statistics budget (larger = more nodes split per pass over the data = fewer passes)."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
                                maxDepth=depth_for(max_depth, max_leaves), featureSubsetStrategy=subset, seed=seed,
-                               bootstrap=bootstrap, minInstancesPerNode=min_instances)
+                               bootstrap=bootstrap, minInstancesPerNode=min_instances, maxMemoryInMB=max_memory_mb)
     return rf.fit(assemble(df, features))
 
 

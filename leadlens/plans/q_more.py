@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import scalar as S
 from ..operators import bins, clean, split
 from ..operators.ordering import row_numbers
 from ..sources.issues import issues
@@ -122,25 +121,3 @@ def open_issue_rows_at_positions(spark, data_dir):
     return numbered.where(F.col("position").isin(*CASE_POSITIONS)).select(
         "position", "key", "status", "priority", "issue_type", "reporter", "assignee", "vote_count", "comment_count",
         "watch_count")
-
-
-@register(
-    "number_grids",
-    """SELECT 'trees' AS grid, CAST(i AS INTEGER) AS i, CAST(CAST(10 + i * 10.0::DOUBLE AS BIGINT) AS DOUBLE) AS value FROM range(0, 100) t(i)
-UNION ALL SELECT 'log_alpha', CAST(i AS INTEGER), round(power(10.0, 0.0 + i * (8.0 / 199)), 6) FROM range(0, 200) t(i)
-UNION ALL SELECT 'edges', CAST(i AS INTEGER), CAST(i * 100 AS DOUBLE) FROM range(0, 20) t(i)""",
-)
-def number_grids(spark, data_dir):
-    """The parameter grids as data: 100 tree counts 10..1000 (linspace, truncated), 200
-    alphas 1e0..1e8 (logspace), histogram edges 0..1900 step 100 (arange)."""
-    df = spark.range(1)
-    grids = [
-        ("trees", F.transform(S.linspace(10, 1000, 100), lambda v: v.cast("bigint").cast("double"))),
-        ("log_alpha", F.transform(S.logspace(0, 8, 200), lambda v: F.round(v, 6))),
-        ("edges", F.transform(S.arange(0, 2000, 100), lambda v: v.cast("double"))),
-    ]
-    out = None
-    for name, arr in grids:
-        part = df.select(F.lit(name).alias("grid"), F.posexplode(arr).alias("i", "value"))
-        out = part if out is None else out.unionByName(part)
-    return out.select("grid", F.col("i").cast("int"), "value")

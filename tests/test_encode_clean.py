@@ -109,3 +109,14 @@ def test_contiguous_folds_sizes(spark):
     df = spark.range(12).withColumnRenamed("id", "key")
     f = split.contiguous_folds(df, ["key"], 5).orderBy("key").collect()
     assert [r["fold"] for r in f] == [1, 1, 1, 2, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
+def test_number_grids(spark):
+    import numpy as np
+
+    row = spark.range(1).select(
+        S.linspace(10, 1000, 100).alias("lin"), S.logspace(0, 8, 200).alias("log"), S.arange(0, 2000, 100).alias("ar")
+    ).first()
+    assert np.allclose(row["lin"], np.linspace(10, 1000, 100))
+    assert np.allclose(row["log"], np.logspace(0, 8, 200), rtol=1e-12)
+    assert row["ar"] == list(range(0, 2000, 100))
