@@ -20,7 +20,8 @@ _CACHE: dict = {}
 
 
 def _memo(spark, data_dir, name, build):
-    k = (id(spark), data_dir, name)
+    # Keyed by application: a stopped and recreated session never sees stale frames.
+    k = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), data_dir, name)
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]
