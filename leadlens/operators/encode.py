@@ -118,21 +118,29 @@ class DummyEncoder(Estimator, _Persist):
     inputCols = Param(Params._dummy(), "inputCols", "columns", TypeConverters.toListString)
     dropFirst = Param(Params._dummy(), "dropFirst", "drop the first level", TypeConverters.toBoolean)
     keepInput = Param(Params._dummy(), "keepInput", "keep the source columns", TypeConverters.toBoolean)
+    maxLevels = Param(Params._dummy(), "maxLevels", "refuse to encode more levels than this", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCols: list | None = None, dropFirst: bool = True, keepInput: bool = False):
+    def __init__(self, inputCols: list | None = None, dropFirst: bool = True, keepInput: bool = False,
+                 maxLevels: int = 10000):
         super().__init__()
-        self._setDefault(inputCols=list(CATEGORICAL_FEATURES), dropFirst=True, keepInput=False)
+        self._setDefault(inputCols=list(CATEGORICAL_FEATURES), dropFirst=True, keepInput=False, maxLevels=10000)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "DummyEncoderModel":
         cols = self.getOrDefault("inputCols")
+        cap = self.getOrDefault("maxLevels")
         # All level sets in one job: (column, level) pairs, distinct.
         pairs = df.select(
             F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p")
         ).select("p.*").where(F.col("v").isNotNull()).distinct()
+        # Each level becomes a column, so the level list is the schema: fetch at most
+        # cap + 1 rows and refuse (collapse rare levels first) rather than truncate.
+        rows = pairs.limit(cap + 1).collect()
+        if len(rows) > cap:
+            raise ValueError(f"more than {cap} levels in {cols}; reduce levels (RareLevels) before dummy encoding")
         found: dict[str, list[str]] = {c: [] for c in cols}
-        for r in pairs.collect():  # one row per level: the size of the encoded schema
+        for r in rows:
             found[r["c"]].append(r["v"])
         spec = []
         for c in cols:

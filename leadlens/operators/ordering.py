@@ -57,11 +57,15 @@ def rank_rows(
     Ties get distinct consecutive ranks; include a unique key in ``order`` when the rank
     must identify rows reproducibly."""
     by, order = list(by), list(order)
-    keys = by + order
+    # A unique tie-break lets the range partitioner split a value shared by a huge number
+    # of rows (a third of the table, say) over many partitions instead of one.
+    keys = by + order + ["_tb"]
     ranged = _materialize(
-        df.repartitionByRange(_partitions(df), *keys)
+        df.withColumn("_tb", F.monotonically_increasing_id())
+        .repartitionByRange(_partitions(df), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
+        .drop("_tb")
     )
     ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33))
               .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33))).drop("_mid"))

@@ -120,3 +120,9 @@ def test_number_grids(spark):
     assert np.allclose(row["lin"], np.linspace(10, 1000, 100))
     assert np.allclose(row["log"], np.logspace(0, 8, 200), rtol=1e-12)
     assert row["ar"] == list(range(0, 2000, 100))
+
+
+def test_dummy_encoder_refuses_too_many_levels(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("p"))
+    with pytest.raises(ValueError):
+        encode.DummyEncoder(inputCols=["p"], maxLevels=10).fit(df)

@@ -67,3 +67,13 @@ def test_cumulative_weights_hot_group(spark):
     cp["exp"] = cp.groupby("g", dropna=False)["count"].cumsum() - cp["count"]
     m = out.merge(cp, on=["g", "x"])
     assert len(m) == len(cp) and (m["cum_before"] == m["exp"]).all()
+
+
+def test_rank_rows_splits_a_hot_tied_value(spark):
+    from pyspark.sql import functions as F
+
+    # 3000 rows share one value: ranks stay correct and the tie spans several partitions.
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("x"))
+    r = rank_rows(df, ["x"], rank_col="r", size_col="n").toPandas().sort_values("r")
+    assert list(r["r"]) == list(range(9000)) and (r["n"] == 9000).all()
+    assert list(r["x"]) == sorted(r["x"])
