@@ -121,3 +121,55 @@ def open_issue_rows_at_positions(spark, data_dir):
     return numbered.where(F.col("position").isin(*CASE_POSITIONS)).select(
         "position", "key", "status", "priority", "issue_type", "reporter", "assignee", "vote_count", "comment_count",
         "watch_count")
+
+
+@register(
+    "numeric_predictors",
+    with_issues(
+        """SELECT vote_count AS x_vote_count, comment_count AS x_comment_count, description_length AS x_description_length,
+       summary_length AS x_summary_length, watch_count AS x_watch_count FROM lab""",
+        LAB_CTE,
+    ),
+)
+def numeric_predictors(spark, data_dir):
+    """Numeric columns picked by type (identifiers and the day count excluded), the
+    target moved last, every column but the last kept, then renamed with an ``x_``
+    prefix: the predictor matrix of the labelled issues."""
+    from ..operators import profile
+
+    lab = clean.add_duration(clean.split_labelled(issues(spark, data_dir))[0])
+    num = profile.numeric_columns(lab, exclude=["key", "days_in_current_status", "duration_days"])
+    table = profile.move_to_end(lab.select(*num), "duration_min")
+    x = profile.columns_except_last(table)
+    return x.toDF(*[f"x_{c}" for c in x.columns])
+
+
+@register(
+    "serving_missing_columns",
+    with_issues(
+        f"""SELECT lv.c || '_' || lv.v AS feature FROM lv
+WHERE NOT EXISTS (SELECT 1 FROM (
+    SELECT 'priority' AS c, priority AS v FROM op UNION SELECT 'issue_type', issue_type FROM op
+    UNION SELECT 'reporter', reporter FROM op) s WHERE s.c = lv.c AND s.v = lv.v)""",
+        TR + ",\n" + __import__("leadlens.plans.q_prep", fromlist=["_SERVE"])._SERVE,
+    ),
+)
+def serving_missing_columns(spark, data_dir):
+    """Training design columns that the open issues' own level values would not produce
+    (the columns the serving side fills with 0)."""
+    from ..operators import encode
+
+    model, _, _ = design(spark, data_dir)
+    _, op = clean.split_labelled(issues(spark, data_dir))
+    # every stage but the dummy encoder: reduced levels as the encoder would see them
+    enc = [s for s in model.stages if isinstance(s, encode.DummyEncoderModel)][0]
+    served = clean.feature_table(op, target=None)
+    for st in model.stages:
+        if st is not enc:
+            served = st.transform(served)
+    pairs = enc.pairs()
+    present = served.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in enc.getOrDefault("inputCols")
+    ])).alias("p")).select("p.*").distinct()
+    wanted = spark.createDataFrame([(c, v) for c, v in pairs], "c string, v string")
+    return wanted.join(present, ["c", "v"], "left_anti").select(F.concat_ws("_", "c", "v").alias("feature"))

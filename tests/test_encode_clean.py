@@ -126,3 +126,17 @@ def test_dummy_encoder_refuses_too_many_levels(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("p"))
     with pytest.raises(ValueError):
         encode.DummyEncoder(inputCols=["p"], maxLevels=10).fit(df)
+
+
+def test_results_invariant_to_partitioning(spark):
+    from leadlens.operators import profile
+    from leadlens.sources.issues import issues
+    from tests.conftest import SF_SMALL
+
+    df = issues(spark, SF_SMALL)
+    a = bins.box_stats(df.repartition(1), "summary_length", ["issue_type"]).orderBy("issue_type").collect()
+    b = bins.box_stats(df.repartition(8), "summary_length", ["issue_type"]).orderBy("issue_type").collect()
+    assert a == b
+    c = profile.value_counts(df.repartition(1), "reporter").collect()
+    d = profile.value_counts(df.orderBy(F.rand(7)).repartition(5), "reporter").collect()
+    assert c == d
