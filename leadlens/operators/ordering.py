@@ -1,7 +1,8 @@
 """Order-dependent results without one-task windows.
 
 A window ``ORDER BY`` with no (or a skewed) ``PARTITION BY`` runs in a single task. Here
-rows are range-partitioned on (by, order) so that partition ids follow the global order,
+rows are range-partitioned on (by, order) so that partition ids follow the global order
+(AQE may merge adjacent ranges into fewer, right-sized partitions; order is kept),
 positions (or running weights) are computed inside each partition, and a small
 per-(partition, group) offset table (at most partitions + groups rows) turns them into
 global ones. The range-partitioned rows are written once as Parquet under the shared
@@ -22,10 +23,6 @@ from ..session import checkpoint_root
 _LOW33 = (1 << 33) - 1
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _materialize(df: DataFrame) -> DataFrame:
     """Write to the shared checkpoint folder and read back (cuts lineage, pins the
     partition assignment computed above)."""
@@ -62,7 +59,7 @@ def rank_rows(
     keys = by + order + ["_tb"]
     ranged = _materialize(
         df.withColumn("_tb", F.monotonically_increasing_id())
-        .repartitionByRange(_partitions(df), *keys)
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
         .drop("_tb")
@@ -97,7 +94,7 @@ def cumulative_weights(
     so no window ever holds more than one range partition."""
     by, order = list(by), list(order)
     keys = by + order
-    ranged = _materialize(df.repartitionByRange(_partitions(df), *keys).withColumn("_pid", F.spark_partition_id()))
+    ranged = _materialize(df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id()))
     local = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranged = ranged.withColumn("_local", F.coalesce(F.sum(weight).over(local), F.lit(0)))
     blocks = ranged.groupBy("_pid", *by).agg(F.sum(weight).alias("_w"))
