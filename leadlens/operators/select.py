@@ -114,11 +114,14 @@ def search_table(spark: SparkSession, mom: Moments, methods: Sequence[str] = tup
             se = sd / math.sqrt(nf - 1) if nf > 1 else math.nan
             tb = t_ppf((1 + confidence) / 2, nf - 1) if nf > 1 else math.nan
             rows.append((m, k, [mom.names[i] for i in sub], [float(x) for x in sc], means[k], sd, se, tb * se, k == kbest))
-    return spark.createDataFrame(
+    df = spark.createDataFrame(
         rows,
         "method string, k int, features array<string>, cv_scores array<double>, avg_mse double, std_dev double, "
         "std_err double, ci_bound double, is_best boolean",
     )
+    # The fold mean as an array aggregate (equal to the value used to pick is_best).
+    mean = F.aggregate("cv_scores", F.lit(0.0), lambda acc, x: acc + x) / F.size("cv_scores")
+    return df.withColumn("avg_mse", mean)
 
 
 def consensus(table: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.feature import RFormula
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import (clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees)
@@ -333,11 +334,27 @@ RIDGE_ALPHAS = [0.001, 0.01, 0.1, 0, 1, 10, 20, 50, 100, 1000]
 LASSO_ALPHAS = [0.01, 0.07, 0.05, 0.1, 1, 2, 3, 5, 10, 100, 1000, 10000]
 
 
+def _sweep_frame(spark, rows, coefs, feats):
+    """R^2 rows joined with coefficient counts computed in Spark (count_if over the
+    long coefficient table)."""
+    r2 = spark.createDataFrame(rows, "alpha double, r2_train double, r2_test double")
+    long = spark.createDataFrame([(a, f, float(v)) for a, c in coefs for f, v in zip(feats, c[1:])],
+                                 "alpha double, feature string, coef double")
+    counts = long.groupBy("alpha").agg(F.count_if(F.col("coef") != 0).alias("n_nonzero"),
+                                       F.count_if(F.abs("coef") > 1.0).alias("n_abs_gt_1"))
+    return rounded(r2.join(counts, "alpha"))
+
+
 @register("ridge_sweep")
 def ridge_sweep(spark, data_dir):
-    tr, te, _ = _scaled_split(spark, data_dir)
-    return rounded(spark.createDataFrame(linear.ridge_sweep(tr, te, RIDGE_ALPHAS),
-                                         "alpha double, r2_train double, r2_test double, n_nonzero int, n_abs_gt_1 int"))
+    """Train/test R^2 and coefficient counts (non-zero, |coef| > 1) per ridge alpha."""
+    tr, te, feats = _scaled_split(spark, data_dir)
+    rows, coefs = [], []
+    for a in sorted(RIDGE_ALPHAS):
+        c = linear.ridge(tr, a)
+        rows.append((float(a), linear.r2_from(tr, linear.to_shifted(tr, c)), linear.r2_from(te, linear.to_shifted(te, c))))
+        coefs.append((float(a), c))
+    return _sweep_frame(spark, rows, coefs, feats)
 
 
 @register("ridge_path")
@@ -350,25 +367,30 @@ def ridge_path(spark, data_dir):
 
 @register("lasso_fit")
 def lasso_fit(spark, data_dir):
-    """Lasso (alpha = 1000 as in the study, and 0.01): non-zero coefficients sorted by
+    """Lasso (alpha = 1000 as in the study, and 0.01): non-zero coefficients ranked by
     absolute size, with train/test R^2."""
     tr, te, feats = _scaled_split(spark, data_dir)
     rows = []
     for a in (0.01, 1000.0):
         c = linear.lasso(tr, a)
         r_tr, r_te = linear.r2_from(tr, linear.to_shifted(tr, c)), linear.r2_from(te, linear.to_shifted(te, c))
-        nz = sorted([(f, float(v)) for f, v in zip(feats, c[1:]) if v != 0], key=lambda r: (-abs(r[1]), r[0]))
-        rows.extend((a, f, v, i + 1, r_tr, r_te) for i, (f, v) in enumerate(nz))
-        if not nz:
-            rows.append((a, None, None, 0, r_tr, r_te))
-    return rounded(spark.createDataFrame(rows, "alpha double, feature string, coef double, rank int, r2_train double, r2_test double"))
+        rows.extend((a, f, float(v), r_tr, r_te) for f, v in zip(feats, c[1:]))
+    coefs = spark.createDataFrame(rows, "alpha double, feature string, coef double, r2_train double, r2_test double")
+    w = Window.partitionBy("alpha").orderBy(F.desc(F.abs("coef")), "feature")  # one row per feature per alpha
+    nz = coefs.where(F.col("coef") != 0).withColumn("rank", F.row_number().over(w))
+    return rounded(nz.select("alpha", "feature", "coef", "rank", "r2_train", "r2_test"))
 
 
 @register("lasso_sweep")
 def lasso_sweep(spark, data_dir):
-    tr, te, _ = _scaled_split(spark, data_dir)
-    return rounded(spark.createDataFrame(linear.lasso_sweep(tr, te, LASSO_ALPHAS),
-                                         "alpha double, r2_train double, r2_test double, n_nonzero int, n_abs_gt_1 int"))
+    """Train/test R^2 and coefficient counts per lasso alpha."""
+    tr, te, feats = _scaled_split(spark, data_dir)
+    rows, coefs = [], []
+    for a in sorted(LASSO_ALPHAS):
+        c = linear.lasso(tr, a)
+        rows.append((float(a), linear.r2_from(tr, linear.to_shifted(tr, c)), linear.r2_from(te, linear.to_shifted(te, c))))
+        coefs.append((float(a), c))
+    return _sweep_frame(spark, rows, coefs, feats)
 
 
 @register("lars_lasso_path")
@@ -559,13 +581,31 @@ def _json_lines_path(spark, data_dir):
     return _memo(spark, data_dir, "jsonl", build)
 
 
+# Declared record schema: no inference pass over the files.
+EVENT_JSON_SCHEMA = ("event_id bigint, user_id bigint, props struct<k: bigint>, "
+                     "transitions array<struct<to: string, step: int>>")
+
+
+@register(
+    "json_transitions_profile",
+    """SELECT CAST(0 AS BIGINT) AS missing, CAST(count_if(n = 0) AS BIGINT) AS empty,
+       CAST(count_if(n > 0) AS BIGINT) AS non_empty, CAST(sum(n) AS BIGINT) AS elements
+FROM (SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS n FROM events)""",
+)
+def json_transitions_profile(spark, data_dir):
+    """How many records carry a missing, empty or non-empty ``transitions`` list."""
+    df = files.read_json_lines(spark, _json_lines_path(spark, data_dir), schema=EVENT_JSON_SCHEMA)
+    return jsonops.list_profile(df, "transitions").select(
+        *[F.col(c).cast("bigint").alias(c) for c in ["missing", "empty", "non_empty", "elements"]])
+
+
 @register(
     "json_lines_scan",
     "SELECT CAST(count(*) AS BIGINT) AS records, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k FROM events",
 )
 def json_lines_scan(spark, data_dir):
     """Record count and a payload checksum of the JSON-lines export."""
-    df = files.read_json_lines(spark, _json_lines_path(spark, data_dir))
+    df = files.read_json_lines(spark, _json_lines_path(spark, data_dir), schema=EVENT_JSON_SCHEMA)
     return df.agg(F.count(F.lit(1)).alias("records"), F.sum("props.k").cast("bigint").alias("sum_k"))
 
 
@@ -577,7 +617,7 @@ FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS
 )
 def json_transitions_explode(spark, data_dir):
     """One row per transition; records with an empty list keep one NULL row."""
-    df = files.read_json_lines(spark, _json_lines_path(spark, data_dir))
+    df = files.read_json_lines(spark, _json_lines_path(spark, data_dir), schema=EVENT_JSON_SCHEMA)
     out = jsonops.explode_list(df, "transitions", ["event_id"], "t")
     return out.select("event_id", F.col("t.step").cast("bigint").alias("step"), F.col("transitions_size").cast("int"))
 
