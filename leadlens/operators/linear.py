@@ -10,7 +10,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import keyword_only
+from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +41,37 @@ class OLSFit:
     def prediction(self) -> Column:
         e = F.lit(float(self.coef[0]))
         for b, c in zip(self.coef[1:], self.names):
-            e = e + F.lit(float(b)) * F.col(c).cast("double")
+            e = e + F.lit(float(b)) * F.col(f"`{c}`").cast("double")
         return e
 
 
+class OLSModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """A fitted linear model as a Spark ML Model: prediction = intercept + sum(b_i x_i)
+    as one Column expression over named feature columns (no vector needed)."""
+
+    featureCols = Param(Params._dummy(), "featureCols", "feature columns", TypeConverters.toListString)
+    coefficients = Param(Params._dummy(), "coefficients", "slopes", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+    predictionCol = Param(Params._dummy(), "predictionCol", "output column", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, featureCols=None, coefficients=None, intercept=0.0, predictionCol="prediction"):
+        super().__init__()
+        self._setDefault(predictionCol="prediction", intercept=0.0)
+        self._set(**self._input_kwargs)
+
+    @classmethod
+    def from_fit(cls, fit: "OLSFit", predictionCol: str = "prediction") -> "OLSModel":
+        return cls(featureCols=list(fit.names), coefficients=[float(v) for v in fit.coef[1:]],
+                   intercept=float(fit.coef[0]), predictionCol=predictionCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        e = F.lit(self.getOrDefault("intercept"))
+        for b, c in zip(self.getOrDefault("coefficients"), self.getOrDefault("featureCols")):
+            e = e + F.lit(b) * F.col(f"`{c}`").cast("double")
+        return df.withColumn(self.getOrDefault("predictionCol"), e)
+
+
 def ols(mom: Moments, g: int = 0) -> OLSFit:
     """Least squares with intercept from slot ``g`` of the moments (solved in the shifted
     coordinates, mapped back to raw coefficients and covariance)."""

@@ -25,7 +25,7 @@ class Moments:
     zz: np.ndarray  # (G, p+1, p+1): shifted [1, x]' [1, x]
     zy: np.ndarray  # (G, p+1)
     yy: np.ndarray  # (G,)
-    mu_x: np.ndarray  # (p,) shift of x
+    mu_x: np.ndarray  # (p,) shift of x (a data row)
     mu_y: float  # shift of y
 
     @property
@@ -146,9 +146,12 @@ def moments(df: DataFrame, features: Sequence[str], label: str, group: str | Non
     base = base.dropna(subset=[f"_x{i}" for i in range(len(feats))] + ["_y"])
     p = len(feats)
     if shift:
-        m = base.agg(*[F.avg(f"_x{i}") for i in range(p)], F.avg("_y")).first()
-        mu_x = np.array([float(m[i] or 0.0) for i in range(p)])
-        mu_y = float(m[p] or 0.0)
+        # Shifted-data sums (Chan, Golub & LeVeque 1983): any value inside the data's
+        # range keeps the sums well conditioned, so one row replaces a pass for the means.
+        first = base.limit(1).collect()
+        m = first[0] if first else [0.0] * (p + 1)
+        mu_x = np.array([float(m[i]) for i in range(p)])
+        mu_y = float(m[p])
     else:
         mu_x, mu_y = np.zeros(p), 0.0
     if p > JVM_MAX_FEATURES:

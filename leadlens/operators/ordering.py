@@ -12,13 +12,12 @@ partitioning even when tasks are retried or executors are lost.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import write_and_read
 
 _LOW33 = (1 << 33) - 1
 
@@ -26,10 +25,7 @@ _LOW33 = (1 << 33) - 1
 def _materialize(df: DataFrame) -> DataFrame:
     """Write to the shared checkpoint folder and read back (cuts lineage, pins the
     partition assignment computed above)."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/leadlens-rank-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return write_and_read(df, "rank")
 
 
 def _join_offsets(ranged: DataFrame, blocks: DataFrame, by: list[str], keep: list[str]) -> DataFrame:

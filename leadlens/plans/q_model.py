@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees)
 from ..operators import moments as M
-from ..session import checkpoint_root
+from ..session import checkpoint_root, write_and_read
 from ..sources import files, jsonops
 from ..sources.issues import issues
 from ..sources.tables import table
@@ -33,7 +33,8 @@ def design(spark, data_dir):
 
     def build():
         model, enc = modeling_data.design(issues(spark, data_dir), 10, SHORT_TYPES)
-        return model, enc, encode.encoded_feature_names(model)
+        # Reused by every model query: written once, read as narrow Parquet afterwards.
+        return model, write_and_read(enc, "design"), encode.encoded_feature_names(model)
 
     return _memo(spark, data_dir, "design", build)
 
@@ -463,7 +464,7 @@ def _models(spark, data_dir):
         _, _, feats = design(spark, data_dir)
         t = trees.fit_tree(train, feats, "log_duration", max_depth=5, max_leaves=35, seed=0)
         f = trees.fit_forest(train, feats, "log_duration", num_trees=100, max_depth=50, max_leaves=50, seed=0)
-        lm = linear.spark_ols(train, feats, "log_duration")
+        lm = linear.OLSModel.from_fit(linear.ols(M.moments(train, feats, "log_duration")))
         return {"linear": lm, "tree": t, "forest": f}
 
     return _memo(spark, data_dir, "models", build)

@@ -51,3 +51,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def write_and_read(df, tag: str):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint folder and
+    return it read back: cuts lineage and pins values computed once (for example
+    partition ids), and survives the loss of the executors that computed it."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/leadlens-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

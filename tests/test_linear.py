@@ -132,3 +132,17 @@ def test_exhaustive_best_per_size(spark, tiny):
     assert ex[3]["avg_mse"] == pytest.approx(float(np.mean(select.cv_scores(mom, [0, 1, 2]))))
     with pytest.raises(ValueError):
         select.exhaustive(spark, mom, max_p=2)
+
+
+def test_ols_model_transform_and_persist(spark, tiny, tmpdir_path):
+    df, _ = tiny
+    fit = linear.ols(M.moments(df, ["a", "b", "c"], "y"))
+    m = linear.OLSModel.from_fit(fit, "p")
+    m.write().overwrite().save(tmpdir_path + "/ols")
+    m2 = linear.OLSModel.load(tmpdir_path + "/ols")
+    a = m.transform(df).select("key", "p").orderBy("key").collect()
+    b = m2.transform(df).select("key", "p").orderBy("key").collect()
+    s = linear.spark_ols(df, ["a", "b", "c"], "y").transform(linear.assemble(df, ["a", "b", "c"]))
+    c = s.select("key", "prediction").orderBy("key").collect()
+    assert a == b
+    assert max(abs(x["p"] - y["prediction"]) for x, y in zip(a, c)) < 1e-8
