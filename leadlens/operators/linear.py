@@ -72,9 +72,35 @@ class OLSModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return df.withColumn(self.getOrDefault("predictionCol"), e)
 
 
+def aliased(mom: Moments, g: int = 0, tol: float = 1e-10) -> list[int]:
+    """Positions of features that are (numerically) constant or linear combinations of
+    earlier features: a Gram-Schmidt sweep over the centred X'X, dropping a column whose
+    residual sum of squares is below ``tol`` times its own."""
+    xx, _, _, _, _, _ = mom.centered(g)
+    kept: list[int] = []
+    drop: list[int] = []
+    for j in range(len(xx)):
+        own = xx[j, j]
+        if kept:
+            a = xx[np.ix_(kept, kept)]
+            b = xx[kept, j]
+            resid = own - b @ np.linalg.solve(a, b)
+        else:
+            resid = own
+        if own <= 0 or resid <= tol * max(own, 1e-300):
+            drop.append(j)
+        else:
+            kept.append(j)
+    return drop
+
+
 def ols(mom: Moments, g: int = 0) -> OLSFit:
     """Least squares with intercept from slot ``g`` of the moments (solved in the shifted
-    coordinates, mapped back to raw coefficients and covariance)."""
+    coordinates, mapped back to raw coefficients and covariance). Aliased features (see
+    :func:`aliased`) are removed first; ``OLSFit.names`` lists the features kept."""
+    drop = aliased(mom, g)
+    if drop:
+        mom = mom.subset([i for i in range(mom.p) if i not in drop])
     zz, zy, yy, n = mom.zz[g], mom.zy[g], mom.yy[g], mom.n[g]
     beta = np.linalg.solve(zz, zy)
     rss = float(yy - beta @ zy)
@@ -126,6 +152,10 @@ def ols_summary(df: DataFrame, features: Sequence[str], label: str, order: Seque
     from one more pass over the residuals."""
     fit = ols(moments(df, features, label))
     coefs, stats = ols_tables(fit, df.sparkSession, alpha)
+    dropped = [f for f in features if f not in fit.names]
+    if dropped:  # aliased terms are listed with no estimate
+        coefs = coefs.unionByName(df.sparkSession.createDataFrame(
+            [(f, None, None, None, None, None, None, "aliased") for f in dropped], coefs.schema))
     res = df.select(*(order or []), (F.col(label).cast("double") - fit.prediction()).alias("resid"))
     norm = normality(res, "resid").select(
         F.col("skew").alias("resid_skew"), F.col("kurtosis").alias("resid_kurtosis"),

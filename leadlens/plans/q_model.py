@@ -407,6 +407,25 @@ def lars_lasso_path(spark, data_dir):
     return rounded(spark.createDataFrame(rows, "knot int, alpha double, feature string, coef double, l1_ratio double"))
 
 
+def _train_residuals(spark, data_dir):
+    fit = _ols_full(spark, data_dir)[0]
+    train, _ = train_test(spark, data_dir)
+    r = evaluate.residual_frame(train.withColumn("prediction", fit.prediction()), "log_duration", n_params=fit.k)
+    return r
+
+
+@register("qq_ols_residuals")
+def qq_ols_residuals(spark, data_dir):
+    """Q-Q table of the full model's Pearson residuals, standardised, 45-degree line."""
+    return rounded(stattests.qq_points(_train_residuals(spark, data_dir), "resid_pearson", line="45"))
+
+
+@register("shapiro_ols_residuals")
+def shapiro_ols_residuals(spark, data_dir):
+    """Shapiro-Wilk test of the full model's residuals (reject normality when p < 0.05)."""
+    return rounded(stattests.shapiro(_train_residuals(spark, data_dir), "resid"))
+
+
 @register("ols_residual_tables")
 def ols_residual_tables(spark, data_dir):
     """Predictor-vs-residual and fitted-vs-residual 2-D bins and the scaled-residual

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from leadlens.operators import linear, select
 from leadlens.operators import moments as M
@@ -146,3 +147,14 @@ def test_ols_model_transform_and_persist(spark, tiny, tmpdir_path):
     c = s.select("key", "prediction").orderBy("key").collect()
     assert a == b
     assert max(abs(x["p"] - y["prediction"]) for x, y in zip(a, c)) < 1e-8
+
+
+def test_ols_drops_constant_and_duplicate_columns(spark, tiny):
+    df, pdf = tiny
+    d2 = df.withColumn("const", F.lit(3.0)).withColumn("a_copy", F.col("a") * 2.0)
+    fit, coefs, stats = linear.ols_summary(d2, ["a", "const", "b", "a_copy", "c"], "y")
+    assert fit.names == ["a", "b", "c"]
+    ref = linear.ols(M.moments(df, ["a", "b", "c"], "y"))
+    assert np.allclose(fit.coef, ref.coef, atol=1e-9)
+    flags = {r["feature"]: r["significant"] for r in coefs.collect()}
+    assert flags["const"] == "aliased" and flags["a_copy"] == "aliased"
