@@ -52,16 +52,17 @@ def add_duration(df: DataFrame, start: str = "created", end: str = "resolutionda
     )
 
 
-def fixed_only(df: DataFrame, start_text: str = "created", end_text: str = "resolutiondate") -> DataFrame:
-    """The 'Fixed resolutions only' training set with durations parsed from export text
-    (offset honoured, unlike a plain strip of the suffix)."""
+def fixed_only(df: DataFrame, start: str = "created", end: str = "resolutiondate") -> DataFrame:
+    """The 'Fixed resolutions only' training set with ``duration_min``. Text columns
+    (export form such as ``2013-04-05T10:11:12.000+0000``) are parsed with their offset;
+    timestamp columns are used as they are."""
     out = df.where(F.col("resolution") == "Fixed")
-    return out.withColumn(
-        "duration_min",
-        S.elapsed_minutes(
-            S.parse_timestamp(F.col(start_text).cast("string")), S.parse_timestamp(F.col(end_text).cast("string"))
-        ),
-    )
+    types = dict(out.dtypes)
+
+    def ts(c):
+        return S.parse_timestamp(c, S.ISSUE_TS_PATTERN) if types[c] == "string" else F.col(c)
+
+    return out.withColumn("duration_min", S.elapsed_minutes(ts(start), ts(end)))
 
 
 def feature_table(df: DataFrame, target: str | None = "duration_min") -> DataFrame:

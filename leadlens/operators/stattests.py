@@ -77,8 +77,8 @@ def jarque_bera_from(n: float, skew: float, kurt: float) -> tuple[float, float]:
 
 def omnibus_from(n: float, skew: float, kurt: float) -> tuple[float, float]:
     """Driver-side K^2 and p for published (n, S, K) triples."""
-    spark_free = _omnibus_py(n, skew, kurt)
-    return spark_free, math.exp(-spark_free / 2.0)
+    k2 = _omnibus_py(n, skew, kurt)
+    return k2, math.exp(-k2 / 2.0)
 
 
 def _omnibus_py(n, s, k):

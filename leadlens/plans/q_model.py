@@ -583,12 +583,8 @@ def _json_lines_path(spark, data_dir):
         path = f"{checkpoint_root(spark)}/leadlens-events-jsonl"
         ev = table(spark, data_dir, "events")
         k = F.get_json_object("props", "$.k").cast("int")
-        rec = F.to_json(F.struct(
-            F.col("event_id").alias("event_id"), F.col("user_id").alias("user_id"),
-            F.from_json("props", "map<string,int>").alias("props"),
-            F.transform(F.sequence(F.lit(1), F.pmod(k, F.lit(3))),
-                        lambda i: F.struct(F.col("event_type").alias("to"), i.alias("step"))).alias("transitions")))
-        # sequence(1, 0) counts down, so keep only positive steps (empty list when k % 3 = 0)
+        # k % 3 transitions per record; sequence(1, 0) would count down, so the list is
+        # built from 1..max(n, 1) and filtered (empty when k % 3 = 0)
         rec = F.to_json(F.struct(
             F.col("event_id").alias("event_id"), F.col("user_id").alias("user_id"),
             F.from_json("props", "map<string,int>").alias("props"),

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import bins, clean, split
 from ..operators.ordering import row_numbers
 from ..sources.issues import issues
-from .q_model import _simple, design
-from .q_prep import LAB_CTE, _TR
+from .q_model import _SIMPLE, _simple, design
+from .q_prep import _SERVE, _TR, LAB_CTE
 from .registry import register, rounded, with_issues
 
 TR = LAB_CTE + ",\n" + _TR
@@ -89,7 +89,7 @@ def pair_plot_bins(spark, data_dir):
         """SELECT CAST(row_number() OVER (ORDER BY key) AS BIGINT) AS position, key, round(log_duration, 6) AS actual,
        round(b0 + b1 * comment_count, 6) AS fitted
 FROM trs, co WHERE is_train""",
-        __import__("leadlens.plans.q_model", fromlist=["_SIMPLE"])._SIMPLE,
+        _SIMPLE,
     ),
 )
 def simple_ols_fitted_by_position(spark, data_dir):
@@ -151,7 +151,7 @@ def numeric_predictors(spark, data_dir):
 WHERE NOT EXISTS (SELECT 1 FROM (
     SELECT 'priority' AS c, priority AS v FROM op UNION SELECT 'issue_type', issue_type FROM op
     UNION SELECT 'reporter', reporter FROM op) s WHERE s.c = lv.c AND s.v = lv.v)""",
-        TR + ",\n" + __import__("leadlens.plans.q_prep", fromlist=["_SERVE"])._SERVE,
+        TR + ",\n" + _SERVE,
     ),
 )
 def serving_missing_columns(spark, data_dir):

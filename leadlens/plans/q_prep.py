@@ -69,6 +69,15 @@ def timestamp_text_parse(spark, data_dir):
     )
 
 
+@register(
+    "fixed_only_durations",
+    with_issues("SELECT key, date_sub('minute', created, resolutiondate) AS duration_min FROM issues WHERE resolution = 'Fixed'"),
+)
+def fixed_only_durations(spark, data_dir):
+    """The alternative training set: 'Fixed' resolutions only, with their durations."""
+    return clean.fixed_only(issues(spark, data_dir)).select("key", "duration_min")
+
+
 @register(
     "duration_text_parse",
     with_issues(

@@ -140,3 +140,12 @@ def test_results_invariant_to_partitioning(spark):
     c = profile.value_counts(df.repartition(1), "reporter").collect()
     d = profile.value_counts(df.orderBy(F.rand(7)).repartition(5), "reporter").collect()
     assert c == d
+
+
+def test_fixed_only_parses_export_text(spark):
+    df = spark.createDataFrame(
+        [("Fixed", "2013-04-05T10:00:00.000+0000", "2013-04-05T12:30:00.000+0200"),
+         ("Invalid", "2013-04-05T10:00:00.000+0000", "2013-04-06T10:00:00.000+0000")],
+        "resolution string, created string, resolutiondate string")
+    out = clean.fixed_only(df).collect()
+    assert len(out) == 1 and out[0]["duration_min"] == 30
