@@ -155,7 +155,9 @@ def exhaustive(spark: SparkSession, mom: Moments, min_features: int = 1, max_fea
                 ms.append(float(np.mean(_fold_scores(zz, zy, yy, n, idx))))
             yield pd.DataFrame({"subset_id": ids, "k": np.array(ks, dtype="int32"), "avg_mse": ms})
 
-    scored = spark.range(1, 2 ** p).mapInPandas(score, "subset_id long, k int, avg_mse double")
+    # About 4,096 subsets per task, and at least one task per core.
+    parts = max(spark.sparkContext.defaultParallelism, (2 ** p) // 4096)
+    scored = spark.range(1, 2 ** p, numPartitions=parts).mapInPandas(score, "subset_id long, k int, avg_mse double")
     scored = scored.where((F.col("k") >= min_features) & (F.col("k") <= max_features))
     best = scored.groupBy("k").agg(F.min_by(F.struct("avg_mse", "subset_id"), F.struct("avg_mse", "subset_id")).alias("b"))
     names = "array(" + ", ".join("'" + n.replace("'", "''") + "'" for n in mom.names) + ")"
