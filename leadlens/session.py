@@ -63,3 +63,12 @@ def write_and_read(df, tag: str):
     path = f"{checkpoint_root(spark)}/leadlens-{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows (counted, which for
+    a Parquet dimension table is answered from file metadata), else ``df`` unchanged so
+    the planner picks a shuffle join."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root, path_exists
+from ..session import broadcast_if_small, checkpoint_root, path_exists
 from .tables import table
 
 # Column order and types of the issue export.
@@ -101,7 +101,8 @@ def issues_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
 
     Plan: lineitem is joined once to the order dates and reduced per order (partial
     aggregation before the shuffle); orders keep their one row per key through a left
-    join to that per-order table; nation (25 rows, a fixed-size dimension) is broadcast.
+    join to that per-order table; nation (a 25-row dimension) is broadcast after its row
+    count is checked.
     """
     orders = table(spark, data_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -124,7 +125,7 @@ def issues_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
     rs = F.col("rs_date")
     df = (
         orders.join(customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(F.broadcast(nation), F.col("n_nationkey") == F.col("c_nationkey"))
+        .join(broadcast_if_small(nation, 10_000), F.col("n_nationkey") == F.col("c_nationkey"))
         .join(per_order, F.col("l_orderkey") == k, "left")
     )
     return df.select(
