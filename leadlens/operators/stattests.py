@@ -143,9 +143,19 @@ def shapiro(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
     w, p = shapiro_from_stats(agg["n"] or 0, agg["mm"], agg["mx"], ss, agg["x_1"], agg["x_2"], agg["x_n1"],
                               agg["x_n"], agg["m_n"], agg["m_n1"])
     spark = df.sparkSession
+    ks_stat = ks_p = None
+    if agg["n"] and agg["n"] > 1:
+        # Royston's p-value is calibrated up to n = 5000; Kolmogorov-Smirnov against the
+        # fitted normal is reported alongside for any n (distributed, Spark ML).
+        sd = x.agg(F.stddev_samp("_x")).first()[0]
+        if sd and sd > 0:
+            from pyspark.ml.stat import KolmogorovSmirnovTest
+
+            ks = KolmogorovSmirnovTest.test(x, "_x", "norm", float(agg["mean"]), float(sd)).first()
+            ks_stat, ks_p = float(ks["statistic"]), float(ks["pValue"])
     return spark.createDataFrame(
-        [(int(agg["n"] or 0), w, p, None if p is None else bool(p > alpha))],
-        "n bigint, w double, p_value double, gaussian boolean",
+        [(int(agg["n"] or 0), w, p, None if p is None else bool(p > alpha), ks_stat, ks_p)],
+        "n bigint, w double, p_value double, gaussian boolean, ks_statistic double, ks_p_value double",
     )
 
 

@@ -73,3 +73,14 @@ def test_durbin_watson(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(e)], "t int, e double")
     exp = sum((e[i] - e[i - 1]) ** 2 for i in range(1, len(e))) / sum(v * v for v in e)
     assert stattests.durbin_watson(df, "e", ["t"]).first()[0] == pytest.approx(exp)
+
+
+def test_shapiro_reports_ks(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=400)
+    r = stattests.shapiro(spark.createDataFrame([(float(v),) for v in x], "x double"), "x").first()
+    xs = np.sort(x)
+    cdf = np.array([dist.norm_cdf((v - x.mean()) / x.std(ddof=1)) for v in xs])
+    d = max(np.max(np.arange(1, 401) / 400 - cdf), np.max(cdf - np.arange(0, 400) / 400))
+    assert r["ks_statistic"] == pytest.approx(d, abs=1e-9)
+    assert r["ks_p_value"] > 0.01
