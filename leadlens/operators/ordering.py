@@ -119,7 +119,8 @@ def ranked_value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> Data
     by = list(by)
     vals = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    return cumulative_weights(counts, ["_x"], "_c", by, before_col="_cb", total_col="_n")
+    # Written once: callers aggregate it several times (quantiles, whiskers, moments).
+    return write_and_read(cumulative_weights(counts, ["_x"], "_c", by, before_col="_cb", total_col="_n"), "ranked")
 
 
 def quantiles_from_ranked(cum: DataFrame, probs: Sequence[float], by: Sequence[str] = (),

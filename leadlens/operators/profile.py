@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordering import exact_quantiles
+from .ordering import exact_quantiles, quantiles_from_ranked, ranked_value_counts
 
 
 def _stack(df_row: DataFrame, names: Sequence[str], fields: Mapping[str, Sequence[Column]]) -> DataFrame:
@@ -104,20 +104,33 @@ def shares(df: DataFrame, segments: Mapping[str, Column], chart: str = "pie") ->
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 % (exact, interpolated), max per column.
-    The columns are unpivoted to (column, value) so all quantiles come from one ranking."""
+
+    One scan of the data: the columns are unpivoted to (column, value) and reduced to
+    distinct (column, value, count) rows; quartiles, count, mean, min and max come from
+    one aggregate over that table and the standard deviation from a second, centred one
+    (sum of count * (value - mean)^2), both over distinct values only."""
     cols = list(cols)
     long = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_p")
     ).select("_p.*")
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], names=["p25", "p50", "p75"])
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    cum = ranked_value_counts(long, "value", ["column"])
+    q = quantiles_from_ranked(cum, [0.25, 0.5, 0.75], ["column"], names=["p25", "p50", "p75"])
+    x, c = F.col("_x"), F.col("_c")
+    first = cum.groupBy("column").agg(
+        (F.sum(x * c) / F.sum(c)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
+    spread = cum.join(first.select("column", F.col("mean").alias("_m")), "column").groupBy("column").agg(
+        F.sum(c * (x - F.col("_m")) * (x - F.col("_m"))).alias("_ss"))
+    out = q.join(first, "column").join(spread, "column")
+    names = F.array(*[F.lit(c) for c in cols])
+    every = df.sparkSession.range(1).select(F.explode(names).alias("column"))  # columns with no values too
+    out = every.join(out, "column", "left")
+    return out.select(
+        "column",
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count"),
+        "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("_ss") / (F.col("n") - 1))).alias("std"),
+        "min", "p25", "p50", "p75", "max",
     )
-    return basic.join(q.drop("n"), "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
