@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import exact_quantiles, quantiles_from_ranked, ranked_value_counts
+from .ordering import quantiles_from_ranked, ranked_value_counts
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordering import exact_quantiles, quantiles_from_ranked, ranked_value_counts
+from .ordering import quantiles_from_ranked, ranked_value_counts
 
 
 def _stack(df_row: DataFrame, names: Sequence[str], fields: Mapping[str, Sequence[Column]]) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import bins, clean
-from ..sources.issues import issues
+from ..operators import bins, clean, crosstab, profile
+from ..sources.issues import ISSUE_SCHEMA, issues
+from ..sources.tables import table
 from .registry import register, rounded, with_issues
 
 
@@ -60,9 +61,6 @@ def box_duration(spark, data_dir):
 
 
 # ---------------------------------------------------------------- shape and frequencies
-from ..operators import crosstab, profile  # noqa: E402
-from ..sources.issues import ISSUE_SCHEMA  # noqa: E402
-from ..sources.tables import table  # noqa: E402
 
 LABELLED = "resolutiondate IS NOT NULL AND created IS NOT NULL"
 
