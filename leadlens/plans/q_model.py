@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import (clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees)
 from ..operators import moments as M
 from ..session import checkpoint_root, write_and_read
+from ..functions import scalar as S
 from ..sources import files, jsonops
 from ..sources.issues import issues
 from ..sources.tables import table
@@ -286,7 +287,13 @@ def ols_coefficients(spark, data_dir):
 def ols_statistics(spark, data_dir):
     """Fit statistics: R^2, adj. R^2, F, P(F), log-likelihood, AIC, BIC, residual skew,
     kurtosis, Jarque-Bera, omnibus, Durbin-Watson, condition number."""
-    return rounded(_ols_full(spark, data_dir)[2])
+    st = _ols_full(spark, data_dir)[2]
+    line = F.concat_ws(", ",
+                       F.concat(F.lit("R-squared: "), S.fmt("r2", 3)),
+                       F.concat(F.lit("Adj. R-squared: "), S.fmt("adj_r2", 3)),
+                       F.concat(F.lit("F-statistic: "), S.fmt("f_stat", 2)),
+                       F.concat(F.lit("No. Observations: "), F.col("n").cast("string")))
+    return rounded(st.withColumn("summary", line))
 
 
 @register("ols_formula_fit")
