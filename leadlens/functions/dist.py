@@ -147,6 +147,8 @@ def t_ppf(p: float, df: float) -> float:
 
 def f_sf(f: float, d1: float, d2: float) -> float:
     """Upper tail probability of the F distribution."""
+    if math.isnan(f):
+        return math.nan
     if f <= 0:
         return 1.0
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))

@@ -132,10 +132,10 @@ def ols_tables(fit: OLSFit, spark: SparkSession, alpha: float = 0.05):
     coefs = spark.createDataFrame(
         rows, "feature string, coef double, std_err double, t double, p_value double, ci_low double, ci_high double, significant string"
     )
-    r2 = 1 - fit.rss / fit.tss
-    adj = 1 - (1 - r2) * (n - 1) / df_resid
-    fstat = (r2 / df_model) / ((1 - r2) / df_resid) if df_model > 0 else math.nan
-    ll = -n / 2 * (math.log(2 * math.pi) + math.log(fit.rss / n) + 1)
+    r2 = 1 - fit.rss / fit.tss if fit.tss > 0 else math.nan
+    adj = 1 - (1 - r2) * (n - 1) / df_resid if df_resid > 0 else math.nan
+    fstat = (r2 / df_model) / ((1 - r2) / df_resid) if df_model > 0 and df_resid > 0 and r2 < 1 else math.nan
+    ll = -n / 2 * (math.log(2 * math.pi) + math.log(fit.rss / n) + 1) if fit.rss > 0 else math.inf
     stats = spark.createDataFrame(
         [(int(n), int(df_model), int(df_resid), r2, adj, fstat, f_sf(fstat, df_model, df_resid), ll,
           -2 * ll + 2 * k, -2 * ll + k * math.log(n), fit.cond)],

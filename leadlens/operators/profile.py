@@ -97,7 +97,7 @@ def shares(df: DataFrame, segments: Mapping[str, Column], chart: str = "pie") ->
         F.col("subset").alias("segment"),
         "position",
         "count",
-        (F.col("count") / F.sum("count").over(w_all)).alias("share"),
+        F.try_divide(F.col("count"), F.sum("count").over(w_all)).alias("share"),
         F.coalesce(F.sum("count").over(w_run), F.lit(0)).cast("bigint").alias("base"),
     )
 

@@ -58,7 +58,8 @@ def normality(df: DataFrame, col: str) -> DataFrame:
     n, s, k = F.col("n").cast("double"), F.col("skew"), F.col("kurtosis")
     jb = n / 6.0 * (s * s + (k - 3) * (k - 3) / 4.0)
     z_s, z_k = _omnibus_exprs(n, s, k)
-    k2 = z_s * z_s + z_k * z_k
+    # The omnibus transforms divide by (n - 2), (n - 3), ...: defined from n = 4 on.
+    k2 = F.when(n > 3, z_s * z_s + z_k * z_k)
     return m.select(
         F.col("n").cast("bigint").alias("n"),
         "skew",
@@ -196,7 +197,9 @@ def qq_points(df: DataFrame, col: str, line: str = "s") -> DataFrame:
     i = F.col("_r") + 1
     z = norm_ppf_col(i / (F.col("_n") + 1))
     sample = F.col("_x")
-    if line == "45":
+    if line == "45" and not st["sd"]:
+        sample, ref = F.lit(None).cast("double"), z  # constant sample: no standardised values
+    elif line == "45":
         sample = (sample - F.lit(st["mu"])) / F.lit(st["sd"])
         ref = z
     elif line == "s":
@@ -212,7 +215,7 @@ def durbin_watson(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
     ranked = rank_rows(df.select(*order, F.col(col).cast("double").alias("_e")), list(order), rank_col="_r")
     prev = ranked.select((F.col("_r") + 1).alias("_r"), F.col("_e").alias("_ep"))
     return ranked.join(prev, "_r", "left").agg(
-        (F.sum((F.col("_e") - F.col("_ep")) ** 2) / F.sum(F.col("_e") ** 2)).alias("durbin_watson")
+        F.try_divide(F.sum((F.col("_e") - F.col("_ep")) ** 2), F.sum(F.col("_e") ** 2)).alias("durbin_watson")
     )
 
 

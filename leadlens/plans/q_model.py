@@ -520,7 +520,7 @@ def importance_vs_t(spark, data_dir):
     coefs = _ols_full(spark, data_dir)[1].where(F.col("feature") != "Intercept")
     tot = coefs.agg(F.sum("t")).first()[0]
     imp = forest_importances(spark, data_dir)
-    return rounded(imp.join(coefs.select("feature", (F.col("t") / F.lit(tot)).alias("t_normalised")), "feature"))
+    return rounded(imp.join(coefs.select("feature", F.try_divide(F.col("t"), F.lit(tot)).alias("t_normalised")), "feature"))
 
 
 def _test_predictions(spark, data_dir):
