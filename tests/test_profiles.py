@@ -56,3 +56,26 @@ def test_table_profile_and_null_profile(spark, small):
     assert tp["v"]["non_null"] == 9 and tp["v"]["nulls"] == 1 and tp["g"]["spark_type"] == "string"
     npf = {r["column"]: r["has_nulls"] for r in profile.null_profile(small).collect()}
     assert npf == {"g": True, "h": True, "v": True}
+
+
+def test_value_counts_ties_ordered_by_value_nulls_dropped(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "c", None, None, None]], "s string")
+    rows = profile.value_counts(df, "s").collect()
+    assert [(r["s"], r["count"]) for r in rows] == [("c", 2), ("a", 1), ("b", 1)]
+
+
+def test_pair_counts_ties_and_null_keys(spark):
+    df = spark.createDataFrame([("x", "b"), ("x", "a"), ("y", "a"), (None, "a"), ("x", None)], "p string, q string")
+    rows = crosstab.pair_counts(df, "p", "q", top=2).collect()
+    assert [(r["p"], r["q"], r["n"]) for r in rows] == [("x", "a", 1), ("x", "b", 1)]
+
+
+def test_not_fixed_keeps_null_resolution(spark):
+    from leadlens.plans.q_profile import closure_rules
+
+    df = spark.createDataFrame([("Closed", "Fixed", "u"), ("Closed", None, None), ("Closed", "Invalid", "u"),
+                                ("Resolved", None, "u")], "status string, resolution string, assignee string")
+    df = df.withColumn("resolutiondate", F.current_timestamp()).withColumn("created", F.current_timestamp())
+    got = {r["subset"]: r["count"] for r in profile.subset_counts(df, closure_rules()).collect()}
+    assert got["closed_not_fixed"] == 2 and got["resolved_not_fixed"] == 1  # NULL counts as not Fixed
+    assert df.where(F.col("resolution") != "Fixed").count() == 1  # plain != would lose the NULL rows
