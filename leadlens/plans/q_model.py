@@ -10,39 +10,16 @@ from pyspark.sql import functions as F
 
 from ..operators import (clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees)
 from ..operators import moments as M
-from ..session import checkpoint_root, write_and_read
+from ..session import checkpoint_root
 from ..functions import scalar as S
 from ..sources import files, jsonops
 from ..sources.issues import issues
 from ..sources.tables import table
-from .q_prep import LAB_CTE, SHORT_TYPES, _TR
+from .q_prep import LAB_CTE, _TR
+from .shared import SHORT_TYPES, design, memo, train_test  # noqa: F401
 from .registry import register, rounded, with_issues
 
-_CACHE: dict = {}
-
-
-def _memo(spark, data_dir, name, build):
-    # Keyed by application: a stopped and recreated session never sees stale frames.
-    k = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), data_dir, name)
-    if k not in _CACHE:
-        _CACHE[k] = build()
-    return _CACHE[k]
-
-
-def design(spark, data_dir):
-    """(fitted feature pipeline, encoded labelled rows, feature names)."""
-
-    def build():
-        model, enc = modeling_data.design(issues(spark, data_dir), 10, SHORT_TYPES)
-        # Reused by every model query: written once, read as narrow Parquet afterwards.
-        return model, write_and_read(enc, "design"), encode.encoded_feature_names(model)
-
-    return _memo(spark, data_dir, "design", build)
-
-
-def train_test(spark, data_dir, pct=80):
-    _, enc, _ = design(spark, data_dir)
-    return split.train_test(enc, "key", pct)
+_memo = memo
 
 
 SPLIT_SQL = "('0x' || substr(md5(CAST(key AS VARCHAR)), 1, 8))::BIGINT % 100"

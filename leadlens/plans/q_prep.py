@@ -10,9 +10,8 @@ from ..operators.profile import value_counts
 from ..sources.issues import issues
 from ..sources.tables import table
 from .registry import register, rounded, with_issues
+from .shared import SHORT_TYPES, design
 
-# The segments treated as "Short" issue types in the derived data.
-SHORT_TYPES = ["BUILDING", "HOUSEHOLD", "MACHINERY"]
 _SHORT_SQL = ", ".join(f"'{t}'" for t in SHORT_TYPES)
 LAB = "resolutiondate IS NOT NULL AND created IS NOT NULL"
 
@@ -263,7 +262,7 @@ FROM {src} s, lv"""
 @register("encoded_design_long", with_issues(_long_sql("tr", True), LAB_CTE + ",\n" + _TR))
 def encoded_design_long(spark, data_dir):
     """The encoded training design (numeric logs, k-1 dummies, ln target) in long form."""
-    _, enc = modeling_data.design(issues(spark, data_dir), 10, SHORT_TYPES)
+    _, enc, _ = design(spark, data_dir)
     return rounded(modeling_data.to_long(enc))
 
 
@@ -281,7 +280,7 @@ def serving_design_long(spark, data_dir):
     """Open issues encoded with the pipeline fitted on labelled ones (training levels,
     training column order, unseen levels all-zero)."""
     df = issues(spark, data_dir)
-    model, _ = modeling_data.design(df, 10, SHORT_TYPES)
+    model, _, _ = design(spark, data_dir)
     _, op = clean.split_labelled(df)
     return rounded(modeling_data.to_long(encode.encode(model, op)))
 
@@ -301,7 +300,7 @@ WHERE ('0x' || substr(md5(CAST(key AS VARCHAR)), 1, 8))::BIGINT % 100 >= 75""",
 )
 def minmax_scaled(spark, data_dir):
     """Min-max scaling fitted on the 75 % training part, applied to the test part."""
-    _, enc = modeling_data.design(issues(spark, data_dir), 10, SHORT_TYPES)
+    _, enc, _ = design(spark, data_dir)
     train, test = split.train_test(enc, "key", 75)
     cols = ["comment_count", "watch_count", "summary_length"]
     sc = encode.MinMaxScaling(inputCols=cols).fit(train)
@@ -320,5 +319,5 @@ FROM tr""",
     ),
 )
 def poly2_terms(spark, data_dir):
-    _, enc = modeling_data.design(issues(spark, data_dir), 10, SHORT_TYPES)
+    _, enc, _ = design(spark, data_dir)
     return rounded(encode.poly2(enc, ["comment_count", "watch_count"], keep=["key"]))
