@@ -3,6 +3,8 @@ source queries."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.ml.feature import RFormula
 from pyspark.sql import Window
@@ -643,6 +645,6 @@ def json_canonical(spark, data_dir):
 @register("csv_roundtrip", with_issues("SELECT * FROM issues"))
 def csv_roundtrip(spark, data_dir):
     """The issue table written as header CSV and read back with the declared schema."""
-    path = f"{checkpoint_root(spark)}/leadlens-issues-csv"
+    path = f"{checkpoint_root(spark)}/leadlens-issues-csv-{uuid.uuid4().hex}"
     files.write_csv(issues(spark, data_dir), path)
     return files.read_issues_csv(spark, path)
