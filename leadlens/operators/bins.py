@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import quantiles_from_ranked, ranked_value_counts
+from .ordering import approx_quantiles, quantiles_from_ranked, ranked_value_counts
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -84,7 +84,7 @@ def equal_width_hist(df: DataFrame, col: str, bins: int = 10, by: Sequence[str]
     )
 
 
-def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), approx_accuracy: int | None = None) -> DataFrame:
     """Box-plot statistics of ``col`` per ``by`` group: n, mean, min, q1, median, q3, max,
     iqr, whiskers (the most extreme data points within 1.5 IQR of the quartiles) and the
     number of outliers beyond them. Quartiles are exact (linear interpolation).
@@ -92,8 +92,13 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     The data is scanned once, into (group, value, count); quartiles, whiskers, outlier
     counts and the mean are all computed from that distinct-value table."""
     by = list(by)
-    cum = ranked_value_counts(df, col, by)
-    q = quantiles_from_ranked(cum, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
+    if approx_accuracy:
+        # Sketch quartiles (one pass); whiskers and outliers from a second pass over rows.
+        q = approx_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"], approx_accuracy)
+        cum = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull()).withColumn("_c", F.lit(1))
+    else:
+        cum = ranked_value_counts(df, col, by)
+        q = quantiles_from_ranked(cum, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("_lf", F.col("q1") - 1.5 * F.col("iqr")).withColumn("_hf", F.col("q3") + 1.5 * F.col("iqr"))
     base = cum.select(*by, "_x", "_c")

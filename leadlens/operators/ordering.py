@@ -143,6 +143,18 @@ def quantiles_from_ranked(cum: DataFrame, probs: Sequence[float], by: Sequence[s
     return agg.select(*out)
 
 
+def approx_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                     names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+    """One-pass quantiles from mergeable sketches (``percentile_approx``; rank error about
+    1/accuracy): for when an exact answer is not needed at very large scale."""
+    by = list(by)
+    names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
+    x = F.col(col).cast("double")
+    qs = F.percentile_approx(x, [float(p) for p in probs], accuracy)
+    agg = df.where(x.isNotNull()).groupBy(*by).agg(F.count(x).alias("n"), qs.alias("_q"))
+    return agg.select(*by, F.col("n").cast("bigint"), *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+
+
 def exact_quantiles(
     df: DataFrame,
     col: str,

@@ -79,3 +79,14 @@ def test_not_fixed_keeps_null_resolution(spark):
     got = {r["subset"]: r["count"] for r in profile.subset_counts(df, closure_rules()).collect()}
     assert got["closed_not_fixed"] == 2 and got["resolved_not_fixed"] == 1  # NULL counts as not Fixed
     assert df.where(F.col("resolution") != "Fixed").count() == 1  # plain != would lose the NULL rows
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(("a", "b")[i % 2], float(v)) for i, v in enumerate(rng.normal(size=4000))], "g string, x double")
+    ex = {r["g"]: r for r in bins.box_stats(df, "x", ["g"]).collect()}
+    ap = {r["g"]: r for r in bins.box_stats(df, "x", ["g"], approx_accuracy=10000).collect()}
+    for g in "ab":
+        assert ap[g]["n"] == ex[g]["n"]
+        assert abs(ap[g]["median"] - ex[g]["median"]) < 0.01
+        assert ap[g]["max"] == ex[g]["max"]
