@@ -116,7 +116,7 @@ def _pv(coef, x):
     return sum(c * x ** i for i, c in enumerate(coef))
 
 
-def shapiro(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
+def shapiro(df: DataFrame, col: str, alpha: float = 0.05, ks: bool = True) -> DataFrame:
     """Shapiro-Wilk W with Royston's (1995) weights and p-value, for n >= 6.
 
     Pass 1 ranks the values (range partitions) and, in one aggregate, collects n, the
@@ -145,7 +145,7 @@ def shapiro(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
                               agg["x_n"], agg["m_n"], agg["m_n1"])
     spark = df.sparkSession
     ks_stat = ks_p = None
-    if agg["n"] and agg["n"] > 1:
+    if ks and agg["n"] and agg["n"] > 1:
         # Royston's p-value is calibrated up to n = 5000; Kolmogorov-Smirnov against the
         # fitted normal is reported alongside for any n (distributed, Spark ML).
         sd = x.agg(F.stddev_samp("_x")).first()[0]

@@ -63,6 +63,38 @@ def normality_duration(spark, data_dir):
     return rounded(stattests.normality(df, "duration_min"))
 
 
+def _shapiro_w_sql() -> str:
+    from ..functions.dist import norm_ppf_sql
+    from ..operators.stattests import _AN, _AN1
+
+    def pv(coef, x):
+        return " + ".join(f"{c!r} * power({x}, {i})" for i, c in enumerate(coef))
+
+    mi = norm_ppf_sql("(CAST(i AS DOUBLE) - 0.375) / (n + 0.25)")
+    return with_issues(
+        f"""SELECT CAST(n AS BIGINT) AS n,
+       round(least(power(inner_ / sqrt(phi) + an * (x_n - x_1) + an1 * (x_n1 - x_2), 2) / ss, 1.0), 6) AS w
+FROM (SELECT *, (mm - 2 * m_n * m_n - 2 * m_n1 * m_n1) / (1 - 2 * an * an - 2 * an1 * an1) AS phi,
+             mx - m_n * x_n + m_n * x_1 - m_n1 * x_n1 + m_n1 * x_2 AS inner_
+      FROM (SELECT *, m_n / sqrt(mm) + ({pv(_AN, 'u')}) AS an, m_n1 / sqrt(mm) + ({pv(_AN1, 'u')}) AS an1
+            FROM (SELECT *, 1 / sqrt(n) AS u FROM agg, ss_)))""",
+        f"""d AS (SELECT CAST(summary_length AS DOUBLE) AS x FROM issues WHERE summary_length IS NOT NULL),
+r AS (SELECT x, row_number() OVER (ORDER BY x) AS i, count(*) OVER () AS n FROM d),
+m AS (SELECT x, i, n, {mi} AS mi FROM r),
+agg AS (SELECT max(n) AS n, sum(mi * mi) AS mm, sum(mi * x) AS mx,
+               max(CASE WHEN i = n THEN x END) AS x_n, max(CASE WHEN i = n - 1 THEN x END) AS x_n1,
+               max(CASE WHEN i = 1 THEN x END) AS x_1, max(CASE WHEN i = 2 THEN x END) AS x_2,
+               max(CASE WHEN i = n THEN mi END) AS m_n, max(CASE WHEN i = n - 1 THEN mi END) AS m_n1 FROM m),
+ss_ AS (SELECT sum((x - (SELECT avg(x) FROM d)) * (x - (SELECT avg(x) FROM d))) AS ss FROM d)""",
+    )
+
+
+@register("shapiro_w_summary_length", _shapiro_w_sql())
+def shapiro_w_summary_length(spark, data_dir):
+    """The Shapiro-Wilk W statistic of summary_length (Royston's weights)."""
+    return rounded(stattests.shapiro(issues(spark, data_dir), "summary_length", ks=False).select("n", "w"))
+
+
 @register("shapiro_summary_length")
 def shapiro_summary_length(spark, data_dir):
     """Shapiro-Wilk test of summary_length (Royston weights and p-value)."""
