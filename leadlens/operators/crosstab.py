@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import rank_rows
+
 
 def pair_counts(df: DataFrame, a: str, b: str, top: int | None = None) -> DataFrame:
     """Counts of (a, b) pairs with both keys non-null, descending (ties by a, b);
@@ -20,10 +22,13 @@ def pair_counts(df: DataFrame, a: str, b: str, top: int | None = None) -> DataFr
 
 def rank_columns_by_total(pairs: DataFrame, a: str, b: str, keep: int | None = None) -> DataFrame:
     """Long form of the wide table: add ``col_rank`` (1 = the ``b`` level with the largest
-    total, ties by name) and keep the first ``keep`` levels. ``pairs`` is small (a top-k)."""
-    totals = pairs.groupBy(b).agg(F.sum("n").alias("_tot"))
-    totals = totals.withColumn("col_rank", F.row_number().over(Window.orderBy(F.desc("_tot"), F.asc(b))))
-    out = pairs.join(totals.select(b, "col_rank"), b)
+    total, ties by name) and keep the first ``keep`` levels."""
+    totals = pairs.groupBy(b).agg((-F.sum("n")).alias("_neg_tot"))
+    # Distributed ranking (largest total first, ties by name): no single-task window even
+    # when ``pairs`` is not a small top-k.
+    ranked = rank_rows(totals, ["_neg_tot", b], rank_col="_r")
+    totals = ranked.select(b, (F.col("_r") + 1).cast("int").alias("col_rank"))
+    out = pairs.join(totals, b)
     return out.where(F.col("col_rank") <= keep) if keep else out
 
 
