@@ -10,19 +10,16 @@ from pyspark.ml.feature import RFormula
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import (clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees)
+from ..functions import scalar as S
+from ..operators import clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees
 from ..operators import moments as M
 from ..session import checkpoint_root
-from ..functions import scalar as S
 from ..sources import files, jsonops
 from ..sources.issues import issues
 from ..sources.tables import table
-from .q_prep import LAB_CTE, _TR
-from .shared import SHORT_TYPES, design, memo, train_test  # noqa: F401
+from .q_prep import _TR, LAB_CTE
 from .registry import register, rounded, with_issues
-
-_memo = memo
-
+from .shared import SHORT_TYPES, design, memo, train_test  # noqa: F401
 
 SPLIT_SQL = "('0x' || substr(md5(CAST(key AS VARCHAR)), 1, 8))::BIGINT % 100"
 TR_SPLIT = LAB_CTE + ",\n" + _TR + f",\ntrs AS (SELECT *, {SPLIT_SQL} < 80 AS is_train FROM tr)"
@@ -187,7 +184,7 @@ def _simple(spark, data_dir):
         train, test = train_test(spark, data_dir)
         return linear.ols(M.moments(train, ["comment_count"], "log_duration")), train, test
 
-    return _memo(spark, data_dir, "simple", build)
+    return memo(spark, data_dir, "simple", build)
 
 
 @register(
@@ -285,7 +282,7 @@ def _ols_full(spark, data_dir):
         _, _, feats = design(spark, data_dir)
         return linear.ols_summary(train, feats, "log_duration", order=["key"])
 
-    return _memo(spark, data_dir, "ols_full", build)
+    return memo(spark, data_dir, "ols_full", build)
 
 
 @register("ols_coefficients")
@@ -335,7 +332,7 @@ def _scaled_split(spark, data_dir):
         mom = M.moments(flagged, feats, "log_duration", group="is_train")
         return mom.group(True), mom.group(False), feats
 
-    return _memo(spark, data_dir, "scaled", build)
+    return memo(spark, data_dir, "scaled", build)
 
 
 @register("ridge_fit")
@@ -462,7 +459,7 @@ def _fold_mom(spark, data_dir):
         folded = split.contiguous_folds(enc.join(lab, "key"), ["created", "key"], 5)
         return select.fold_moments(folded, feats, "log_duration")
 
-    return _memo(spark, data_dir, "foldmom", build)
+    return memo(spark, data_dir, "foldmom", build)
 
 
 @register("feature_selection_table")
@@ -504,7 +501,7 @@ def _models(spark, data_dir):
         lm = linear.OLSModel.from_fit(linear.ols(M.moments(train, feats, "log_duration")))
         return {"linear": lm, "tree": t, "forest": f}
 
-    return _memo(spark, data_dir, "models", build)
+    return memo(spark, data_dir, "models", build)
 
 
 @register("tree_importances")
@@ -612,7 +609,7 @@ def _json_lines_path(spark, data_dir):
         ev.select(rec.alias("value")).write.mode("overwrite").text(path)
         return path
 
-    return _memo(spark, data_dir, "jsonl", build)
+    return memo(spark, data_dir, "jsonl", build)
 
 
 # Declared record schema: no inference pass over the files.
