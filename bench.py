@@ -45,17 +45,21 @@ def main() -> None:
     t0 = time.time()
     issues(spark, data_dir).write.format("noop").mode("overwrite").save()
     build = time.time() - t0
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         t = time.time()
-        qs[name](spark, data_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
+        try:
+            qs[name](spark, data_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t, 3)
+        except Exception as e:  # keep measuring the rest; report the failure
+            errors[name] = repr(e)[:300]
     m = re.search(r"sf([0-9.]+)", data_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "errors": errors,
         "issues_build_sec": round(build, 3),
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
