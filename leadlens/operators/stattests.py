@@ -30,44 +30,25 @@ def central_moments(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def _omnibus_exprs(n: Column, s: Column, k: Column) -> tuple[Column, Column]:
-    """(Z_skew, Z_kurtosis): D'Agostino (1970) and Anscombe & Glynn (1983) transforms."""
-    y = s * F.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
-    beta2 = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
-    w2 = F.lit(-1.0) + F.sqrt(2.0 * (beta2 - 1))
-    delta = F.lit(1.0) / F.sqrt(0.5 * F.ln(w2))
-    alpha = F.sqrt(2.0 / (w2 - 1))
-    y = F.when(y == 0, F.lit(1.0)).otherwise(y)
-    z_s = delta * F.ln(y / alpha + F.sqrt((y / alpha) * (y / alpha) + 1))
-    e = 3.0 * (n - 1) / (n + 1)
-    varb2 = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
-    xk = (k - e) / F.sqrt(varb2)
-    sb1 = 6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
-    a = 6.0 + 8.0 / sb1 * (2.0 / sb1 + F.sqrt(1 + 4.0 / (sb1 * sb1)))
-    t1 = 1 - 2.0 / (9.0 * a)
-    denom = 1 + xk * F.sqrt(2.0 / (a - 4.0))
-    t2 = F.signum(denom) * F.cbrt((1 - 2.0 / a) / F.abs(denom))
-    z_k = (t1 - t2) / F.sqrt(2.0 / (9.0 * a))
-    return z_s, z_k
-
-
 def normality(df: DataFrame, col: str) -> DataFrame:
     """One row: n, skew, kurtosis, Jarque-Bera and its p-value, omnibus K^2 and its
-    p-value (both chi-square with 2 df, so p = exp(-stat/2))."""
-    m = central_moments(df, col)
-    n, s, k = F.col("n").cast("double"), F.col("skew"), F.col("kurtosis")
-    jb = n / 6.0 * (s * s + (k - 3) * (k - 3) / 4.0)
-    z_s, z_k = _omnibus_exprs(n, s, k)
-    # The omnibus transforms divide by (n - 2), (n - 3), ...: defined from n = 4 on.
-    k2 = F.when(n > 3, z_s * z_s + z_k * z_k)
-    return m.select(
-        F.col("n").cast("bigint").alias("n"),
-        "skew",
-        "kurtosis",
-        jb.alias("jarque_bera"),
-        F.exp(-jb / 2).alias("jb_p_value"),
-        k2.alias("omnibus"),
-        F.exp(-k2 / 2).alias("omnibus_p_value"),
+    p-value (both chi-square with 2 df, so p = exp(-stat/2)). One aggregate over the
+    data; the two statistics are closed forms of its three numbers. The omnibus needs
+    n >= 8 (D'Agostino's skewness transform)."""
+    m = central_moments(df, col).first()
+    n, sk, ku = m["n"], m["skew"], m["kurtosis"]
+    jb = jbp = k2 = k2p = None
+    if n and sk is not None and ku is not None and not (math.isnan(sk) or math.isnan(ku)):
+        jb, jbp = jarque_bera_from(n, sk, ku)
+        if n >= 8:
+            try:
+                k2, k2p = omnibus_from(n, sk, ku)
+            except (ValueError, ZeroDivisionError):
+                k2 = k2p = None
+    return df.sparkSession.createDataFrame(
+        [(int(n or 0), sk, ku, jb, jbp, k2, k2p)],
+        "n bigint, skew double, kurtosis double, jarque_bera double, jb_p_value double, omnibus double, "
+        "omnibus_p_value double",
     )
 
 
