@@ -29,13 +29,14 @@ def _fold_scores(zz: np.ndarray, zy: np.ndarray, yy: np.ndarray, n: np.ndarray,
     sel = [0] + [i + 1 for i in idx]
     zz_s = zz[:, sel][:, :, sel]
     zy_s = zy[:, sel]
-    tot_zz, tot_zy = zz_s.sum(0), zy_s.sum(0)
-    out = np.empty(len(n))
-    for f in range(len(n)):
-        b = np.linalg.lstsq(tot_zz - zz_s[f], tot_zy - zy_s[f], rcond=None)[0]
-        rss = yy[f] - 2 * b @ zy_s[f] + b @ zz_s[f] @ b
-        out[f] = rss / n[f]
-    return out
+    tr_zz = zz_s.sum(0) - zz_s  # training moments of each fold: all other folds
+    tr_zy = zy_s.sum(0) - zy_s
+    try:
+        b = np.linalg.solve(tr_zz, tr_zy[..., None])[..., 0]  # all folds in one batched solve
+    except np.linalg.LinAlgError:  # a column constant within some training part
+        b = np.stack([np.linalg.lstsq(tr_zz[f], tr_zy[f], rcond=None)[0] for f in range(len(n))])
+    rss = yy - 2 * np.einsum("fq,fq->f", b, zy_s) + np.einsum("fq,fqr,fr->f", b, zz_s, b)
+    return rss / n
 
 
 def cv_scores(mom: Moments, idx: Sequence[int]) -> np.ndarray:
@@ -50,10 +51,11 @@ def _score(mom, subset, cache):
     return cache[key]
 
 
-def sequential(mom: Moments, forward: bool = True, floating: bool = False) -> dict[int, tuple]:
-    """{k: (subset tuple, fold scores)} for k = 1..p."""
+def sequential(mom: Moments, forward: bool = True, floating: bool = False, cache: dict | None = None) -> dict[int, tuple]:
+    """{k: (subset tuple, fold scores)} for k = 1..p (``cache`` may be shared between
+    searches over the same moments)."""
     p = mom.p
-    cache: dict = {}
+    cache = {} if cache is None else cache
     best: dict[int, tuple] = {}
 
     def mean(sub):
@@ -103,9 +105,10 @@ def search_table(spark: SparkSession, mom: Moments, methods: Sequence[str] = tup
     error and the ``confidence`` half-width (t with folds-1 df), plus ``is_best`` on the
     size with the lowest mean MSE (sizes 1..p)."""
     rows = []
+    cache: dict = {}
     for m in methods:
         fwd, flt = METHODS[m]
-        res = sequential(mom, fwd, flt)
+        res = sequential(mom, fwd, flt, cache)
         means = {k: float(np.mean(v[1])) for k, v in res.items()}
         kbest = min(means, key=lambda k: (means[k], k))
         for k, (sub, sc) in sorted(res.items()):
