@@ -462,23 +462,27 @@ def _fold_mom(spark, data_dir):
     return memo(spark, data_dir, "foldmom", build)
 
 
+def _search(spark, data_dir):
+    return memo(spark, data_dir, "search", lambda: select.search_table(spark, _fold_mom(spark, data_dir)))
+
+
 @register("feature_selection_table")
 def feature_selection_table(spark, data_dir):
     """Forward, backward, floating forward and floating backward searches: per size the
     feature set, 5-fold CV MSE per fold, mean, sd, se and 90 % bound; best size flagged."""
-    return rounded(select.search_table(spark, _fold_mom(spark, data_dir)))
+    return rounded(_search(spark, data_dir))
 
 
 @register("feature_selection_consensus")
 def feature_selection_consensus(spark, data_dir):
     """Which features each method's best subset keeps (1/0), over their union."""
-    return select.consensus(select.search_table(spark, _fold_mom(spark, data_dir)))
+    return select.consensus(_search(spark, data_dir))
 
 
 @register("best_subset_size")
 def best_subset_size(spark, data_dir):
     """Arg-min of mean CV MSE over sizes 1..p per method."""
-    t = select.search_table(spark, _fold_mom(spark, data_dir))
+    t = _search(spark, data_dir)
     return rounded(t.groupBy("method").agg(F.min_by("k", "avg_mse").alias("best_k"), F.min("avg_mse").alias("best_mse")))
 
 
