@@ -498,12 +498,20 @@ def exhaustive_selection(spark, data_dir):
 # ---------------------------------------------------------------- trees and scoring
 def _models(spark, data_dir):
     def build():
+        from concurrent.futures import ThreadPoolExecutor
+
         train, _ = train_test(spark, data_dir)
         _, _, feats = design(spark, data_dir)
-        t = trees.fit_tree(train, feats, "log_duration", max_depth=5, max_leaves=35, seed=0)
-        f = trees.fit_forest(train, feats, "log_duration", num_trees=100, max_depth=50, max_leaves=50, seed=0)
-        lm = linear.OLSModel.from_fit(linear.ols(M.moments(train, feats, "log_duration")))
-        return {"linear": lm, "tree": t, "forest": f}
+        fits = {
+            "linear": lambda: linear.OLSModel.from_fit(linear.ols(M.moments(train, feats, "log_duration"))),
+            "tree": lambda: trees.fit_tree(train, feats, "log_duration", max_depth=5, max_leaves=35, seed=0),
+            "forest": lambda: trees.fit_forest(train, feats, "log_duration", num_trees=100, max_depth=50,
+                                               max_leaves=50, seed=0),
+        }
+        # Independent fits run as concurrent Spark jobs (as CrossValidator(parallelism) does).
+        with ThreadPoolExecutor(max_workers=len(fits)) as pool:
+            futures = {k: pool.submit(f) for k, f in fits.items()}
+            return {k: fut.result() for k, fut in futures.items()}
 
     return memo(spark, data_dir, "models", build)
 
