@@ -12,7 +12,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import cleanup_at_exit, scratch_path
 from .linear import assemble
 
 MLLIB_MAX_DEPTH = 30
@@ -55,8 +55,9 @@ def importances(spark: SparkSession, model, features: Sequence[str]) -> DataFram
 def tree_nodes(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
     """Node table of a fitted tree read from the saved model's node data: id, prediction,
     impurity, gain, children, split feature name and threshold (the content of a .dot export)."""
-    path = f"{checkpoint_root(spark)}/leadlens-tree-{model.uid}"
+    path = scratch_path(spark, f"tree-{model.uid}")
     model.write().overwrite().save(path)
+    cleanup_at_exit(spark, path)
     nodes = spark.read.parquet(f"{path}/data")
     names = F.array(*[F.lit(f) for f in features])
     return nodes.select(

@@ -3,8 +3,6 @@ source queries."""
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.ml.feature import RFormula
 from pyspark.sql import Window
@@ -13,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import clean, encode, evaluate, linear, modeling_data, score, select, split, stattests, trees
 from ..operators import moments as M
-from ..session import checkpoint_root
+from ..session import cleanup_at_exit, scratch_path
 from ..sources import files, jsonops
 from ..sources.issues import issues
 from ..sources.tables import table
@@ -607,7 +605,7 @@ def _json_lines_path(spark, data_dir):
     line) with a nested ``transitions`` list of 0..2 elements per record."""
 
     def build():
-        path = f"{checkpoint_root(spark)}/leadlens-events-jsonl"
+        path = scratch_path(spark, "events-jsonl")
         ev = table(spark, data_dir, "events")
         k = F.get_json_object("props", "$.k").cast("int")
         # k % 3 transitions per record; sequence(1, 0) would count down, so the list is
@@ -619,6 +617,7 @@ def _json_lines_path(spark, data_dir):
                                  lambda i: F.struct(F.col("event_type").alias("to"), i.alias("step"))),
                      lambda s: s["step"] <= F.pmod(k, F.lit(3))).alias("transitions")))
         ev.select(rec.alias("value")).write.mode("overwrite").text(path)
+        cleanup_at_exit(spark, path)
         return path
 
     return memo(spark, data_dir, "jsonl", build)
@@ -686,6 +685,7 @@ def json_canonical(spark, data_dir):
 @register("csv_roundtrip", with_issues("SELECT * FROM issues"))
 def csv_roundtrip(spark, data_dir):
     """The issue table written as header CSV and read back with the declared schema."""
-    path = f"{checkpoint_root(spark)}/leadlens-issues-csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "issues-csv")
     files.write_csv(issues(spark, data_dir), path)
+    cleanup_at_exit(spark, path)
     return files.read_issues_csv(spark, path)

@@ -53,16 +53,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def scratch_path(spark: SparkSession, tag: str, unique: bool = True) -> str:
+    """A folder under the shared checkpoint folder for this application's intermediate
+    data (pass it to :func:`cleanup_at_exit` once written)."""
+    import uuid
+
+    return f"{checkpoint_root(spark)}/leadlens-{tag}" + (f"-{uuid.uuid4().hex}" if unique else "")
+
+
+def cleanup_at_exit(spark: SparkSession, path: str) -> str:
+    """Have Hadoop's ``FileSystem.deleteOnExit`` remove ``path`` when the application
+    ends (it registers only paths that exist, so call this after writing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def write_and_read(df, tag: str):
     """Write ``df`` as Parquet to a fresh folder under the shared checkpoint folder and
     return it read back: cuts lineage and pins values computed once (for example
     partition ids), and survives the loss of the executors that computed it."""
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/leadlens-{tag}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, tag)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(cleanup_at_exit(spark, path))
 
 
 def broadcast_if_small(df, max_rows: int = 100_000):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_if_small, checkpoint_root, path_exists
+from ..session import broadcast_if_small, cleanup_at_exit, path_exists, scratch_path
 from .tables import table
 
 # Column order and types of the issue export.
@@ -181,9 +181,10 @@ def issues(spark: SparkSession, data_dir: str, materialize: bool = True) -> Data
     executors) instead of re-running the four-way join."""
     if not materialize:
         return issues_from_tables(spark, data_dir)
-    target = f"{checkpoint_root(spark)}/leadlens-issues-{_fingerprint(data_dir, ['orders', 'lineitem', 'customer', 'nation'])}"
+    target = scratch_path(spark, f"issues-{_fingerprint(data_dir, ['orders', 'lineitem', 'customer', 'nation'])}", unique=False)
     if not path_exists(spark, f"{target}/_SUCCESS"):
         issues_from_tables(spark, data_dir).write.mode("overwrite").parquet(target)
+        cleanup_at_exit(spark, target)
     return spark.read.schema(ISSUE_SCHEMA).parquet(target)
 
 
