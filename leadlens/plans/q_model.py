@@ -549,29 +549,26 @@ def _test_predictions(spark, data_dir):
 
 @register("model_test_metrics")
 def model_test_metrics(spark, data_dir):
-    """MAE, MSE, RMSE, R^2 of the linear model, tree and forest on the test split."""
+    """MAE, MSE, RMSE, R^2 of the linear model, tree and forest on the test split (one
+    pass over the scored rows)."""
     pr = _test_predictions(spark, data_dir)
-    out = None
-    for m in ("linear", "tree", "forest"):
-        r = evaluate.regression_metrics(pr, "log_duration", f"pred_{m}").select(F.lit(m).alias("model"), "*")
-        out = r if out is None else out.unionByName(r)
-    return rounded(out)
+    return rounded(evaluate.regression_metrics_by_model(
+        pr, "log_duration", {m: f"pred_{m}" for m in ("linear", "tree", "forest")}))
 
 
 @register("model_accuracy")
 def model_accuracy(spark, data_dir):
-    """Average error, MAPE, accuracy per model (log scale and minutes) and the forest's
-    improvement over the tree."""
+    """Average error, MAPE, accuracy per model (log scale and minutes) and the
+    improvement over the tree, from one pass over the scored rows."""
     pr = _test_predictions(spark, data_dir)
-    rows = None
+    pairs = {}
     for m in ("linear", "tree", "forest"):
-        for scale, y, p in (("log", F.col("log_duration"), F.col(f"pred_{m}")),
-                            ("minutes", F.exp("log_duration"), F.col(f"minutes_{m}"))):
-            r = evaluate.accuracy(pr.select(y.alias("y"), p.alias("p")), "y", "p").select(
-                F.lit(m).alias("model"), F.lit(scale).alias("scale"), "*")
-            rows = r if rows is None else rows.unionByName(r)
-    base = rows.where("model = 'tree'").select("scale", F.col("accuracy").alias("_base"))
-    return rounded(rows.join(base, "scale").withColumn("improvement_vs_tree", evaluate.improvement(F.col("accuracy"), F.col("_base"))).drop("_base"))
+        pairs[(m, "log")] = (F.col("log_duration"), F.col(f"pred_{m}"))
+        pairs[(m, "minutes")] = (F.exp("log_duration"), F.col(f"minutes_{m}"))
+    rows = evaluate.accuracy_by_model(pr, pairs)
+    # six rows: the tree's accuracy per scale as a column, by a grouped max (no join)
+    base = F.max(F.when(F.col("model") == "tree", F.col("accuracy"))).over(Window.partitionBy("scale"))
+    return rounded(rows.withColumn("improvement_vs_tree", evaluate.improvement(F.col("accuracy"), base)))
 
 
 def _open_scores(spark, data_dir):
