@@ -173,3 +173,28 @@ def serving_missing_columns(spark, data_dir):
     ])).alias("p")).select("p.*").distinct()
     wanted = spark.createDataFrame([(c, v) for c, v in pairs], "c string, v string")
     return wanted.join(present, ["c", "v"], "left_anti").select(F.concat_ws("_", "c", "v").alias("feature"))
+
+
+@register(
+    "box_event_gap_minutes",
+    """WITH g AS (SELECT CAST(date_sub('minute', ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS DOUBLE) AS x
+             FROM events),
+d AS (SELECT x FROM g WHERE x IS NOT NULL),
+st AS (SELECT CAST(count(x) AS BIGINT) AS n, round(avg(x), 6) AS mean, round(min(x), 6) AS min,
+              round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.5), 6) AS median,
+              round(quantile_cont(x, 0.75), 6) AS q3, round(max(x), 6) AS max,
+              round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 6) AS iqr,
+              quantile_cont(x, 0.25) AS q1r, quantile_cont(x, 0.75) AS q3r FROM d)
+SELECT st.n, st.mean, st.min, st.q1, st.median, st.q3, st.max, st.iqr,
+       round(min(CASE WHEN d.x >= st.q1r - 1.5 * (st.q3r - st.q1r) THEN d.x END), 6) AS lower_whisker,
+       round(max(CASE WHEN d.x <= st.q3r + 1.5 * (st.q3r - st.q1r) THEN d.x END), 6) AS upper_whisker,
+       CAST(count_if(d.x < st.q1r - 1.5 * (st.q3r - st.q1r) OR d.x > st.q3r + 1.5 * (st.q3r - st.q1r)) AS BIGINT) AS n_outliers
+FROM d CROSS JOIN st
+GROUP BY st.n, st.mean, st.min, st.q1, st.median, st.q3, st.max, st.iqr""",
+)
+def box_event_gap_minutes(spark, data_dir):
+    """Box statistics of sub-day durations: minutes between a user's consecutive events
+    (zero-minute gaps included, the open last gap of each user excluded)."""
+    from ..sources.issues import event_gaps
+
+    return rounded(bins.box_stats(clean.add_duration(event_gaps(spark, data_dir)), "duration_min"))
