@@ -102,6 +102,26 @@ def shares(df: DataFrame, segments: Mapping[str, Column], chart: str = "pie") ->
     )
 
 
+def shares_by_chart(df: DataFrame, charts: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """:func:`shares` for several charts from ONE aggregate over ``df``: (chart, segment,
+    position, count, share, base)."""
+    flat = {f"{c}\u0001{s}": rule for c, segs in charts.items() for s, rule in segs.items()}
+    pos = {f"{c}\u0001{s}": i + 1 for c, segs in charts.items() for i, s in enumerate(segs)}
+    counts = subset_counts(df, flat)
+    key = F.split(F.col("subset"), "\u0001")
+    lookup = F.create_map(*[x for k, v in pos.items() for x in (F.lit(k), F.lit(v))])
+    counts = counts.select(key[0].alias("chart"), key[1].alias("segment"),
+                           F.element_at(lookup, F.col("subset")).cast("int").alias("position"), "count")
+    # One row per listed segment: windows over a handful of rows.
+    w_all = Window.partitionBy("chart")
+    w_run = w_all.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        "chart", "segment", "position", "count",
+        F.try_divide(F.col("count"), F.sum("count").over(w_all)).alias("share"),
+        F.coalesce(F.sum("count").over(w_run), F.lit(0)).cast("bigint").alias("base"),
+    )
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 % (exact, interpolated), max per column.
 

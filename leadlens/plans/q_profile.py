@@ -193,14 +193,11 @@ def null_counts(spark, data_dir):
 
 def _composition(df):
     r = closure_rules()
-    pie = profile.shares(
-        df,
-        {"Fixed": F.col("resolution") == "Fixed", "AllOthers-closed": r["closed_not_fixed"],
-         "AllOthers-resolved": r["resolved_not_fixed"]},
-        chart="resolution",
-    )
-    st = profile.shares(df, {"Closed": r["closed"], "Resolved": r["resolved"]}, chart="status")
-    return rounded(pie.unionByName(st))
+    return rounded(profile.shares_by_chart(df, {
+        "resolution": {"Fixed": F.col("resolution") == "Fixed", "AllOthers-closed": r["closed_not_fixed"],
+                       "AllOthers-resolved": r["resolved_not_fixed"]},
+        "status": {"Closed": r["closed"], "Resolved": r["resolved"]},
+    }))
 
 
 def _composition_sql() -> str:
