@@ -140,12 +140,14 @@ def box_outliers(df: DataFrame, col: str, by: Sequence[str] = (), keep: Sequence
 
 
 def hist2d(df: DataFrame, x: str, y: str, x_edges: Sequence[float] | None = None,
-           y_edges: Sequence[float] | None = None, nx: int = 20, ny: int = 20) -> DataFrame:
+           y_edges: Sequence[float] | None = None, nx: int = 20, ny: int = 20,
+           ranges: tuple | None = None) -> DataFrame:
     """Counts on a 2-D grid (the table behind a scatter plot): equal-width bins over each
-    column's range unless edges are given. Only non-empty cells are returned."""
+    column's range unless edges are given. Only non-empty cells are returned. ``ranges``
+    (x min, x max, y min, y max over complete pairs) skips the range pass when known."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.select(xs.alias("_x"), ys.alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    r = base.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")).first()
+    r = ranges if ranges is not None else base.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")).first()
     if r[0] is None:
         return df.sparkSession.createDataFrame([], "bx int, by int, count bigint")
 
