@@ -2,21 +2,71 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam
+from . import decontam, packing, warc
 from .common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file: in $TOKENIZERS_DIR, or where the installed package has it."""
+    if folder := os.environ.get("TOKENIZERS_DIR"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, url, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+h AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS head FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN head IS DISTINCT FROM page_id AND head IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head IS DISTINCT FROM page_id THEN head END AS refers_to, url
+FROM h
+"""
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Words by the contract's class; windows of 10 words, or a shorter item as a whole.
+OP4_SQL = r"""
+WITH low AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+          SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+occ AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+          SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM low, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, o.n, item_id FROM occ o JOIN win USING (s) WHERE o.n = win.n),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+met AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ks
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ks, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN pos USING (doc_id) LEFT JOIN met USING (doc_id)
+"""
+
+
+def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontamination,)}
+    return {f.__name__: f for f in (op1_warc_index, op4_decontamination, op10_packed_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_index": OP1_SQL, "op4_decontamination": OP4_SQL}
