@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, packing, warc
+from . import decontam, html, packing, warc
 from .common import table
 
 
@@ -60,12 +61,17 @@ FROM low LEFT JOIN pos USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_index, op4_decontamination, op10_packed_tokens)}
+    return {f.__name__: f for f in (op1_warc_index, op4_decontamination, op9_html_extraction, op10_packed_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
