@@ -14,6 +14,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -116,29 +117,32 @@ class Reader:
 
 class WordCache:
     """ids of white-space separated words, as little-endian unsigned 32-bit bytes. No token of
-    the tokenizer spans white space, so a text's ids are those of its words in order. The cache
-    is emptied when it holds ``most`` words."""
+    the tokenizer spans white space, so a text's ids are those of its words in order. Two
+    generations of at most about ``most`` words each are held: what the older one still serves
+    moves to the younger, the rest is forgotten with it."""
 
-    held: dict[str, tuple] = {}
+    held: dict[str, list] = {}
 
-    def __init__(self, model: str, most: int = 400_000):
+    def __init__(self, model: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         key = str(zlib.crc32(model.encode()))
         if key not in self.held:  # Python workers serve many tasks
-            self.held[key] = (Tokenizer.from_str(model), {})
-        self.tokenizer, self.words = self.held[key]
-        self.most = most
+            self.held[key] = [Tokenizer.from_str(model), {}, {}]
+        self.state, self.most = self.held[key], most
 
     def encode(self, texts: list[list[bytes]], end: bytes) -> list[bytes]:
-        words = self.words
+        tokenizer, words, old = self.state
         if len(words) > self.most:
-            words.clear()
-        new = list(set(chain.from_iterable(texts)) - words.keys())
+            self.state[1:] = words, old = {}, words
+        new = set(chain.from_iterable(texts)).difference(words)
+        known = new.intersection(old)
+        words.update((w, old[w]) for w in known)
+        new = list(new - known)
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, done, strict=True))
+            done = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            words.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, done, strict=True))
         return [b"".join([*map(words.__getitem__, t), end]) for t in texts]
 
 
