@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, packing, warc
+from . import decontam, html, minhash, packing, warc
 from .common import table
 
 
@@ -61,6 +61,25 @@ FROM low LEFT JOIN pos USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
 
+def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(table(spark, sf_dir, "documents"))
+
+
+#: Shingles as word lists; links through the shingles that two documents share; components.
+OP8_SQL = r"""
+WITH RECURSIVE low AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s FROM (
+         SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM low WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ways AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM both_ways JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT l.b, reach.r FROM reach JOIN link l ON l.a = reach.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id, d.doc_id = min(r) AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
@@ -71,8 +90,8 @@ def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_index, op4_decontamination, op9_html_extraction, op10_packed_tokens)}
+    return {f.__name__: f for f in (op1_warc_index, op4_decontamination, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_index": OP1_SQL, "op4_decontamination": OP4_SQL}
+    return {"op1_warc_index": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_circulant_minhash": OP8_SQL}
