@@ -16,10 +16,10 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +61,7 @@ class Writer:
         self.offsets, self.docs, self.starts, self.n = [len(MAGIC)], [], [0], 0
         out.write(MAGIC)
 
-    def add(self, doc_ids: list, counts: list[int], ids: np.ndarray) -> None:
+    def add(self, doc_ids: list, counts: list[int] | np.ndarray, ids: np.ndarray) -> None:
         self.docs += doc_ids
         self.starts += (self.n + np.cumsum(counts, dtype=np.int64)).tolist()
         self.n += len(ids)
@@ -116,34 +116,81 @@ class Reader:
 
 
 class WordCache:
-    """ids of white-space separated words, as little-endian unsigned 32-bit bytes. No token of
-    the tokenizer spans white space, so a text's ids are those of its words in order. Two
-    generations of at most about ``most`` words each are held: what the older one still serves
-    moves to the younger, the rest is forgotten with it."""
+    """ids of white-space separated words, as little-endian unsigned 32-bit bytes.
+
+    For a tokenizer that drops white space, lower-cases, and parts runs of letters from runs of
+    marks (:func:`fits` tries it), a text's ids are those of its words in order, and those of a
+    word that ends in marks are those of its letters, then of the marks. A run of ASCII letters
+    goes straight to the tokenizer's model, other words through the whole tokenizer.
+
+    Two generations of at most about ``most`` words each are held: what the older one still serves
+    moves to the younger, the rest is forgotten with it.
+    """
 
     held: dict[str, list] = {}
+    MARKS = b",.;:!?"
 
-    def __init__(self, model: str, most: int = 600_000):
+    def __init__(self, model: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         key = str(zlib.crc32(model.encode()))
         if key not in self.held:  # Python workers serve many tasks
-            self.held[key] = [Tokenizer.from_str(model), {}, {}]
+            self.held[key] = [Tokenizer.from_str(model), {}, {}, {}, {}]
         self.state, self.most = self.held[key], most
 
-    def encode(self, texts: list[list[bytes]], end: bytes) -> list[bytes]:
-        tokenizer, words, old = self.state
-        if len(words) > self.most:
-            self.state[1:] = words, old = {}, words
-        new = set(chain.from_iterable(texts)).difference(words)
-        known = new.intersection(old)
-        words.update((w, old[w]) for w in known)
-        new = list(new - known)
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids), each text closed by ``end_id``."""
+        split = pc.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
+        cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        ids = self._of(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        flat, word = np.frombuffer(b"".join(ids), "<u4"), coded.indices.to_numpy()
+        n = sizes[word]
+        ends = np.cumsum(n)
+        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[word] - ends + n, n)]
+        upto = np.concatenate([[0], ends])[cuts]
+        return np.diff(upto) + 1, np.insert(out, upto[1:], end_id)
+
+    def _of(self, wanted: list[bytes]) -> list[bytes]:
+        if len(self.state[1]) > self.most:
+            self.state[1:3] = {}, self.state[1]
+        if len(self.state[3]) > self.most:
+            self.state[3:5] = {}, self.state[3]
+        _, words, old, runs, _ = self.state
+        found = [words.get(w) or old.get(w) for w in wanted]
+        missing = [i for i, x in enumerate(found) if x is None]
+        parts = [(w, c.lower(), w[len(c) :]) if (c := w.rstrip(self.MARKS)).decode().isalpha() else (w, w, b"") for w in map(wanted.__getitem__, missing)]
+        self._runs({x for p in parts for x in p[1:]})
+        for i, (_, c, m) in zip(missing, parts, strict=True):
+            found[i] = runs[c] + runs[m]
+        words.update(zip(wanted, found, strict=True))
+        return found
+
+    def _runs(self, wanted: set[bytes]) -> None:
+        tokenizer, _, _, runs, old = self.state
+        wanted = wanted.difference(runs)
+        known = wanted.intersection(old)
+        runs.update((w, old[w]) for w in known)
+        new = list(wanted - known)
+        tokenize = tokenizer.model.tokenize
+        plain = [w for w in new if w.isalpha() and w.islower()]  # of bytes: ASCII letters only
+        runs.update((w, array("I", [t.id for t in tokenize(w.decode())]).tobytes()) for w in plain)
+        rest = [w for w in new if not (w.isalpha() and w.islower())]
+        for a in range(0, len(rest), 20_000):
+            part = rest[a : a + 20_000]
             done = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            words.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, done, strict=True))
-        return [b"".join([*map(words.__getitem__, t), end]) for t in texts]
+            runs.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, done, strict=True))
+
+
+def fits(tokenizer_json: str) -> bool:
+    """Whether the tokenizer encodes a text as its words, in trials of what could tell."""
+    from tokenizers import Tokenizer
+
+    whole, words = Tokenizer.from_str(tokenizer_json), WordCache(tokenizer_json)
+    trials = ["The cat, it's 12 B.C.!  a\tb\n\nc?! ", "Élan über; ÇA va: ñandú, I'll we've... don't", "x", "a ,b . c d's 's", "İstanbul ΑΣ ΑΣ. ﬁne e\u0301t\u00a0o \u0301"]
+    return all(words.encode(pa.array([t]), 0)[1].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 0] for t in trials)
 
 
 def write_tokens(docs: DataFrame, tokenizer_json: str, folder: str, end_id: int = 1, block: int = 4096) -> DataFrame:
@@ -153,21 +200,21 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, folder: str, end_id: int
     each document. The tokenizer's JSON text goes to the tasks (a few MB, fixed)."""
     from tokenizers import Tokenizer
 
+    if not fits(tokenizer_json):
+        raise ValueError("this tokenizer's ids of a text are not those of its words")
     bits = width(max(Tokenizer.from_str(tokenizer_json).get_vocab_size(with_added_tokens=True), end_id + 1))
     model = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache, writer, name = None, None, f"{uuid.uuid4().hex}.ids"
-        end = struct.pack("<I", end_id)
         for whole in batches:
-            for a in range(0, whole.num_rows, 1000):
-                b = whole.slice(a, 1000)
+            for a in range(0, whole.num_rows, 5000):
+                b = whole.slice(a, 5000)
                 if writer is None:
                     fs, root = filesystem(folder)
                     writer, cache = Writer(fs.open_output_stream(f"{root}/{name}", compression=None), bits, block), WordCache(model.value)
-                coded = cache.encode([t.encode("utf-8", "surrogatepass").split() if t else [] for t in b.column(1).to_pylist()], end)
-                writer.add(b.column(0).to_pylist(), [len(c) // 4 for c in coded], np.frombuffer(b"".join(coded), "<u4"))
+                writer.add(b.column(0).to_pylist(), *cache.encode(b.column(1), end_id))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_arrays(
