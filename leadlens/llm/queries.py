@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, minhash, packing, suffix, warc
+from . import decontam, html, lm, minhash, packing, suffix, warc
 from .common import table
 
 
@@ -65,6 +65,10 @@ FROM low LEFT JOIN pos USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"))
 
@@ -94,7 +98,7 @@ def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_index, op3_suffix_array_dedup, op4_decontamination, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
+    return {f.__name__: f for f in (op1_warc_index, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
