@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, lm, minhash, packing, suffix, warc
+from . import ann, decontam, html, lm, minhash, packing, suffix, warc
 from .common import table
 
 
@@ -36,6 +36,10 @@ FROM h
 """
 
 
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(table(spark, sf_dir, "documents"))
 
@@ -98,7 +102,7 @@ def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_index, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
+    return {f.__name__: f for f in (op1_warc_index, op2_projection_forest, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
