@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, html, lm, minhash, packing, sp, suffix, warc
+from . import ann, decontam, html, lm, minhash, packing, quality, sp, suffix, warc
 from .common import table
 
 
@@ -77,6 +77,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op7_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link(table(spark, sf_dir, "documents"))
 
@@ -106,7 +110,7 @@ def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_index, op2_projection_forest, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op6_sentencepiece, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
+    return {f.__name__: f for f in (op1_warc_index, op2_projection_forest, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op6_sentencepiece, op7_co_training, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
 
 
 def oracle_sql() -> dict[str, str]:
