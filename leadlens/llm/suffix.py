@@ -220,7 +220,7 @@ def _contexts(docs: DataFrame, need: DataFrame, classes: DataFrame, length: int,
 _FOUND = "anchor bigint, ctx bigint, firsts array<bigint>, lasts array<bigint>"
 
 
-def _sorted_shards(contexts: DataFrame, length: int, buffer: int = 1_000_000) -> DataFrame:
+def _sorted_shards(contexts: DataFrame, length: int, buffer: int = 300_000) -> DataFrame:
     """Suffix-sort shards, several small ones at a time; repeated starts as spans of each context."""
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
@@ -292,7 +292,7 @@ def _counted_shards(contexts: DataFrame, length: int, block: int = 16) -> DataFr
     return whole.union(hit)
 
 
-def repeats(docs: DataFrame, length: int = 400, shard_contexts: int = 2000, broadcast_rows: int = 500_000) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, length: int = 400, shard_contexts: int = 1000, broadcast_rows: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): doc_id, class, n_bytes of every row of ``docs`` (doc_id, text), and for each
     class with removed bytes its first_id and ``spans``, the maximal removed runs [from, to)."""
     scan = write_and_read(_scan(docs, length), "runs")
