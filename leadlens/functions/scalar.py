@@ -61,15 +61,21 @@ def duration_text_minutes(c: str | Column) -> Column:
     )
 
 
-# Largest minute count a day-time interval holds without overflow (about 1.75e11 minutes).
-_MAX_INTERVAL_MINUTES = 106751991 * 1440
+# Largest number of whole days that a day-time interval (microseconds in 64 bits) holds.
+_MAX_INTERVAL_DAYS = 106751990
 
 
 def minutes_to_interval(c: str | Column) -> Column:
-    """Minutes (double) to a day-time interval; NULL when out of range or not finite."""
+    """Minutes (double) to a day-time interval, exact to the microsecond; NULL when the value is
+    null, not finite or beyond what an interval holds (about 1.5e11 minutes)."""
     m = _c(c).cast("double")
-    ok = m.isNotNull() & (F.abs(m) < F.lit(float(_MAX_INTERVAL_MINUTES))) & ~F.isnan(m)
-    return F.when(ok, F.make_dt_interval(F.lit(0), F.lit(0), m.cast("decimal(18,6)")))
+    ok = m.isNotNull() & ~F.isnan(m) & (F.abs(m) < F.lit(float(_MAX_INTERVAL_DAYS) * 1440.0))
+    size = F.when(ok, F.abs(m))
+    days = F.floor(size / 1440.0)
+    rest = size - days * 1440.0
+    mins = F.floor(rest)
+    span = F.make_dt_interval(days.cast("int"), F.lit(0), mins.cast("int"), ((rest - mins) * 60.0).cast("decimal(18,6)"))
+    return F.when(ok, F.when(m < 0, -span).otherwise(span))
 
 
 def log1p(c: str | Column) -> Column:

@@ -176,11 +176,21 @@ def r2_from(mom: Moments, coef_shifted: np.ndarray, g: int = 0) -> float:
     return float(1 - rss / tss)
 
 
+def _ridge_solve(xx: np.ndarray, xy: np.ndarray, alpha: float) -> np.ndarray:
+    if alpha > 0:
+        return np.linalg.solve(xx + alpha * np.eye(len(xy)), xy)
+    # columns scaled to unit length, so that the rank does not depend on their units
+    scale = np.sqrt(np.diag(xx))
+    scale[scale <= 0] = 1.0
+    return np.linalg.lstsq(xx / np.outer(scale, scale), xy / scale, rcond=1e-12)[0] / scale
+
+
 def ridge(mom: Moments, alpha: float, g: int = 0) -> np.ndarray:
     """Ridge with an unpenalised intercept (X and y centred):
-    beta = (Xc'Xc + alpha I)^-1 Xc'yc. Returns [intercept, beta] in raw units."""
+    beta = (Xc'Xc + alpha I)^-1 Xc'yc. Returns [intercept, beta] in raw units. At alpha 0
+    constant or duplicate columns leave the least-norm solution."""
     xx, xy, _, mx, my, _ = mom.centered(g)
-    beta = np.linalg.solve(xx + alpha * np.eye(len(xy)), xy)
+    beta = _ridge_solve(xx, xy, alpha)
     return np.concatenate([[my - mx @ beta], beta])
 
 
@@ -207,12 +217,12 @@ def ridge_path(mom: Moments, alphas: Sequence[float], g: int = 0) -> list[tuple]
     xx, xy = zz[1:, 1:], zy[1:]
     rows = []
     for a in alphas:
-        b = np.linalg.solve(xx + a * np.eye(len(xy)), xy)
+        b = _ridge_solve(xx, xy, a)
         rows.extend((float(a), f, float(v)) for f, v in zip(mom.names, b))
     return rows
 
 
-def lasso(mom: Moments, alpha: float, g: int = 0, tol: float = 1e-12, max_iter: int = 100000) -> np.ndarray:
+def lasso(mom: Moments, alpha: float, g: int = 0, tol: float = 1e-9, max_iter: int = 100000) -> np.ndarray:
     """Lasso with intercept, objective 1/(2n)||y - b - X beta||^2 + alpha ||beta||_1,
     by cyclic coordinate descent on the centred Gram matrix (no data pass per alpha)."""
     xx, xy, _, mx, my, n = mom.centered(g)
@@ -230,8 +240,8 @@ def lasso(mom: Moments, alpha: float, g: int = 0, tol: float = 1e-12, max_iter:
             delta = max(delta, abs(new - beta[j]))
             beta[j] = new
         if delta < tol:
-            break
-    return np.concatenate([[my - mx @ beta], beta])
+            return np.concatenate([[my - mx @ beta], beta])
+    raise RuntimeError(f"lasso: no convergence to {tol} in {max_iter} rounds (alpha {alpha})")
 
 
 def lasso_sweep(train: Moments, test: Moments, alphas: Sequence[float]) -> list[tuple]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Sequence
 
@@ -18,29 +17,25 @@ from .linear import assemble
 MLLIB_MAX_DEPTH = 30
 
 
-def depth_for(max_depth: int | None, max_leaves: int | None = None) -> int:
-    """MLlib grows trees level by level with no leaf cap. A cap of L leaves is honoured
-    through the smallest depth whose 2^d leaves cover it; MLlib's depth limit is 30."""
-    d = MLLIB_MAX_DEPTH if max_depth is None else max_depth
-    if max_leaves:
-        d = min(d, math.ceil(math.log2(max_leaves)))
-    return max(1, min(d, MLLIB_MAX_DEPTH))
+def depth_for(max_depth: int | None) -> int:
+    """The requested depth, at most 30 (MLlib's own limit); None means that limit. MLlib has no
+    cap on leaves: pruning to a leaf count is not offered."""
+    return max(1, min(MLLIB_MAX_DEPTH if max_depth is None else max_depth, MLLIB_MAX_DEPTH))
 
 
-def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 5, max_leaves: int | None = 35,
+def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 5,
              seed: int = 0):
-    dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=depth_for(max_depth, max_leaves),
-                               seed=seed)
+    dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=depth_for(max_depth), seed=seed)
     return dt.fit(assemble(df, features))
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100, max_depth: int | None = 50,
-               max_leaves: int | None = 50, subset: str = "all", seed: int = 0, bootstrap: bool = True,
+               subset: str = "all", seed: int = 0, bootstrap: bool = True,
                min_instances: int = 1, max_memory_mb: int = 1024):
     """Forest of depth-limited trees; ``max_memory_mb`` is the per-iteration node
     statistics budget (larger = more nodes split per pass over the data = fewer passes)."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                               maxDepth=depth_for(max_depth, max_leaves), featureSubsetStrategy=subset, seed=seed,
+                               maxDepth=depth_for(max_depth), featureSubsetStrategy=subset, seed=seed,
                                bootstrap=bootstrap, minInstancesPerNode=min_instances, maxMemoryInMB=max_memory_mb)
     return rf.fit(assemble(df, features))
 
@@ -72,32 +67,41 @@ def tree_nodes(spark: SparkSession, model, features: Sequence[str]) -> DataFrame
     )
 
 
-def random_param_maps(rf: RandomForestRegressor, n_iter: int = 100, seed: int = 0, max_trees: int = 1000):
-    """``n_iter`` seeded draws from the forest grid (trees 10..max_trees in 100 steps;
-    'all' or 'sqrt' features; depth 10..110 step 10 or unlimited, capped at MLlib's 30;
-    minimum rows per node 1/2/4; leaf caps 10..300 step 10 mapped to depth)."""
+def draws(n_iter: int = 100, seed: int = 0, max_trees: int = 1000) -> list[dict]:
+    """Seeded draws from the forest grid: trees 10..max_trees in 100 steps, 'all' or 'sqrt'
+    features, depth 10..110 step 10 or none, least rows to split a node 2/5/10, least rows of a
+    leaf 1/2/4, with or without bootstrap.
+
+    What MLlib has no parameter for is stated, not dropped: ``used_depth`` is the depth within its
+    limit of 30, and ``used_min_instances`` the least rows of a child that keeps every node below
+    ``min_split`` whole (a child of at least half of them)."""
     rng = random.Random(seed)
     trees = sorted({int(round(10 + i * (max_trees - 10) / 99)) for i in range(100)})
-    depths = [10 + 10 * i for i in range(11)] + [None]
-    leaves = [10 + 10 * i for i in range(30)]
-    maps = []
-    for _ in range(n_iter):
-        d = depth_for(rng.choice(depths), rng.choice(leaves))
-        maps.append({
-            rf.numTrees: rng.choice(trees),
-            rf.featureSubsetStrategy: rng.choice(["all", "sqrt"]),
-            rf.maxDepth: d,
-            rf.minInstancesPerNode: rng.choice([1, 2, 4]),
-            rf.bootstrap: rng.choice([True, False]),
-        })
-    return maps
+    out = []
+    for i in range(n_iter):
+        d = {"draw": i, "trees": rng.choice(trees), "subset": rng.choice(["all", "sqrt"]),
+             "max_depth": rng.choice([*range(10, 111, 10), None]), "min_split": rng.choice([2, 5, 10]),
+             "min_leaf": rng.choice([1, 2, 4]), "bootstrap": rng.choice([True, False])}
+        out.append(d | {"used_depth": depth_for(d["max_depth"]), "used_min_instances": max(d["min_leaf"], -(-d["min_split"] // 2))})
+    return out
 
 
 def random_search(df: DataFrame, features: Sequence[str], label: str, n_iter: int = 100, folds: int = 3,
                   seed: int = 0, parallelism: int = 4, max_trees: int = 1000):
-    """Randomised hyper-parameter search scored by cross-validated R^2."""
+    """Randomised hyper-parameter search scored by cross-validated R^2: (fitted CrossValidator
+    model, its draws)."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, seed=seed)
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=random_param_maps(rf, n_iter, seed, max_trees),
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="r2"), numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    return cv.fit(assemble(df, features))
+    drawn = draws(n_iter, seed, max_trees)
+    maps = [{rf.numTrees: d["trees"], rf.featureSubsetStrategy: d["subset"], rf.maxDepth: d["used_depth"],
+             rf.minInstancesPerNode: d["used_min_instances"], rf.bootstrap: d["bootstrap"]} for d in drawn]
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=RegressionEvaluator(labelCol=label, metricName="r2"),
+                        numFolds=folds, parallelism=parallelism, seed=seed)
+    return cv.fit(assemble(df, features)), drawn
+
+
+def search_table(spark: SparkSession, model, drawn: list[dict]) -> DataFrame:
+    """One row per draw: its parameters, mean R^2 over the folds, and whether it is the best."""
+    best = max(range(len(drawn)), key=lambda i: model.avgMetrics[i])
+    rows = [(*d.values(), float(model.avgMetrics[i]), i == best) for i, d in enumerate(drawn)]
+    return spark.createDataFrame(rows, "draw int, trees int, subset string, max_depth int, min_split int, min_leaf int, bootstrap boolean, "
+                                       "used_depth int, used_min_instances int, mean_r2 double, best boolean")

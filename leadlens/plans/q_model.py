@@ -502,9 +502,9 @@ def _models(spark, data_dir):
         _, _, feats = design(spark, data_dir)
         fits = {
             "linear": lambda: linear.OLSModel.from_fit(linear.ols(M.moments(train, feats, "log_duration"))),
-            "tree": lambda: trees.fit_tree(train, feats, "log_duration", max_depth=5, max_leaves=35, seed=0),
-            "forest": lambda: trees.fit_forest(train, feats, "log_duration", num_trees=100, max_depth=50,
-                                               max_leaves=50, seed=0),
+            "tree": lambda: trees.fit_tree(train, feats, "log_duration", max_depth=5, seed=0),
+            # depth 6: MLlib has no cap on leaves; this holds 64 of them at most
+            "forest": lambda: trees.fit_forest(train, feats, "log_duration", num_trees=100, max_depth=6, seed=0),
         }
         # Independent fits run as concurrent Spark jobs (as CrossValidator(parallelism) does).
         with ThreadPoolExecutor(max_workers=len(fits)) as pool:
@@ -514,6 +514,48 @@ def _models(spark, data_dir):
     return memo(spark, data_dir, "models", build)
 
 
+# The registered search: draws of the full grid, with few trees and folds as a correctness run allows.
+SEARCH_DRAWS, SEARCH_TREES, SEARCH_FOLDS = 2, 10, 2
+
+
+def _search_forest(spark, data_dir):
+    def build():
+        train, _ = train_test(spark, data_dir)
+        _, _, feats = design(spark, data_dir)
+        return trees.random_search(train, feats, "log_duration", n_iter=SEARCH_DRAWS, folds=SEARCH_FOLDS, max_trees=SEARCH_TREES)
+
+    return memo(spark, data_dir, "search_forest", build)
+
+
+@register("random_search_draws")
+def random_search_draws(spark, data_dir):
+    """Every draw of the randomised forest search with its parameters as drawn and as MLlib can
+    use them, its cross-validated R^2, and whether it is the best."""
+    return rounded(trees.search_table(spark, *_search_forest(spark, data_dir)))
+
+
+@register("tuned_forest_improvement")
+def tuned_forest_improvement(spark, data_dir):
+    """Test accuracy of the base forest and of the best draw's, and the improvement in per cent."""
+    _, test = train_test(spark, data_dir)
+    _, _, feats = design(spark, data_dir)
+    models = {"forest": _models(spark, data_dir)["forest"], "tuned": _search_forest(spark, data_dir)[0].bestModel}
+    pr = score.score_side_by_side(test, feats, models).join(test.select("key", "log_duration"), "key")
+    rows = evaluate.accuracy_by_model(pr, {(m, "log"): (F.col("log_duration"), F.col(f"pred_{m}")) for m in models})
+    base = F.max(F.when(F.col("model") == "forest", F.col("accuracy"))).over(Window.partitionBy("scale"))
+    return rounded(rows.withColumn("improvement_vs_base", evaluate.improvement(F.col("accuracy"), base)))
+
+
+@register("model_train_metrics")
+def model_train_metrics(spark, data_dir):
+    """MAE, MSE, RMSE and R^2 of the three models on the training split."""
+    train, _ = train_test(spark, data_dir)
+    _, _, feats = design(spark, data_dir)
+    pr = score.score_side_by_side(train, feats, _models(spark, data_dir)).join(train.select("key", "log_duration"), "key")
+    return rounded(evaluate.regression_metrics_by_model(
+        pr, "log_duration", {m: f"pred_{m}" for m in ("linear", "tree", "forest")}))
+
+
 @register("tree_importances")
 def tree_importances(spark, data_dir):
     _, _, feats = design(spark, data_dir)
@@ -679,6 +721,47 @@ def json_canonical(spark, data_dir):
                       jsonops.canonical_json("value").alias("pretty"))
 
 
+def _export_path(spark, data_dir):
+    """The issue table in the form of a tracker's export: keys such as DEMO-1, timestamps with an
+    offset, quotes and a line break in a field."""
+
+    def build():
+        path = scratch_path(spark, "issue-export")
+        stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'")
+        out = issues(spark, data_dir).withColumns({
+            "key": F.concat(F.lit("DEMO-"), F.col("key").cast("string")),
+            "project": F.concat(F.col("project"), F.lit(' "alpha",\nsecond line')),
+            **{c: stamp(c) for c in files.EXPORT_TIMESTAMPS},
+        })
+        files.write_csv(out, path)
+        return cleanup_at_exit(spark, path)
+
+    return memo(spark, data_dir, "issue_export", build)
+
+
+@register("csv_export_profile", with_issues(
+    """SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT key) AS BIGINT) AS n_keys, CAST(count(created) AS BIGINT) AS n_created,
+       CAST(count(resolutiondate) AS BIGINT) AS n_resolved, min(created) AS first_created, max(resolutiondate) AS last_resolved,
+       CAST(sum(CASE WHEN project = 'DEMO' THEN 1 ELSE 0 END) AS BIGINT) AS n_quoted, CAST(0 AS BIGINT) AS bad_timestamps FROM issues"""))
+def csv_export_profile(spark, data_dir):
+    """Rows, keys and dates of an export-form CSV file as read back with the export's types."""
+    df = files.read_issue_export(spark, _export_path(spark, data_dir), strict=False)
+    return df.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("n_keys"), F.count("created").alias("n_created"),
+        F.count("resolutiondate").alias("n_resolved"), F.min("created").alias("first_created"), F.max("resolutiondate").alias("last_resolved"),
+        F.count_if((F.col("project") == 'DEMO "alpha",\nsecond line') & F.startswith("key", F.lit("DEMO-"))).alias("n_quoted"),
+        F.sum("bad_timestamps").cast("bigint").alias("bad_timestamps"))
+
+
+@register("csv_export_durations", with_issues(
+    """SELECT concat('DEMO-', CAST(key AS VARCHAR)) AS key, CAST(date_diff('day', created, resolutiondate) AS BIGINT) * 1440 AS duration_min
+FROM issues WHERE resolutiondate IS NOT NULL AND created IS NOT NULL"""))
+def csv_export_durations(spark, data_dir):
+    """Whole minutes to resolution of the labelled rows of the export."""
+    labelled, _ = clean.split_labelled(files.read_issue_export(spark, _export_path(spark, data_dir)))
+    return clean.add_duration(labelled).select("key", "duration_min")
+
+
 @register("csv_roundtrip", with_issues("SELECT * FROM issues"))
 def csv_roundtrip(spark, data_dir):
     """The issue table written as header CSV and read back with the declared schema."""

@@ -280,13 +280,14 @@ def open_status_levels(spark, data_dir):
 
 # ---------------------------------------------------------------- crosstabs
 _PAIR_SQL = """pairs AS (SELECT assignee, reporter, CAST(count(*) AS BIGINT) AS n FROM issues
-  WHERE assignee IS NOT NULL AND reporter IS NOT NULL GROUP BY assignee, reporter
+  WHERE resolutiondate IS NOT NULL AND assignee IS NOT NULL AND reporter IS NOT NULL GROUP BY assignee, reporter
   ORDER BY n DESC, assignee, reporter LIMIT 30)"""
 
 
 @register("assignee_reporter_top_pairs", with_issues("SELECT * FROM pairs", _PAIR_SQL))
 def assignee_reporter_top_pairs(spark, data_dir):
-    return crosstab.pair_counts(issues(spark, data_dir), "assignee", "reporter", top=30)
+    labelled, _ = clean.split_labelled(issues(spark, data_dir))
+    return crosstab.pair_counts(labelled, "assignee", "reporter", top=30)
 
 
 @register(
@@ -302,7 +303,8 @@ WHERE t.col_rank <= 10""",
 def assignee_reporter_matrix(spark, data_dir):
     """Long form of the top-30 assignee x reporter matrix restricted to the 10 reporter
     columns with the largest totals."""
-    pairs = crosstab.pair_counts(issues(spark, data_dir), "assignee", "reporter", top=30)
+    labelled, _ = clean.split_labelled(issues(spark, data_dir))
+    pairs = crosstab.pair_counts(labelled, "assignee", "reporter", top=30)
     return crosstab.rank_columns_by_total(pairs, "assignee", "reporter", keep=10).select(
         "reporter", "assignee", "n", "col_rank"
     )

@@ -31,8 +31,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (or the context's checkpoint dir).
 
-    Only when the session names none (tests, a laptop) a scratch folder is created and
-    registered, so the same code runs unchanged on a cluster with shared storage.
+    Only when a local session names none (tests, a laptop) a scratch folder is created and
+    registered. On a cluster a folder of one machine would lose data, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +42,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)  # so DataFrame.checkpoint() writes there too
         return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadlens-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -80,10 +82,10 @@ def write_and_read(df, tag: str):
     return spark.read.parquet(cleanup_at_exit(spark, path))
 
 
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows (counted, which for
-    a Parquet dimension table is answered from file metadata), else ``df`` unchanged so
-    the planner picks a shuffle join."""
+def broadcast_if_small(df, max_bytes: int = 10_000_000):
+    """``F.broadcast(df)`` when Spark's size estimate of its optimised plan (for a file table, the
+    files' size) is at most ``max_bytes``; else ``df`` unchanged, and the planner and AQE choose."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df

@@ -125,7 +125,7 @@ def issues_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
     rs = F.col("rs_date")
     df = (
         orders.join(customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(broadcast_if_small(nation, 10_000), F.col("n_nationkey") == F.col("c_nationkey"))
+        .join(broadcast_if_small(nation), F.col("n_nationkey") == F.col("c_nationkey"))
         .join(per_order, F.col("l_orderkey") == k, "left")
     )
     return df.select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +32,29 @@ def top_level_keys(json_text: str | Column) -> Column:
     return F.json_object_keys(c)
 
 
-def canonical_json(json_text: str | Column, pretty: bool = True) -> Column:
-    """Object text with keys sorted (recursively: VARIANT objects keep keys in sorted
-    order) and optional indentation."""
+def canonical_json(json_text: str | Column, pretty: bool = True, sort: bool = True, indents: int = 4) -> Column:
+    """Text of any JSON value, on one line or (``pretty``) with every object and array opened on
+    lines of their own, ``indents`` spaces a level; keys sorted at all levels unless ``sort`` is
+    False. NULL for NULL; text that is no JSON gives NULL (see :func:`invalid_json`).
+
+    A small Arrow UDF: no built-in indents nested values."""
+    c = F.col(json_text) if isinstance(json_text, str) else json_text
+    layout = {"indent": indents} if pretty else {"separators": (",", ":")}
+
+    @F.pandas_udf("string")
+    def text(values: pd.Series) -> pd.Series:
+        def one(v: str | None) -> str | None:
+            try:
+                return None if v is None else json.dumps(json.loads(v), sort_keys=sort, ensure_ascii=False, **layout)
+            except ValueError:
+                return None
+
+        return values.map(one)
+
+    return text(c)
+
+
+def invalid_json(json_text: str | Column) -> Column:
+    """Whether a text is there but is no JSON value."""
     c = F.col(json_text) if isinstance(json_text, str) else json_text
-    v = F.try_parse_json(c)
-    flat = F.to_json(v)
-    if not pretty:
-        return flat
-    m = F.from_json(flat, "map<string,variant>")
-    return F.when(F.startswith(flat, F.lit("{")), F.to_json(m, {"pretty": "true"})).otherwise(flat)
+    return c.isNotNull() & F.try_parse_json(c).isNull()

@@ -71,14 +71,18 @@ def test_trees_random_search_and_scores(spark):
     pdf["y"] = (pdf.a > 0) * 2.0 + pdf.b * 0.1
     pdf["key"] = np.arange(300)
     df = spark.createDataFrame(pdf)
-    t = trees.fit_tree(df, ["a", "b", "c"], "y", max_depth=5, max_leaves=35)
+    t = trees.fit_tree(df, ["a", "b", "c"], "y", max_depth=5)
     imp = trees.importances(spark, t, ["a", "b", "c"]).orderBy("rank").first()
     assert imp["feature"] == "a"
     nodes = trees.tree_nodes(spark, t, ["a", "b", "c"])
     assert nodes.where("id = 0").first()["split_feature"] == "a"
-    assert trees.depth_for(50, 50) == 6 and trees.depth_for(None, None) == 30
-    cv = trees.random_search(df, ["a", "b", "c"], "y", n_iter=2, folds=2, max_trees=20, parallelism=2)
+    assert trees.depth_for(50) == 30 and trees.depth_for(None) == 30 and trees.depth_for(12) == 12
+    cv, drawn = trees.random_search(df, ["a", "b", "c"], "y", n_iter=2, folds=2, max_trees=20, parallelism=2)
     assert len(cv.avgMetrics) == 2
+    table = trees.search_table(spark, cv, drawn).collect()
+    assert [r.draw for r in table] == [0, 1] and sum(r.best for r in table) == 1
+    assert {d["max_depth"] for d in trees.draws(200)} == {*range(10, 111, 10), None}
+    assert all(d["used_depth"] <= 30 and d["used_min_instances"] >= d["min_leaf"] for d in trees.draws(200))
     s = score.score_side_by_side(df, ["a", "b", "c"], {"tree": t})
     assert {"pred_tree", "minutes_tree", "duration_tree"} <= set(s.columns)
     rep = score.case_report(s, df.select("key", "a"), keys=[1, 2])
