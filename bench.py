@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from leadlens.plans import queries  # noqa: E402
+from leadlens.plans import queries, shared  # noqa: E402
 from leadlens.session import local_session  # noqa: E402
 from leadlens.sources.issues import issues  # noqa: E402
 
@@ -32,6 +32,14 @@ HEADLINE = [
     "feature_selection_table",
     "model_test_metrics",
     "open_issue_predictions",
+    "csv_export_durations",
+    "qq_summary_length",
+    "box_event_gap_minutes",
+    "two_predictor_statistics",
+    "ridge_sweep",
+    "lasso_sweep",
+    "lars_lasso_path",
+    "ols_residual_tables",
 ]
 
 
@@ -47,6 +55,7 @@ def main() -> None:
     build = time.time() - t0
     times, errors = {}, {}
     for name in HEADLINE:
+        shared.forget()  # each query pays for its own fits: cold times
         t = time.time()
         try:
             qs[name](spark, data_dir).write.format("noop").mode("overwrite").save()
@@ -55,8 +64,8 @@ def main() -> None:
             errors[name] = repr(e)[:300]
     m = re.search(r"sf([0-9.]+)", data_dir)
     print(json.dumps({
-        "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "metric": "headline_queries_cold_total_with_build",
+        "value": round(build + sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "errors": errors,

@@ -119,10 +119,16 @@ def betainc(a: float, b: float, x: float) -> float:
     return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
 
 
+_LARGE = 1e7
+
+
 def t_sf2(t: float, df: float) -> float:
-    """Two-sided p-value of a t statistic."""
+    """Two-sided p-value of a t statistic. Beyond _LARGE degrees of freedom, where the logs of
+    gamma would cancel, it is the normal one (the error is of order 1 / df)."""
     if math.isnan(t):
         return math.nan
+    if df > _LARGE:
+        return 2.0 * norm_sf(abs(t))
     return betainc(df / 2.0, 0.5, df / (df + t * t))
 
 
@@ -151,6 +157,7 @@ def f_sf(f: float, d1: float, d2: float) -> float:
         return math.nan
     if f <= 0:
         return 1.0
+    d2 = min(d2, _LARGE)  # the chi-square limit, to a relative 1 / _LARGE
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 

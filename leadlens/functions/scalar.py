@@ -12,6 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name: dots and backticks in it are no syntax."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..functions.scalar import named
 from . import clean
 
 # Issue types that tend to resolve quickly.
@@ -49,7 +50,7 @@ class RareLevels(Estimator, _Persist):
     def _fit(self, df: DataFrame) -> "RareLevelsModel":
         c = self.getOrDefault("inputCol")
         frequent = (
-            df.where(F.col(c).isNotNull())
+            df.where(named(c).isNotNull())
             .groupBy(c)
             .agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > self.getOrDefault("minCount"))
@@ -108,7 +109,7 @@ class LogCounts(Transformer, _Persist):
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in self.getOrDefault("inputCols") if c in df.columns})
+        return df.withColumns({c: F.log1p(named(c).cast("double")) for c in self.getOrDefault("inputCols") if c in df.columns})
 
 
 class DummyEncoder(Estimator, _Persist):
@@ -132,7 +133,7 @@ class DummyEncoder(Estimator, _Persist):
         cap = self.getOrDefault("maxLevels")
         # All level sets in one job: (column, level) pairs, distinct.
         pairs = df.select(
-            F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p")
+            F.explode(F.array(*[F.struct(F.lit(c).alias("c"), named(c).cast("string").alias("v")) for c in cols])).alias("p")
         ).select("p.*").where(F.col("v").isNotNull()).distinct()
         # Each level becomes a column, so the level list is the schema: fetch at most
         # cap + 1 rows and refuse (collapse rare levels first) rather than truncate.
@@ -168,7 +169,7 @@ class DummyEncoderModel(Model, _Persist):
         return [f"{c}_{v}" for c, v in self.pairs()]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        new = {f"{c}_{v}": (F.col(c) == F.lit(v)).cast("int") for c, v in self.pairs()}
+        new = {f"{c}_{v}": (named(c) == F.lit(v)).cast("int") for c, v in self.pairs()}
         new = {k: F.coalesce(e, F.lit(0)) for k, e in new.items()}
         out = df.withColumns(new)
         return out if self.getOrDefault("keepInput") else out.drop(*self.getOrDefault("inputCols"))
@@ -187,7 +188,7 @@ class MinMaxScaling(Estimator, _Persist):
 
     def _fit(self, df: DataFrame) -> "MinMaxScalingModel":
         cols = self.getOrDefault("inputCols")
-        r = df.agg(*[F.min(F.col(c).cast("double")) for c in cols], *[F.max(F.col(c).cast("double")) for c in cols]).first()
+        r = df.agg(*[F.min(named(c).cast("double")) for c in cols], *[F.max(named(c).cast("double")) for c in cols]).first()
         k = len(cols)
         return MinMaxScalingModel(inputCols=cols, mins=[float(r[i] or 0.0) for i in range(k)],
                                   maxs=[float(r[k + i] or 0.0) for i in range(k)])
@@ -206,7 +207,7 @@ class MinMaxScalingModel(Model, _Persist):
     def _transform(self, df: DataFrame) -> DataFrame:
         out = {}
         for c, lo, hi in zip(self.getOrDefault("inputCols"), self.getOrDefault("mins"), self.getOrDefault("maxs")):
-            x = F.col(c).cast("double")
+            x = named(c).cast("double")
             out[c] = F.lit(0.0) if hi == lo else (x - F.lit(lo)) / F.lit(hi - lo)
         return df.withColumns(out)
 
@@ -215,14 +216,14 @@ def poly2(df: DataFrame, cols: Sequence[str], bias: bool = False, keep: Sequence
     """Degree-2 polynomial terms: every x_i and every product x_i*x_j (i <= j), named
     ``a`` / ``a*b`` / ``a^2`` (plus ``1`` when ``bias``); ``keep`` columns pass through."""
     cols = list(cols)
-    terms = {k: F.col(k) for k in keep}
+    terms = {k: named(k) for k in keep}
     if bias:
         terms["1"] = F.lit(1.0)
     for c in cols:
-        terms[c] = F.col(c).cast("double")
+        terms[c] = named(c).cast("double")
     for i, a in enumerate(cols):
         for b in cols[i:]:
-            terms[f"{a}^2" if a == b else f"{a}*{b}"] = F.col(a).cast("double") * F.col(b).cast("double")
+            terms[f"{a}^2" if a == b else f"{a}*{b}"] = named(a).cast("double") * named(b).cast("double")
     return df.select(*[e.alias(n) for n, e in terms.items()])
 
 
@@ -230,7 +231,7 @@ def align_columns(df: DataFrame, columns: Sequence[str], fill=0) -> DataFrame:
     """Exactly ``columns`` in that order: missing ones filled with ``fill``, extra ones
     dropped (serving data aligned to the training layout)."""
     have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(fill).alias(c) for c in columns])
+    return df.select(*[named(c) if c in have else F.lit(fill).alias(c) for c in columns])
 
 
 def feature_pipeline(min_count: int = 10, short_types: Sequence[str] = SHORT_ISSUE_TYPES) -> Pipeline:
@@ -258,7 +259,7 @@ def encode(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("key",),
     out = model.transform(clean.feature_table(df, target=target))
     names = encoded_feature_names(model)
     have = set(out.columns)
-    cols = [*keep, *[F.col(c) if c in have else F.lit(0).alias(c) for c in names]]
+    cols = [*keep, *[named(c) if c in have else F.lit(0).alias(c) for c in names]]
     if target:
         cols.append(target)
     return out.select(*cols)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dist import f_sf, t_ppf, t_sf2
+from ..functions.scalar import named
 from .moments import Moments, moments
 from .stattests import condition_number, durbin_watson, normality
 
@@ -41,7 +42,7 @@ class OLSFit:
     def prediction(self) -> Column:
         e = F.lit(float(self.coef[0]))
         for b, c in zip(self.coef[1:], self.names):
-            e = e + F.lit(float(b)) * F.col(f"`{c}`").cast("double")
+            e = e + F.lit(float(b)) * named(c).cast("double")
         return e
 
 
@@ -68,7 +69,7 @@ class OLSModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         e = F.lit(self.getOrDefault("intercept"))
         for b, c in zip(self.getOrDefault("coefficients"), self.getOrDefault("featureCols")):
-            e = e + F.lit(b) * F.col(f"`{c}`").cast("double")
+            e = e + F.lit(b) * named(c).cast("double")
         return df.withColumn(self.getOrDefault("predictionCol"), e)
 
 

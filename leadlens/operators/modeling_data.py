@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import named
 from . import clean, encode
 
 
@@ -34,5 +35,5 @@ def design(issues: DataFrame, min_count: int = 10, short_types: Sequence[str] =
 def to_long(encoded: DataFrame, ids: Sequence[str] = ("key",)) -> DataFrame:
     """(key, feature, value) rows of an encoded table (all values as double)."""
     vals = [c for c in encoded.columns if c not in ids]
-    wide = encoded.select(*ids, *[F.col(c).cast("double").alias(c) for c in vals])
-    return wide.unpivot(list(ids), vals, "feature", "value")
+    wide = encoded.select(*ids, *[named(c).cast("double").alias(c) for c in vals])
+    return wide.unpivot([named(c) for c in ids], [named(c) for c in vals], "feature", "value")

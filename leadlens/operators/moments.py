@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import named
+
 
 @dataclass
 class Moments:
@@ -139,10 +141,10 @@ def moments(df: DataFrame, features: Sequence[str], label: str, group: str | Non
     """Two aggregates: means (for the shift), then all sums of products per ``group``
     (partial aggregation per task, then one small shuffle)."""
     feats = list(features)
-    cols = [F.col(c).cast("double") for c in feats]
-    y = F.col(label).cast("double")
+    cols = [named(c).cast("double") for c in feats]
+    y = named(label).cast("double")
     base = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], y.alias("_y"),
-                     *([F.col(group).alias("_g")] if group else []))
+                     *([named(group).alias("_g")] if group else []))
     base = base.dropna(subset=[f"_x{i}" for i in range(len(feats))] + ["_y"])
     p = len(feats)
     if shift:
@@ -191,10 +193,10 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     # Only the upper triangle is aggregated (corr is symmetric); it is mirrored after.
     uniq = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     slot = {p: f"_c{i}" for i, p in enumerate(uniq)}
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(slot[(a, b)]) for a, b in uniq])
+    agg = df.agg(*[F.corr(named(a).cast("double"), named(b).cast("double")).alias(slot[(a, b)]) for a, b in uniq])
     structs = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             c = slot[(a, b)] if i <= j else slot[(b, a)]
-            structs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(c).alias("corr")))
+            structs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), named(c).alias("corr")))
     return agg.select(F.inline(F.array(*structs)))

@@ -107,6 +107,20 @@ def cumulative_weights(
     return out.drop("_pid", "_local", *[f"_b_{c}" for c in keep])
 
 
+def with_previous(df: DataFrame, order: Sequence[str], col: str, prev_col: str) -> DataFrame:
+    """Add ``prev_col``: ``col`` of the row before in ``order`` (unique), NULL for the first row.
+
+    Rows are dealt into ranges; ``lag`` works inside each, and the first row of a range takes the
+    last value of the range before it, from a table of one row per range. No self-join."""
+    order = list(order)
+    ranged = _materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
+    local = Window.partitionBy("_pid").orderBy(*order)
+    lasts = ranged.groupBy("_pid").agg(F.max_by(F.struct(F.col(col).alias("v")), F.struct(*order)).alias("_last"))
+    before = lasts.select(F.col("_pid").alias("_b_pid"), F.lag("_last").over(Window.orderBy("_pid")).alias("_before"))
+    out = ranged.withColumns({"_prev": F.lag(F.struct(F.col(col).alias("v"))).over(local)}).join(F.broadcast(before), F.col("_pid") == F.col("_b_pid"))
+    return out.withColumn(prev_col, F.coalesce("_prev", "_before")["v"]).drop("_pid", "_b_pid", "_prev", "_before")
+
+
 def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), col: str = "row_number") -> DataFrame:
     """1-based ``row_number()`` over (by, order) computed with :func:`rank_rows`."""
     return rank_rows(df, order, by, rank_col="_r0").withColumn(col, F.col("_r0") + 1).drop("_r0")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dist import norm_ppf_col, norm_sf
-from .ordering import rank_rows
+from .ordering import rank_rows, with_previous
 
 
 def central_moments(df: DataFrame, col: str) -> DataFrame:
@@ -103,7 +103,8 @@ def shapiro(df: DataFrame, col: str, alpha: float = 0.05, ks: bool = True) -> Da
     Pass 1 ranks the values (range partitions) and, in one aggregate, collects n, the
     sum of squares, sum(m_i^2), sum(m_i x_(i)) and the two extreme order statistics at
     each end; the weights of the two outermost pairs are then corrected as Royston
-    prescribes. Returns one row: n, w, p_value, gaussian (p > alpha)."""
+    prescribes. Returns one row: n, w, p_value, gaussian (p > alpha; NULL above n = 5000, where
+    the p-value is not calibrated: use :func:`normality` there)."""
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     ranked = rank_rows(x, ["_x"], rank_col="_r", size_col="_n")
     i = F.col("_r") + 1
@@ -136,7 +137,7 @@ def shapiro(df: DataFrame, col: str, alpha: float = 0.05, ks: bool = True) -> Da
             ks = KolmogorovSmirnovTest.test(x, "_x", "norm", float(agg["mean"]), float(sd)).first()
             ks_stat, ks_p = float(ks["statistic"]), float(ks["pValue"])
     return spark.createDataFrame(
-        [(int(agg["n"] or 0), w, p, None if p is None else bool(p > alpha), ks_stat, ks_p)],
+        [(int(agg["n"] or 0), w, p, None if p is None or agg["n"] > 5000 else bool(p > alpha), ks_stat, ks_p)],
         "n bigint, w double, p_value double, gaussian boolean, ks_statistic double, ks_p_value double",
     )
 
@@ -191,13 +192,10 @@ def qq_points(df: DataFrame, col: str, line: str = "s") -> DataFrame:
 
 
 def durbin_watson(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
-    """sum (e_t - e_{t-1})^2 / sum e_t^2 in ``order``. Consecutive rows are paired by
-    joining global rank r to r+1 (uniform keys; no one-task window)."""
-    ranked = rank_rows(df.select(*order, F.col(col).cast("double").alias("_e")), list(order), rank_col="_r")
-    prev = ranked.select((F.col("_r") + 1).alias("_r"), F.col("_e").alias("_ep"))
-    return ranked.join(prev, "_r", "left").agg(
-        F.try_divide(F.sum((F.col("_e") - F.col("_ep")) ** 2), F.sum(F.col("_e") ** 2)).alias("durbin_watson")
-    )
+    """sum (e_t - e_{t-1})^2 / sum e_t^2 in ``order`` (unique): ``lag`` inside ranges and one
+    boundary row per range, so no self-join and no one-task window."""
+    e = with_previous(df.select(*order, F.col(col).cast("double").alias("_e")), order, "_e", "_ep")
+    return e.agg(F.try_divide(F.sum((F.col("_e") - F.col("_ep")) ** 2), F.sum(F.col("_e") ** 2)).alias("durbin_watson"))
 
 
 def condition_number(xtx: np.ndarray) -> float:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from ..operators import encode, modeling_data, split
 from ..session import write_and_read
-from ..sources.issues import issues
+from ..sources.issues import ISSUE_SQL_TABLES, fingerprint, issues
 
 # The segments treated as "Short" issue types in the derived data.
 SHORT_TYPES = ["BUILDING", "HOUSEHOLD", "MACHINERY"]
@@ -14,13 +14,18 @@ _CACHE: dict = {}
 
 
 def memo(spark, data_dir, name, build):
-    # Keyed by application: a stopped and recreated session never sees stale frames.
-    k = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), data_dir, name)
+    # Keyed by application and by the input files' sizes and times: a stopped and recreated session never sees stale frames.
+    k = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), fingerprint(spark, data_dir, ISSUE_SQL_TABLES), name)
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]
 
 
+def forget() -> None:
+    """Drop what the application's queries share, so that the next one computes its own."""
+    _CACHE.clear()
+
+
 def design(spark, data_dir):
     """(fitted feature pipeline, encoded labelled rows, feature names)."""
 

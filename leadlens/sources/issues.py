@@ -10,7 +10,6 @@ SQL (``ISSUES_SQL``) so DuckDB can check every query on identical rows.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,15 +162,15 @@ def issues_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def _fingerprint(data_dir: str, names: list[str]) -> str:
-    h = hashlib.sha1(os.path.abspath(data_dir).encode())
+def fingerprint(spark: SparkSession, data_dir: str, names: list[str]) -> str:
+    """Hash of the files of the tables ``names``: paths, sizes and times from their file system,
+    whichever it is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1()
     for n in names:
-        p = os.path.join(data_dir, f"{n}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{n}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            h.update(n.encode())
+        path = jvm.org.apache.hadoop.fs.Path(f"{data_dir.rstrip('/')}/{n}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            h.update(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}\n".encode())
     return h.hexdigest()[:16]
 
 
@@ -181,7 +180,7 @@ def issues(spark: SparkSession, data_dir: str, materialize: bool = True) -> Data
     executors) instead of re-running the four-way join."""
     if not materialize:
         return issues_from_tables(spark, data_dir)
-    target = scratch_path(spark, f"issues-{_fingerprint(data_dir, ['orders', 'lineitem', 'customer', 'nation'])}", unique=False)
+    target = scratch_path(spark, f"issues-{fingerprint(spark, data_dir, ISSUE_SQL_TABLES)}", unique=False)
     if not path_exists(spark, f"{target}/_SUCCESS"):
         issues_from_tables(spark, data_dir).write.mode("overwrite").parquet(target)
         cleanup_at_exit(spark, target)

@@ -68,3 +68,34 @@ def test_ridge_without_penalty_on_constant_and_duplicate_columns(spark):
     one = df.select("a", F.lit(1.0).alias("c"), "y")
     plain = linear.ridge(M.moments(one, ["a", "c"], "y"), 0.0)
     assert np.allclose(plain, [2, 3, 0], atol=1e-8)
+
+
+def test_names_with_dots_and_backticks(spark):
+    from leadlens.operators import encode, modeling_data
+
+    df = spark.createDataFrame([(i, float(i % 5), float(i % 3), 2.0 * (i % 5) - (i % 3) + 1) for i in range(60)], ["key", "lvl_b.c", "a`b", "y"])
+    long = modeling_data.to_long(df)
+    assert long.where(F.col("feature") == "lvl_b.c").count() == 60
+    fit = linear.ols(M.moments(df, ["lvl_b.c", "a`b"], "y"))
+    assert np.allclose(fit.coef, [1, 2, -1])
+    assert df.select(fit.prediction().alias("p"), "y").where("abs(p - y) > 1e-9").count() == 0
+    assert encode.align_columns(df, ["a`b", "new.x", "lvl_b.c"]).columns == ["a`b", "new.x", "lvl_b.c"]
+    assert encode.poly2(df, ["lvl_b.c", "a`b"]).count() == 60
+
+
+def test_tails_at_huge_degrees_of_freedom():
+    from leadlens.functions import dist
+
+    for df in (1e8, 1e10, 1e13, 1e16):
+        assert dist.t_sf2(1.96, df) == pytest.approx(0.049995790296440, rel=1e-9)
+        assert dist.f_sf(1.96**2, 1, df) == pytest.approx(dist.t_sf2(1.96, df), rel=1e-5)
+
+
+def test_cache_key_follows_the_input(spark, tmp_path):
+    from leadlens.sources.issues import fingerprint
+
+    spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
+    first = fingerprint(spark, str(tmp_path), ["t"])
+    assert first == fingerprint(spark, f"file://{tmp_path}", ["t"])
+    spark.range(30).write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+    assert fingerprint(spark, str(tmp_path), ["t"]) != first
