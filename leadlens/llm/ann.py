@@ -91,7 +91,7 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def search(df: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", trees: int = 8, leaf_rows: int = 1024,
-           visit_share: float = 1.0, visits: int | None = None, sample_rows: int = 16_384, max_depth: int = 14, leaf_block: int = 4096) -> DataFrame:
+           visit_share: float = 1.3, visits: int | None = None, sample_rows: int = 16_384, max_depth: int = 14, leaf_block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` rows of largest inner product found for the rows
     that satisfy ``is_query`` (a condition on ``vec_id``), the query's own id left out; ties go to
     the smaller id. Scores are in double precision on the original vectors.
