@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
@@ -19,6 +24,46 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def coded_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, code of each word, number of words up to each text's end): as
+    :func:`lower_words`, a batch at a time. Looking words up once a batch, in Arrow's hash table,
+    costs far less than a dictionary probe for each."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())))
+    flat = split.flatten()
+    there = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
+    ends = np.concatenate([[0], np.cumsum(there)])[cuts[1:]]
+    coded = flat.filter(pa.array(there)).dictionary_encode()
+    return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy().astype(np.int64), ends
+
+
+def small_batches(spark: SparkSession, most: int = 1000) -> None:
+    """Have Spark hand texts to Python at most ``most`` rows at a time: at the default of 10,000
+    long texts fill both the executor's off-heap buffers and the workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > most:
+        spark.conf.set(key, str(most))
+
+
+def give_back() -> None:
+    """Return to the system what Arrow's allocator and glibc hold in reserve."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """``run`` for mapInArrow, giving memory back at a task's end: Python workers live on, idle,
+    beside those of later stages."""
+
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def shared_folder(spark: SparkSession, tag: str) -> str:
     """A fresh folder URI under the shared checkpoint folder, made through Hadoop, for files
     that tasks write themselves. Removed when the application ends."""

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import write_and_read
-from .common import private_names
+from .common import private_names, tidy
 
 #: A-Z fall to a-z; bytes 0x30-0x39, 0x61-0x7A and 0x80-0xFF belong to words, the rest parts them.
 _WORDS = bytes(
@@ -249,7 +249,7 @@ def _one_pass(docs: DataFrame, shared, text: str, n_words: str, spans: str, item
                  pa.array(hit, pa.list_(pa.list_(pa.int64()))), pa.array([sorted(x) for x in met], pa.list_(pa.string()))],
                 names=[*names, n_words, spans, items])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10,

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import write_and_read
-from .common import lower_words
+from .common import lower_words, small_batches, tidy
 from .graph import components, small
 
 WORDS, BANDS, ROWS = 5, 40, 4
@@ -101,7 +101,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
                  pa.array(low, pa.binary())], names=["doc_id", "n_shingles", "class", "bands", "low"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), SKETCH)
 
 
 def _blocks(df: DataFrame, key: str, size: int) -> DataFrame:
@@ -134,7 +134,7 @@ def _per_unit(df: DataFrame, key: str, schema: str, links: Callable[[list[dict]]
                 found = []
         yield _edges(found + links(held))
 
-    return df.repartition(*unit).sortWithinPartitions(*unit, "class").mapInArrow(run, schema)
+    return df.repartition(*unit).sortWithinPartitions(*unit, "class").mapInArrow(tidy(run), schema)
 
 
 def _edges(found: list[tuple]) -> pa.RecordBatch:
@@ -185,6 +185,7 @@ def link(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block
     doc_id is never the smallest, unless its component has no other (then it is kept).
     """
     docs = docs.select("doc_id", "text")
+    small_batches(docs.sparkSession)
     rows = write_and_read(sketch(docs), "sketch")
     classes = write_and_read(
         rows.where("class IS NOT NULL").groupBy("class")
@@ -250,7 +251,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 [pa.array([xxhash.xxh3_128_digest(s) if s else None for s in sets], pa.binary()), pa.array(sets, pa.binary())],
                 names=["class", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([T.StructField("class", T.BinaryType()), T.StructField("shingles", T.BinaryType())]))
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), T.StructType([T.StructField("class", T.BinaryType()), T.StructField("shingles", T.BinaryType())]))
 
 
 def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000, **options) -> DataFrame:

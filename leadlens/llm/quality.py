@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import private_names
+from .common import private_names, small_batches, tidy
 
 _CORE = re.compile(r"[^\W\d_]+")
 _SLOTS = 1 << 20
@@ -130,8 +130,10 @@ class View:
     """A view's features, narrowed to those that a target's model uses."""
 
     def __init__(self, rows: list[np.ndarray], keep: np.ndarray):
-        place = {c: i for i, c in enumerate(keep.tolist())}
-        self.keep, self.rows = keep, [np.array([place[c] for c in r.tolist() if c in place], np.int64) for r in rows]
+        self.keep, self.rows = keep, []
+        for r in rows:
+            at = np.minimum(np.searchsorted(keep, r), max(0, len(keep) - 1))
+            self.rows.append(at[keep[at] == r] if len(keep) else np.empty(0, np.int64))
 
 
 def co_train(text: list[np.ndarray], meta: list[np.ndarray], y: np.ndarray, rounds: int, least_precision: float, sure: float = 0.98) -> dict | None:
@@ -187,15 +189,19 @@ def _features(frame: DataFrame) -> DataFrame:
                     names=["features", "layout", "lang", "source", "quality", "toxic"])
 
     return frame.select("text", "lang", "source", "quality", "toxic").mapInArrow(
-        run, "features array<int>, layout array<double>, lang string, source string, quality int, toxic int")
+        tidy(run), "features array<int>, layout array<double>, lang string, source string, quality int, toxic int")
 
 
 class Model:
-    def __init__(self, rows: list[dict], rounds: int, least_precision: float):
+    def __init__(self, sample: pa.Table, rounds: int, least_precision: float):
+        sample = sample.combine_chunks()
+        lists = sample.column("features").combine_chunks()
+        flat, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        text = np.split(flat, np.cumsum(size)[:-1]) if len(size) else []
+        rows = sample.select(["layout", "lang", "source", *_TARGETS]).to_pylist()
         forms = np.array([r["layout"] for r in rows], float).reshape(-1, len(LAYOUT))
         quantiles = [0.005, 0.02, 0.05, *np.arange(0.1, 0.95, 0.1), 0.95, 0.98, 0.995]
         self.cuts = [np.unique(np.quantile(forms[:, i], quantiles)) if len(forms) else np.empty(0) for i in range(len(LAYOUT))]
-        text = [np.array(r["features"], np.int64) for r in rows]
         meta = [self.meta(f, r["lang"], r["source"]) for f, r in zip(forms, rows, strict=True)]
         self.parts = {}
         for t in _TARGETS:
@@ -217,6 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 60
     """Fit on at most ``labelled`` + ``pool`` documents. Of several labels of one document the least
     quality and the most toxic count; a null label is none. Documents with a null doc_id, null
     columns and missing ``lang`` or ``source`` columns are fine; without labels all is kept."""
+    small_batches(docs.sparkSession)
     have = [c if c in docs.columns else None for c in ("lang", "source")]
     docs = docs.select("doc_id", "text", *(F.col(c).cast("string").alias(n) if c else F.lit(None).cast("string").alias(n) for c, n in zip(have, ("lang", "source"), strict=True)))
     one = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
@@ -226,8 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 60
     share = min(1.0, 3 * pool / max(1, n))
     free = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).join(one, "doc_id", "left_anti").limit(pool)
     free = free.withColumns({"quality": F.lit(None).cast("int"), "toxic": F.lit(None).cast("int")})
-    rows = _features(known.unionByName(free)).toArrow().to_pylist()
-    return Model(rows, rounds, least_precision)
+    return Model(_features(known.unionByName(free)).toArrow(), rounds, least_precision)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -271,7 +277,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(out[n], pa.float64()) for n in new)], names=[*names, *new])
 
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(run, ", ".join([*columns, *(f"`{n}` double" for n in new)]))
+    return docs.mapInArrow(tidy(run), ", ".join([*columns, *(f"`{n}` double" for n in new)]))
 
 
 def added_names(docs: DataFrame) -> tuple[str, ...]:
