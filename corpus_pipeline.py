@@ -14,7 +14,6 @@ All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leadlens.llm import decontam, minhash, quality, sp, suffix
 from leadlens.llm.common import table
@@ -43,11 +42,8 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids and n_pieces of each document, and whether they decode to it."""
-    model = tokenizer_file("piece_bpe_32k.model")
-    back = sp.decode(sp.encode(docs, model), model, text="decoded")
-    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
-    return back.select(*kept, "ids", F.size("ids").cast("long").alias("n_pieces"),
-                       F.coalesce("text", F.lit("")).eqNullSafe(F.col("decoded")).alias("same"))
+    kept = [c for c in ("doc_id", "lang", "source", "text") if c in docs.columns]
+    return sp.with_check(docs.select(kept), tokenizer_file("piece_bpe_32k.model"))
 
 
 STAGES = [

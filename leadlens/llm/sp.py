@@ -1,13 +1,13 @@
 """SentencePiece encoding and decoding with a relational lattice.
 
-A text with a space in front is cut into units: runs of letters, single digits, runs of other
-marks, each with at most one space in front and at most ``MOST`` characters. No piece joins two
-units. The model writes spaces as U+2581; here they stay spaces, so that a U+2581 of the text itself
+A text with a space in front is cut before every space into segments, and these into units: runs
+of letters, single digits, runs of other marks, each of at most ``MOST`` characters and with at most
+one space, in front. No piece joins two units. The model writes spaces as U+2581; here they stay spaces, so that a U+2581 of the text itself
 is told apart (it becomes its bytes). Each distinct unit is encoded once:
 
 * its substrings up to the longest piece are exploded and equi-joined with the piece table;
-* the matches, as edges (end, start, cost, id), are grouped by unit. The units come hash-partitioned
-  from their count, so this needs no further shuffle;
+* the matches, as edges (end, start, cost, id), are grouped by unit. The units are hash-partitioned
+  before they are exploded, so no edge is shuffled;
 * a higher-order aggregate folds the edges in order of their ends to the cheapest path (Viterbi);
   a character without a piece costs ``FALLBACK`` and becomes its bytes.
 
@@ -16,7 +16,7 @@ Zipf's law (a BPE model has merge ranks, no probabilities; segmentations therefo
 unigram lattice, not of the merges). Of equal costs, the path whose last piece starts first wins.
 
 Documents are then encoded by looking units up: the encoded units, the most frequent first, up to
-``shared_units``, are read by the tasks from a table in the shared folder; the units beyond are
+``shared_units``, are looked up by the tasks in index files in the shared folder; the units beyond are
 joined to the documents that hold them. Decoding concatenates the pieces' bytes.
 """
 
@@ -25,25 +25,27 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import struct
+import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_and_read
-from .common import filesystem, private_names
+from .common import filesystem, give_back, private_names, shared_folder, small_batches, tidy
 
 SPACE = " "
 _MODEL_SPACE = "▁"
 MOST = 48
 FALLBACK = 1000.0
-_UNIT = re.compile(rf"{SPACE}?[^\W\d_]{{1,{MOST}}}|{SPACE}?\d|{SPACE}?[^\w{SPACE}]{{1,{MOST}}}|{SPACE}{{1,{MOST}}}|.", re.S)
+_UNIT = re.compile(rf"{SPACE}?[^\W\d_]{{1,{MOST}}}|{SPACE}?\d|{SPACE}?[^\w{SPACE}]{{1,{MOST}}}|.", re.S)
 
 
 class Pieces:
@@ -72,94 +74,189 @@ class Pieces:
         self.longest = max(map(len, self.piece), default=1)
 
 
-def normalised(text: str | None) -> str:
-    return SPACE + text if text else ""
+def units(text: str | None) -> list[str]:
+    return [u for x in text.split(SPACE) for u in _UNIT.findall(SPACE + x)] if text else []
 
 
-def units(text: str | None) -> list[str]:
-    return _UNIT.findall(normalised(text))
+def segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct segments without the space in front, code of each segment, segments up to each
+    text's end)."""
+    full = texts.fill_null("").cast(pa.large_string())
+    split = pc.split_pattern(full, SPACE)
+    there = np.repeat(pc.greater(pc.binary_length(full), 0).to_numpy(zero_copy_only=False), np.diff(split.offsets.to_numpy()))
+    cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
+    coded = split.flatten().filter(pa.array(there, pa.bool_())).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(there)])[cuts[1:]]
 
 
-def _count(docs: DataFrame, text: str, flush: int = 400_000) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+def _count(docs: DataFrame, text: str) -> DataFrame:
+    """(uid, unit, times): segments are counted by batches, then over the corpus, then cut."""
 
-        def table() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "times"])
+    def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, 1000):
+                words, codes, _ = segments(whole.slice(a, 1000).column(0))
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(np.bincount(codes, minlength=len(words)))], names=["segment", "times"])
+                give_back()
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column(0):
-                seen.update(units(t.as_py()))
-                if len(seen) > flush:
-                    yield table()
-                    seen.clear()
-        yield table()
+            seen: Counter = Counter()
+            for x, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for u in _UNIT.findall(SPACE + x):
+                    seen[u] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "times"])
 
-    return docs.select(F.col(f"`{text}`")).mapInArrow(run, "unit string, times bigint").groupBy("unit").agg(F.sum("times").alias("times"))
+    counted = docs.select(F.col(f"`{text}`")).mapInArrow(tidy(batch), "segment string, times bigint").groupBy("segment").agg(F.sum("times").alias("times"))
+    found = counted.mapInArrow(tidy(cut), "unit string, times bigint").groupBy("unit").agg(F.sum("times").alias("times"))
+    return write_and_read(found.withColumn("uid", F.monotonically_increasing_id()), "counted-units")
 
 
 def encode_units(counted: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, times, ids) from (unit, times); -1 in ids stands for a character without a piece."""
-    spark = counted.sparkSession
-    table = spark.createDataFrame([(p, i, pieces.cost[i]) for p, i in pieces.piece.items()], "piece string, id int, cost double")
-    n = F.length("unit")
-    # an edge for every character's fallback, of no piece, and for every substring that is one
-    cuts = F.expr(f"""flatten(transform(sequence(1, length(unit)), s -> transform(sequence(1, least({pieces.longest}, length(unit) - s + 1)),
-        l -> named_struct('start', s - 1, 'end', s + l - 1, 'piece', substring(unit, s, l)))))""")
-    edges = counted.where(n > 0).select("unit", "times", F.inline(cuts)).join(F.broadcast(table), "piece")
-    lattice = edges.groupBy("unit").agg(F.first("times").alias("times"), F.collect_list(F.struct("end", "start", "cost", "id")).alias("found"))
-    lattice = counted.select("unit", "times").join(lattice.drop("times"), "unit", "left")
-    fallback = F.expr(f"transform(sequence(1, length(unit)), e -> named_struct('end', e, 'start', e - 1, 'cost', {FALLBACK}D, 'id', -1))")
-    ordered = F.array_sort(F.concat(F.coalesce("found", F.expr("CAST(array() AS array<struct<end:int,start:int,cost:double,id:int>>)")), fallback))
+    """(unit, times, ids) from (uid, unit, times), uid unique; -1 in ids stands for a character
+    without a piece.
+
+    An edge is one number, end * 2^40 + start * 2^32 + id + 1, so that edges are small to group and
+    their order is that of their ends, then starts; id + 1 is 0 for a character without a piece."""
+    costs = [FALLBACK, *(pieces.cost.get(i, FALLBACK) for i in range(len(pieces.raw)))]
+    table = counted.sparkSession.createDataFrame([(p, i + 1) for p, i in pieces.piece.items()], "piece string, id int")
+    dealt = counted.repartition("uid")
+    tails = dealt.select("uid", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("s"), "unit").select(
+        "uid", "s", F.expr(f"substring(unit, s, {pieces.longest})").alias("tail"))
+    cuts = tails.select("uid", "s", "tail", F.explode(F.sequence(F.lit(1), F.length("tail"))).alias("l")).select(
+        "uid", "s", "l", F.expr("substring(tail, 1, l)").alias("piece"))
+    # a character that is no piece keeps an edge of its own, without an id
+    edges = cuts.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR l = 1")
+    edge = F.expr(f"(s + l - 1) * {1 << 40}L + (s - 1) * {1 << 32}L + coalesce(id, 0)")
+    lattice = edges.groupBy("uid").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     # state: the cheapest path (cost, ids) to each position met so far; position 0 is its first element
-    fold = F.expr("""aggregate(edges, array(named_struct('cost', 0D, 'ids', CAST(array() AS array<int>))), (m, e) -> CASE
-        WHEN size(m) = e.end THEN concat(m, array(named_struct('cost', m[e.start].cost + e.cost, 'ids', concat(m[e.start].ids, array(e.id)))))
-        WHEN m[e.start].cost + e.cost < m[e.end].cost THEN concat(slice(m, 1, e.end),
-            array(named_struct('cost', m[e.start].cost + e.cost, 'ids', concat(m[e.start].ids, array(e.id)))))
-        ELSE m END, m -> element_at(m, -1).ids)""")
-    return lattice.select("unit", "times", ordered.alias("edges")).select("unit", "times", fold.alias("ids"))
+    fold = F.aggregate("edges", F.array(F.struct(F.lit(0.0).alias("cost"), F.array().cast("array<int>").alias("ids"))), _relax(costs),
+                       lambda m: F.element_at(m, -1)["ids"])
+    return lattice.select("uid", fold.alias("ids")).join(counted, "uid").select("unit", "times", "ids")
+
+
+def _relax(costs: list[float]):
+    """A fold's step: take an edge if it ends at a new position or more cheaply than before."""
+    price = F.lit(np.array(costs))
+
+    def step(m, e):
+        end, start, piece = F.shiftright(e, 40).cast("int"), F.shiftright(e, 32).bitwiseAND(255).cast("int"), e.bitwiseAND((1 << 32) - 1).cast("int")
+        before = F.get(m, start)
+        cost = before["cost"] + F.get(price, piece)
+        new = F.array(F.struct(cost.alias("cost"), F.concat(before["ids"], F.array(piece - 1)).alias("ids")))
+        return F.when(F.size(m) == end, F.concat(m, new)).when(cost < F.get(m, end)["cost"], F.concat(F.slice(m, F.lit(1), end), new)).otherwise(m)
+
+    return step
+
+
+_PARTS = 16
+_HEAD = "<QQ"  # units, ids
+
+
+def _write_index(table: DataFrame, known) -> tuple[str, list[str]]:
+    """Write the encoded units of ``table`` (unit, ids) as index files, one for each range of the
+    units' hashes: (folder, file of each range). A file holds its units' sorted hashes, the starts
+    of their ids, and the ids."""
+    folder = shared_folder(table.sparkSession, "units-index")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            size, flat = spelled(texts, b.column(1), known.value)
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array((h >> np.uint64(60)).astype(np.int64)), pa.array(h.view(np.int64)), lists], names=["part", "h", "ids"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = filesystem(folder)
+        at, held = None, []
+
+        def close() -> pa.RecordBatch:
+            h = np.concatenate([x[0] for x in held])
+            order = np.argsort(h)
+            size, flat = np.concatenate([x[1] for x in held]).astype(np.int64), np.concatenate([x[2] for x in held])
+            ids, ends = _gather(flat, np.cumsum(size) - size, size, order)
+            name = f"{uuid.uuid4().hex}.units"
+            with fs.open_output_stream(f"{root}/{name}", compression=None) as out:
+                out.write(struct.pack(_HEAD, len(h), len(ids)) + h[order].tobytes() + np.concatenate([[0], ends]).astype("<u4").tobytes() + ids.astype("<i4").tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([name])], names=["part", "file"])
+
+        for b in batches:
+            part = b.column(0).to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for i, j in zip(cut, cut[1:], strict=False):
+                if i < j:
+                    if part[i] != at:
+                        if held:
+                            yield close()
+                        at, held = int(part[i]), []
+                    lists = b.column(2).slice(i, j - i)
+                    held.append((b.column(1).to_numpy()[i:j].view(np.uint64), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()))
+        if held:
+            yield close()
+
+    rows = table.mapInArrow(tidy(hashed), "part bigint, h bigint, ids array<int>").repartitionByRange(_PARTS, "part").sortWithinPartitions("part")
+    files = {r.part: r.file for r in write_and_read(rows.mapInArrow(tidy(write), "part bigint, file string"), "units-files").collect()}
+    return folder, [files.get(i, "") for i in range(_PARTS)]
 
 
 class Shared:
-    """Encoded units of a written table, read once by each Python worker: sorted hashes of the
-    units, and their ids in one array."""
+    """The index files, opened once by each Python worker: mapped into memory where the shared
+    folder is a mounted one (a machine's workers then share the pages), read whole elsewhere."""
 
     held: dict[str, Shared] = {}
 
-    def __init__(self, uri: str, pieces: Pieces):
+    def __init__(self, folder: str, files: list[str]):
         from pyarrow import fs as afs
 
-        fs, path = filesystem(uri) if uri else (None, None)
-        files = sorted(f.path for f in fs.get_file_info(afs.FileSelector(path)) if f.path.endswith(".parquet")) if uri else []
-        hashes, sizes, flat = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-        for f in files:
-            t = pq.read_table(f, filesystem=fs, columns=["unit", "ids"])
-            for u, ids in zip(t.column("unit").chunks, t.column("ids").chunks, strict=True):
-                texts = u.to_pylist()
-                found = spelled(texts, ids, pieces)
-                hashes.append(np.fromiter((xxhash.xxh3_64_intdigest(x) for x in texts), np.uint64, len(texts)))
-                sizes.append(found[0])
-                flat.append(found[1])
-        self.hash, size = np.concatenate(hashes), np.concatenate(sizes)
-        start = np.cumsum(size) - size
-        order = np.argsort(self.hash)
-        self.hash, self.ids = self.hash[order], np.concatenate(flat)
-        self.start, self.size = np.append(start[order], 0), np.append(size[order], 0)  # the last, index -1, is no unit
+        fs, root = filesystem(folder)
+        self.parts = []
+        for name in files:
+            if not name:
+                self.parts.append((np.empty(0, np.uint64), np.zeros(1, "<u4"), np.empty(0, "<i4")))
+                continue
+            path = f"{root}/{name}"
+            raw = np.memmap(path, np.uint8, "r") if isinstance(fs, afs.LocalFileSystem) else np.frombuffer(fs.open_input_file(path).read(), np.uint8)
+            size = struct.calcsize(_HEAD)
+            n, m = struct.unpack(_HEAD, raw[:size].tobytes())
+            a, b = size + 8 * n, size + 8 * n + 4 * (n + 1)
+            self.parts.append((raw[size:a].view("<u8"), raw[a:b].view("<u4"), raw[b : b + 4 * m].view("<i4")))
 
     @classmethod
-    def of(cls, uri: str, pieces: Pieces) -> Shared:
-        if uri not in cls.held:
-            cls.held.clear()  # one table at a time
-            cls.held[uri] = cls(uri, pieces)
-        return cls.held[uri]
-
-    def place(self, words: list[str]) -> np.ndarray:
-        """Index of each word, or -1."""
-        h = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in words), np.uint64, len(words))
-        if not len(self.hash):
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        return np.where(self.hash[at] == h, at, -1)
+    def of(cls, folder: str, files: list[str]) -> Shared:
+        if folder not in cls.held:
+            cls.held.clear()  # one index at a time
+            cls.held[folder] = cls(folder, files)
+        return cls.held[folder]
+
+    def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of the words found, one after the other; start and size for each word, size -1
+        for one that is not there)."""
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        start, size = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64)
+        out, total = [], 0
+        order = np.argsort(h)
+        bounds = np.searchsorted(h[order] >> np.uint64(60), np.arange(_PARTS + 1, dtype=np.uint64))
+        for (known, starts, ids), i, j in zip(self.parts, bounds[:-1], bounds[1:], strict=True):
+            if i < j and len(known):
+                mine = order[i:j]
+                at = np.minimum(np.searchsorted(known, h[mine]), len(known) - 1)
+                there = known[at] == h[mine]
+                mine, at = mine[there], at[there]
+                first = starts[at].astype(np.int64)
+                n = starts[at + 1].astype(np.int64) - first
+                found, ends = _gather(ids, first, n, np.arange(len(at)))
+                out.append(found)
+                start[mine], size[mine] = total + ends - n, n
+                total += len(found)
+        return np.concatenate([np.empty(0, np.int32), *out]), start, size
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the runs of ``flat`` that ``which`` names, one after the other; their ends)."""
+    n = size[which].astype(np.int64)
+    ends = np.cumsum(n)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[which] - ends + n, n)], ends
 
 
 def spelled(texts: list[str], ids: pa.ListArray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -195,82 +292,94 @@ def _least(table: DataFrame, room: int) -> float:
     return least
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids", shared_units: int = 6_000_000) -> DataFrame:
+def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids", shared_units: int = 6_000_000,
+           finish: Callable[[pa.RecordBatch, Pieces], pa.RecordBatch] | None = None, schema: str | None = None) -> DataFrame:
     """``docs`` with the piece ids of ``text`` in column ``ids`` (one of that name gives way).
-    Null and empty texts have none; every text decodes to itself."""
+    Null and empty texts have none; every text decodes to itself. ``finish`` turns each batch of
+    the result into one of ``schema``, in the same Python worker."""
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     pieces = Pieces(model_file)
     docs = docs.drop(ids)
     table = write_and_read(encode_units(_count(docs, text), pieces), "units")
     least = _least(table, shared_units)
-    common = write_and_read(table.where(F.col("times") >= F.lit(least)).select("unit", "ids").coalesce(64), "shared-units")
-    files = common.inputFiles()
-    uri = files[0].rpartition("/")[0] if files else ""
     known = spark.sparkContext.broadcast(pieces)
+    index = _write_index(table.where(F.col("times") >= F.lit(least)).select("unit", "ids"), known)
     at = docs.columns.index(text)
     frame, rest, others = docs, None, table.where(F.col("times") < F.lit(least))
     if others.limit(1).count():
-        frame, rest = _with_rare(docs, others, text, uri, known)
+        frame, rest = _with_rare(docs, others, text, index)
     names = docs.columns
-    schema = frame.drop(rest).schema if rest else frame.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = known.value
-        shared = Shared.of(uri, pieces)
+        shared = Shared.of(*index)
         for whole in batches:
-            for a in range(0, whole.num_rows, 1000):
-                b = whole.slice(a, 1000)
-                cut = [units(t) for t in b.column(at).to_pylist()]
-                n = np.array([len(c) for c in cut], np.int64)
+            for a in range(0, whole.num_rows, 500):
+                b = whole.slice(a, 500)
+                words, codes, ends = segments(b.column(at))
+                cut = [_UNIT.findall(SPACE + w) for w in words]
                 coded = pa.array([u for c in cut for u in c], pa.string()).dictionary_encode()
-                words, word = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-                place = shared.place(words)
-                flat, start, size = shared.ids, shared.start[place], shared.size[place]
-                missing = np.flatnonzero(place < 0)
+                found = coded.dictionary.to_pylist()
+                flat, start, size = shared.find(found)
+                missing = np.flatnonzero(size < 0)
                 if len(missing):  # in the join's lists
                     own = {}
                     for pairs in b.column(b.schema.get_field_index(rest)).to_pylist():
                         own.update((p["unit"], p["ids"]) for p in pairs or ())
-                    texts = [words[i] for i in missing]
+                    texts = [found[i] for i in missing]
                     more_size, more = spelled(texts, pa.array([own[t] for t in texts], pa.list_(pa.int32())), pieces)
                     size[missing], start[missing] = more_size, len(flat) + np.cumsum(more_size) - more_size
                     flat = np.concatenate([flat, more])
-                k = size[word]
-                ends = np.cumsum(k)
-                total = int(ends[-1]) if len(ends) else 0
-                out = flat[np.arange(total) + np.repeat(start[word] - ends + k, k)]
-                cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])]
+                of_units, unit_ends = _gather(flat, start, size, coded.indices.to_numpy())
+                upto = np.concatenate([[0], unit_ends])[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))] if cut else np.empty(0, np.int64)
+                first = np.concatenate([[0], upto])[:-1]
+                out, word_ends = _gather(of_units, first, upto - first, codes)
+                cuts = np.concatenate([[0], word_ends])[np.concatenate([[0], ends])]
                 column = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(out, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), column], names=[*names, ids])
+                done = pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), column], names=[*names, ids])
+                yield finish(done, pieces) if finish else done
+                give_back()
 
-    return frame.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), f"`{ids}` array<int>"]))
+    own_schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{ids}` array<int>"])
+    return frame.mapInArrow(tidy(run), schema if finish else own_schema)
 
 
-def _with_rare(docs: DataFrame, rare: DataFrame, text: str, uri: str, known) -> tuple[DataFrame, str]:
+def _with_rare(docs: DataFrame, rare: DataFrame, text: str, index: tuple[str, list[str]]) -> tuple[DataFrame, str]:
     """``docs`` with a last column: its units that are not shared, and their ids. Documents meet
     their lists by the hash of the text."""
     column, key = private_names(docs, "_rare", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = Shared.of(uri, known.value)
+        shared = Shared.of(*index)
         for b in batches:
             key, unit = [], []
             for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = list(dict.fromkeys(units(t)))
-                place = shared.place(words)
-                mine = [words[i] for i in np.flatnonzero(place < 0)]
+                mine = [words[i] for i in np.flatnonzero(shared.find(words)[2] < 0)]
                 unit += mine
                 key += [k] * len(mine)
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), pa.array(unit, pa.string())], names=["key", "unit"])
 
     texts = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{text}`").alias("t")).withColumn("k", F.sha2("t", 256))
-    lists = texts.mapInArrow(run, "key string, unit string").distinct().join(rare.select("unit", "ids"), "unit").groupBy("key").agg(
+    lists = texts.mapInArrow(tidy(run), "key string, unit string").distinct().join(rare.select("unit", "ids"), "unit").groupBy("key").agg(
         F.collect_list(F.struct("unit", "ids")).alias(column))
     lists = write_and_read(lists, "rare-units").withColumnRenamed("key", key)
     keyed = docs.withColumn(key, F.sha2(F.col(f"`{text}`"), 256))
     return keyed.join(lists, key, "left").select(*(f"`{c}`" for c in docs.columns), column), column
 
 
+def spell_out(lists: pa.ListArray, raw: pa.Array) -> list[str | None]:
+    """The texts of lists of piece ids; ``raw``: the bytes of each id."""
+    taken = raw.take(lists.flatten())
+    ends, data = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1, 8 * taken.offset), taken.buffers()[2]
+    view = memoryview(data) if data is not None else memoryview(b"")
+    size = lists.value_lengths().fill_null(0).to_numpy()
+    cut = ends[np.concatenate([[0], np.cumsum(size, dtype=np.int64)])].tolist()
+    return [None if null else bytes(view[i:j]).decode("utf-8", "replace").removeprefix(" ")
+            for i, j, null in zip(cut, cut[1:], lists.is_null().to_pylist(), strict=False)]
+
+
 def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``df`` with the text of the piece ids in column ``ids`` as ``text`` (one of that name gives
     way): the pieces' bytes one after the other, without the space in front. Null ids give null;
@@ -285,37 +394,43 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text")
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):
                 b = whole.slice(a, 1000)
-                lists = b.column(at)
-                taken = raw.take(lists.flatten())
-                ends, data = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1, 8 * taken.offset), taken.buffers()[2]
-                view = memoryview(data) if data is not None else memoryview(b"")
-                size = np.array([0 if x is None else x for x in lists.value_lengths().to_pylist()], np.int64)
-                cut = ends[np.concatenate([[0], np.cumsum(size)])].tolist()
-                out = [None if null else bytes(view[i:j]).decode("utf-8", "replace").removeprefix(" ")
-                       for i, j, null in zip(cut, cut[1:], lists.is_null().to_pylist(), strict=False)]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*names, text])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(spell_out(b.column(at), raw), pa.string())], names=[*names, text])
+
+    return frame.mapInArrow(tidy(run), f"{columns}, `{text}` string")
+
+
+def with_check(docs: DataFrame, model_file: str, text: str = "text", **options) -> DataFrame:
+    """``docs`` with ``ids`` in place of ``text``, n_pieces, and same: whether the ids decode to the
+    text (a null text, to the empty one)."""
+    kept = [f for f in docs.drop("ids").schema.fields if f.name not in (text, "n_pieces", "same")]
 
-    return frame.mapInArrow(run, f"{columns}, `{text}` string")
+    def finish(b: pa.RecordBatch, pieces: Pieces) -> pa.RecordBatch:
+        lists = b.column("ids")
+        back = spell_out(lists, pa.array(pieces.raw, pa.large_binary()))
+        same = [(t or "") == d for t, d in zip(b.column(text).to_pylist(), back, strict=True)]
+        return pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), lists, lists.value_lengths().cast(pa.int64()), pa.array(same, pa.bool_())],
+                                          names=[*(f.name for f in kept), "ids", "n_pieces", "same"])
+
+    docs = docs.select(*(f"`{f.name}`" for f in kept), f"`{text}`")
+    columns = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "ids array<int>", "n_pieces bigint", "same boolean"])
+    return encode(docs, model_file, text, finish=finish, schema=columns, **options)
 
 
 def digest(docs: DataFrame, model_file: str, **options) -> DataFrame:
     """Per document: doc_id, n_pieces, ids_crc32 (of the ids as little-endian unsigned 32-bit
     integers), decoded_sha256 (of the decoded text) and same (whether it is the text itself; of a
     null text, the empty one)."""
-    coded = encode(docs.select("doc_id", "text"), model_file, **options)
-    both = decode(coded, model_file, text="decoded")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists, size = b.column(2), []
-            flat, cuts = lists.flatten().to_numpy().astype("<u4").tobytes(), 4 * np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            view = memoryview(flat)
-            sums = [zlib.crc32(view[i:j]) for i, j in zip(cuts.tolist(), cuts.tolist()[1:], strict=False)]
-            size = pa.array(np.diff(cuts) // 4, pa.int64())
-            texts, back = b.column(1).to_pylist(), b.column(3).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), size, pa.array(sums, pa.int64()), pa.array([hashlib.sha256((t or "").encode()).hexdigest() for t in back]),
-                 pa.array([(t or "") == d for t, d in zip(texts, back, strict=True)])],
-                names=["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "same"])
-
-    return both.mapInArrow(run, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, same boolean")
+    def finish(b: pa.RecordBatch, pieces: Pieces) -> pa.RecordBatch:
+        lists = b.column("ids")
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        view, cuts = memoryview(lists.flatten().to_numpy().astype("<u4").tobytes()), (4 * np.concatenate([[0], np.cumsum(size)])).tolist()
+        back = spell_out(lists, pa.array(pieces.raw, pa.large_binary()))
+        return pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), pa.array(size), pa.array([zlib.crc32(view[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)], pa.int64()),
+             pa.array([hashlib.sha256((t or "").encode()).hexdigest() for t in back], pa.string()),
+             pa.array([(t or "") == d for t, d in zip(b.column("text").to_pylist(), back, strict=True)], pa.bool_())],
+            names=["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "same"])
+
+    return encode(docs.select("doc_id", "text"), model_file, finish=finish,
+                  schema="doc_id bigint, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string, same boolean", **options)
