@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import write_and_read
+from .common import small_batches, tidy
 from .graph import small
 
 GRAM = 32
@@ -192,7 +193,7 @@ def _scan(docs: DataFrame, length: int, batch: int = 50_000) -> DataFrame:
             for a in range(0, len(cls), batch):
                 yield flat.slice(a, batch)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SCAN)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), _SCAN)
 
 
 def _contexts(docs: DataFrame, need: DataFrame, classes: DataFrame, length: int, broadcast_rows: int) -> DataFrame:
@@ -214,7 +215,7 @@ def _contexts(docs: DataFrame, need: DataFrame, classes: DataFrame, length: int,
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
 
     joined = docs.join(listed, docs.doc_id.eqNullSafe(listed.id)).select("text", "class", "list")
-    return joined.mapInArrow(run, "anchor bigint, ctx bigint, n bigint, off bigint, text binary")
+    return joined.mapInArrow(tidy(run), "anchor bigint, ctx bigint, n bigint, off bigint, text binary")
 
 
 _FOUND = "anchor bigint, ctx bigint, firsts array<bigint>, lasts array<bigint>"
@@ -251,7 +252,7 @@ def _sorted_shards(contexts: DataFrame, length: int, buffer: int = 300_000) -> D
                 size += len(row[3])
         yield settle(held)
 
-    return contexts.select("anchor", "ctx", "n", "text").repartition("anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(run, _FOUND)
+    return contexts.select("anchor", "ctx", "n", "text").repartition("anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(tidy(run), _FOUND)
 
 
 def _counted_shards(contexts: DataFrame, length: int, block: int = 16) -> DataFrame:
@@ -275,7 +276,7 @@ def _counted_shards(contexts: DataFrame, length: int, block: int = 16) -> DataFr
                                              names=["anchor", "ctx", "k", "core", "span", "first", "windows"])
 
     blocks = contexts.select("anchor", "ctx", "n", "off", "text").mapInArrow(
-        run, "anchor bigint, ctx bigint, k bigint, core binary, span binary, first bigint, windows array<binary>")
+        tidy(run), "anchor bigint, ctx bigint, k bigint, core binary, span binary, first bigint, windows array<binary>")
     blocks = write_and_read(blocks.dropDuplicates(["anchor", "ctx", "k"]), "window-blocks")
     key = ["anchor", "k", "core"]
     spans = blocks.groupBy(*key, "span").agg(F.count(F.lit(1)).alias("same"))
@@ -295,6 +296,7 @@ def _counted_shards(contexts: DataFrame, length: int, block: int = 16) -> DataFr
 def repeats(docs: DataFrame, length: int = 400, shard_contexts: int = 1000, broadcast_rows: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): doc_id, class, n_bytes of every row of ``docs`` (doc_id, text), and for each
     class with removed bytes its first_id and ``spans``, the maximal removed runs [from, to)."""
+    small_batches(docs.sparkSession)
     scan = write_and_read(_scan(docs, length), "runs")
     rows = scan.where("lo IS NULL").select("doc_id", "class", "n_bytes")
     every = scan.where("lo IS NOT NULL").select("class", "lo", "n", "off", "anchor", "ctx")
@@ -304,8 +306,8 @@ def repeats(docs: DataFrame, length: int = 400, shard_contexts: int = 1000, broa
     met = write_and_read(every.join(small(shared, 4 * broadcast_rows), "anchor").distinct(), "met-runs")  # a class's copies count once
     kinds = met.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("class", "lo", "n", "off")).alias("one"))
     kinds = write_and_read(kinds.select("anchor", "ctx", "times", "one.*"), "contexts")
-    wide = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    need = write_and_read(kinds.join(wide, "anchor"), "open-contexts")
+    wide = write_and_read(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "open-anchors")
+    need = write_and_read(kinds.join(small(wide, 4 * broadcast_rows), "anchor"), "open-contexts")
     large = need.where(F.col("kinds") > shard_contexts)
     found = _sorted_shards(_contexts(docs, need.where(F.col("kinds") <= shard_contexts), classes, length, broadcast_rows), length)
     if large.limit(1).count():
@@ -386,7 +388,7 @@ def digest(docs: DataFrame, length: int = 400, broadcast_rows: int = 500_000, **
                                              names=["class", "n_removed", "n_spans", "kept_sha256"])
 
     held = docs.join(part, docs.doc_id.eqNullSafe(part["_id"])).select("text", "_cuts")
-    cut = held.mapInArrow(run, "class binary, n_removed bigint, n_spans bigint, kept_sha256 string").dropDuplicates(["class"])
+    cut = held.mapInArrow(tidy(run), "class binary, n_removed bigint, n_spans bigint, kept_sha256 string").dropDuplicates(["class"])
     return rows.join(cut, "class", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", F.lower(F.hex("class"))).alias("kept_sha256"))
