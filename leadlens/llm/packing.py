@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import write_and_read
-from .common import filesystem, shared_folder
+from .common import filesystem, shared_folder, tidy
 
 MAGIC = b"LLPACK01"
 _HEAD = struct.Struct("<IIQQQ")  # bits, ids per block, blocks, documents, ids
@@ -130,7 +130,7 @@ class WordCache:
     held: dict[str, list] = {}
     MARKS = b",.;:!?"
 
-    def __init__(self, model: str, most: int = 500_000):
+    def __init__(self, model: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         key = str(zlib.crc32(model.encode()))
@@ -209,8 +209,8 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, folder: str, end_id: int
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache, writer, name = None, None, f"{uuid.uuid4().hex}.ids"
         for whole in batches:
-            for a in range(0, whole.num_rows, 5000):
-                b = whole.slice(a, 5000)
+            for a in range(0, whole.num_rows, 3000):
+                b = whole.slice(a, 3000)
                 if writer is None:
                     fs, root = filesystem(folder)
                     writer, cache = Writer(fs.open_output_stream(f"{root}/{name}", compression=None), bits, block), WordCache(model.value)
@@ -223,7 +223,7 @@ def write_tokens(docs: DataFrame, tokenizer_json: str, folder: str, end_id: int
 
     order = [F.col("doc_id"), F.xxhash64("text")]
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(*order).sortWithinPartitions(*order)
-    return write_and_read(dealt.mapInArrow(run, FILES), "token-files")
+    return write_and_read(dealt.mapInArrow(tidy(run), FILES), "token-files")
 
 
 def read_tokens(files: DataFrame, folder: str, step: int = 4_000_000) -> DataFrame:
@@ -242,7 +242,7 @@ def read_tokens(files: DataFrame, folder: str, step: int = 4_000_000) -> DataFra
                 with fs.open_input_file(f"{root}/{name}") as f:
                     yield from _documents(Reader(f), name, base, step)
 
-    return places.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, file string")
+    return places.mapInArrow(tidy(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, file string")
 
 
 def _documents(r: Reader, name: str, base: int, step: int) -> Iterator[pa.RecordBatch]:
