@@ -74,11 +74,11 @@ def signature(values: np.ndarray) -> np.ndarray:
     return out
 
 
-SKETCH = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>, low binary"
+SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, class binary, bands array<bigint>, low binary"
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """Per row: set size, class (128-bit hash of the set; null without words), band keys, and the
+    """Per row: hash of the text, set size, class (128-bit hash of the set; null without words), band keys, and the
     low byte of every coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,10 +98,10 @@ def sketch(docs: DataFrame) -> DataFrame:
                 bands.append(key.view(np.int64))
                 low.append(sig.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array(low, pa.binary())], names=["doc_id", "n_shingles", "class", "bands", "low"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                 pa.array(low, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "class", "bands", "low"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(tidy(run), SKETCH)
 
 
 def _blocks(df: DataFrame, key: str, size: int) -> DataFrame:
@@ -184,6 +184,12 @@ def link(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block
     linked with nothing. Rows that repeat a doc_id are alike in everything that follows; a null
     doc_id is never the smallest, unless its component has no other (then it is kept).
     """
+    return _linked(docs, percent, least_agreement, block, broadcast_rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _linked(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block: int = 1024, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The columns of :func:`link`, and each row's text_hash and component (of its class; null
+    without words)."""
     docs = docs.select("doc_id", "text")
     small_batches(docs.sparkSession)
     rows = write_and_read(sketch(docs), "sketch")
@@ -235,12 +241,13 @@ def link(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block
     comp = write_and_read(components(links), "components")
 
     least_id = comp.join(classes.select("class", "first_id"), comp.node == classes["class"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = comp.join(least_id, "root").select(F.col("node").alias("class"), "component_id")
+    named = comp.join(least_id, "root").select(F.col("node").alias("class"), "root", "component_id")
     of_class = classes.select("class", "first_id").join(named, "class", "left").select(
-        "class", F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
-    out = rows.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
+        "class", F.coalesce("root", "class").alias("component"),
+        F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = rows.select("doc_id", "text_hash", "n_shingles", "class").join(of_class, "class", "left")
     found = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept"))
+    return out.select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept"), "text_hash", "component")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -255,7 +262,29 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000, **options) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component, with all its columns."""
-    gone = write_and_read(link(docs, broadcast_rows=broadcast_rows, **options).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    """The rows of ``docs`` that stay: one row of each component, with all its columns, and of the
+    texts without words one row of each doc_id and text. Of a component, the row of the smallest
+    doc_id stays (a null one is the largest), of its texts the one of the least hash, of its rows
+    with that text the one whose columns have the least hash."""
+    rows = write_and_read(_linked(docs, broadcast_rows=broadcast_rows, **options).select("doc_id", "text_hash", "component"), "linked")
+    met = rows.where("component IS NOT NULL")
+    first = met.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("first"))
+    first = small(write_and_read(first.where("n > 1").select("component", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")), "firsts"), broadcast_rows)
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    gone = write_and_read(met.join(first, "component").where(~stays).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "gone")
+    twice = rows.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = write_and_read(twice, "repeated-rows")
+
+    def same(listed: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(listed["_id"]) & (F.xxhash64(docs["text"]) == listed["_hash"])
+
     gone = small(gone, broadcast_rows)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    if not twice.limit(1).count():
+        return docs.join(gone, same(gone), "left_anti")
+    several = small(twice, broadcast_rows)
+    single = docs.join(gone, same(gone), "left_anti").join(several, same(several), "left_anti")
+    row = F.struct(*(docs[c] for c in docs.columns))
+    least = F.min_by(row, F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)).alias("row")
+    of_several = docs.join(gone, same(gone), "left_anti").join(several, same(several), "left_semi").groupBy(
+        docs["doc_id"].cast("long").alias("_id"), F.xxhash64(docs["text"]).alias("_hash")).agg(least)
+    return single.unionByName(of_several.select("row.*"))

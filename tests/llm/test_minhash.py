@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from leadlens.llm import minhash
+from leadlens.llm import minhash, suffix
 from leadlens.llm.common import lower_words
 from leadlens.llm.graph import components
 
@@ -102,3 +102,19 @@ def test_deduplicate_keeps_columns(spark):
     df = spark.createDataFrame([(d, t, 1, "c") for d, t in docs], DOCS)
     out = minhash.deduplicate(df)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 4, 5]
+
+
+def test_deduplicate_keeps_one_of_repeated_rows_and_of_null_ids(spark):
+    """The pipeline's second and third stage: a text that stands twice stays once, whole."""
+    long = [" ".join(f"{c}{i}" for i in range(120)) for c in "abcdef"]
+    near = long[3].replace("d60", "other")
+    rows = [(1, long[0]), (1, long[0]), (1, long[0]), (2, long[1]), (None, long[2]), (None, long[2]), (None, long[3]), (None, near), (5, long[4]),
+            (None, long[4]), (7, long[5]), (7, long[0]), (8, ""), (8, ""), (9, None), (9, None), (None, "")]
+    docs = spark.createDataFrame([(d, t, i, "c") for i, (d, t) in enumerate(rows)], DOCS)
+    want = sorted([(1, long[0]), (2, long[1]), (None, long[2]), (5, long[4]), (7, long[5]), (8, ""), (9, None), (None, "")], key=repr)
+    out = [[tuple(r) for r in suffix.remove(minhash.deduplicate(docs.repartition(n), **o), 250).collect()] for n, o in ((1, {}), (5, {}), (3, {"broadcast_rows": 1}))]
+    for got in out:
+        texts = sorted(((d, t) for d, t, *_ in got), key=repr)
+        assert [x for x in texts if not str(x[1]).startswith("d")] == want
+        assert [x in ((None, long[3]), (None, near)) for x in texts if str(x[1]).startswith("d")] == [True]
+        assert sorted(got, key=repr) == sorted(out[0], key=repr)  # the same rows from any partitioning
