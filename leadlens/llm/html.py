@@ -5,14 +5,13 @@ its place among the page's containers, and whether it stands in a part that is n
 by its element, role, class or id (menu, header, footer, sidebar, notice, advert, form, reader
 comments). Of the other lines, the ratio of text to tags is smoothed with a Gaussian; lines at
 or above the deviation of the smoothed ratios form the content clusters. They select the region:
-the articles that hold them, else the smallest container that holds most of their text; its lines,
-short ones included, are the page's text. One Arrow batch of pages is in memory; no shuffle.
+the articles that hold them, unless the text outside outweighs these, else the smallest set of
+containers that holds them all; its lines, short ones included, are the page's text. One Arrow batch of pages is in memory; no shuffle.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -145,25 +144,48 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach:-reach] / weights
 
 
-def content(lines: list[tuple[str, int, tuple, int]], sigma: float = 1.5, most: float = 0.75) -> list[str]:
+def content(lines: list[tuple[str, int, tuple, int]], sigma: float = 1.5) -> list[str]:
     """The lines of the region that the clusters of high text-to-tag ratio select."""
     if not lines:
         return []
     size = np.array([len(x[0]) for x in lines], float)
-    ratio = smoothed(size / np.maximum([x[1] for x in lines], 1), sigma)
-    chosen = ratio >= min(ratio.std(), ratio.max())
+    own = size / np.maximum([x[1] for x in lines], 1)
+    ratio = smoothed(own, sigma)
+    least = min(ratio.std(), ratio.max())
+    chosen = ratio >= least
+    core = chosen & (own >= least)  # not by its neighbours' ratio alone
+    if not core.any():
+        core = chosen
     articles = {x[3] for x, c in zip(lines, chosen, strict=True) if c and x[3]}
-    inside = sum(s for x, s, c in zip(lines, size, chosen, strict=True) if c and x[3])
-    if articles and inside >= 0.25 * size[chosen].sum():
-        return [x[0] for x in lines if x[3] in articles]
-    total, held, count = size[chosen].sum(), defaultdict(float), defaultdict(int)
-    for x, s, c in zip(lines, size, chosen, strict=True):
-        for p in x[2]:
-            held[p] += s * c
-            count[p] += 1
-    # paths run from the page inwards: ids grow, so the largest that holds enough is the innermost
-    best = max((p for p in held if held[p] >= most * total and count[p] > 1), default=0)
-    return [x[0] for x in lines if best in x[2]]
+    inside = np.array([x[3] in articles for x in lines])
+    if articles and size[core & inside].sum() >= size[core & ~inside].sum():
+        return [x[0] for x, i in zip(lines, inside, strict=True) if i]
+    # the text outside outweighs the articles: several beside it are teasers, one is a part
+    within = np.array([x[3] > 0 for x in lines])
+    every = {x[3] for x in lines if x[3]}
+    if len({next(p for p in x[2] if p in every) for x in lines if x[3]}) > 1:
+        lines, core = [x for x, w in zip(lines, within, strict=True) if not w], core[~within]
+    return [x[0] for x, r in zip(lines, _region(lines, core), strict=True) if r]
+
+
+def _region(lines: list[tuple[str, int, tuple, int]], core: np.ndarray) -> np.ndarray:
+    """Which lines stand in the smallest container, of more than one line, that holds all ``core``
+    lines. If that is the whole page, its parts before the first and after the last with such
+    lines go, but for those of plain text without tags."""
+    at = np.flatnonzero(core)
+    paths = [x[2] for x in lines]
+    first = paths[at[0]]
+    depth = len(first)
+    while any(paths[i][:depth] != first[:depth] for i in at) or depth > 1 and sum(p[:depth] == first[:depth] for p in paths) < 2:
+        depth -= 1
+    held = np.array([p[:depth] == first[:depth] for p in paths])
+    if not held.all():
+        return held
+    part = [p[: depth + 1] if len(p) > depth else None for p in paths]  # None: in the container itself
+    full = {part[i] for i in at} - {None}
+    ends = [i for i in range(len(lines)) if core[i] or part[i] in full]
+    tagged = {q for q, x in zip(part, lines, strict=True) if x[1] > 1} - {None}
+    return np.array([ends[0] <= i <= ends[-1] or part[i] not in tagged for i in range(len(lines))])
 
 
 def main_text(html: str | None) -> str:

@@ -60,3 +60,33 @@ def test_query_matches_plain_cut(spark):
         blocks = [" ".join(std.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", a)]
         want = "\n".join(b for b in blocks if b)
         assert got[r.page_id] == (want, len(want))
+
+
+def paragraphs(n, size, name):
+    return [f"{name} {i} " + "word " * (size // 5) + "end." for i in range(n)]
+
+
+def marked(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_bodies_split_over_containers_come_back_whole():
+    links = "<div class=x>" + "".join(f"<a href={i}>l{i}</a> " for i in range(9)) + "</div>"
+    lead, body, last = paragraphs(1, 300, "lead"), paragraphs(5, 200, "body"), paragraphs(1, 250, "last")
+    short = [*body[:2], "Short.", *body[2:]]
+    for parts in ([lead, short], [short, last], [lead, short, last]):
+        page = "".join(f"<div>{marked(x)}</div>" for x in parts)
+        want = "\n".join(t for x in parts for t in x)
+        assert html.main_text(f"{TOP}<div class=page>{page}</div>{END}") == want
+        assert html.main_text(f"{TOP}{links}{page}{links}{END}") == want
+
+
+def test_teaser_articles_beside_the_body():
+    body, teasers = paragraphs(6, 300, "body"), paragraphs(3, 150, "teaser")
+    beside = "".join(f"<article><h2>See</h2><p>{t}</p></article>" for t in teasers)
+    assert html.main_text(f"{TOP}<div class=post>{marked(body)}</div><div>{beside}</div>{END}") == "\n".join(body)
+    assert html.main_text(f"{TOP}<div>{beside}</div><div class=post>{marked(body)}</div>{END}") == "\n".join(body)
+    # one article of a page whose other text outweighs it is a part; the larger one is the page's text
+    got = html.main_text(f"{TOP}<article>{marked(teasers)}</article><div class=post>{marked(body)}</div>{END}").split("\n")
+    assert got == [*teasers, *body]
+    assert html.main_text(f"{TOP}<article>{marked(body)}</article><div>{marked(teasers)}</div>{END}") == "\n".join(body)
