@@ -8,7 +8,8 @@ other view, if on held-out labelled documents it is as sure and right at least `
 of the time. Both views are then calibrated on the held-out documents and combined.
 
 The classifiers are fitted on the driver on a bounded sample, the only thing that is: at most
-``labelled`` labelled and ``pool`` unlabelled documents of the least hashes. Scoring covers every
+``labelled`` labelled and ``pool`` unlabelled documents of the least hashes of their doc_ids (without one, of their texts). The sample and the
+order in which it is learnt depend on the rows alone, not on how they are partitioned. Scoring covers every
 document's whole text in one pass without a shuffle.
 """
 
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,7 +173,7 @@ def co_train(text: list[np.ndarray], meta: list[np.ndarray], y: np.ndarray, roun
 
 
 def _features(frame: DataFrame) -> DataFrame:
-    """Features of sample documents: text (list), layout, lang, source, quality, toxic."""
+    """Features of sample documents: text (list), layout, lang, source, quality, toxic, and its order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -186,10 +188,10 @@ def _features(frame: DataFrame) -> DataFrame:
                     forms.append(layout(text, codes[i:j]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lists, pa.list_(pa.int32())), pa.array(forms, pa.list_(pa.float64())), *part.columns[1:]],
-                    names=["features", "layout", "lang", "source", "quality", "toxic"])
+                    names=["features", "layout", "lang", "source", "quality", "toxic", "at", "pooled", "doc_id"])
 
-    return frame.select("text", "lang", "source", "quality", "toxic").mapInArrow(
-        tidy(run), "features array<int>, layout array<double>, lang string, source string, quality int, toxic int")
+    return frame.select("text", "lang", "source", "quality", "toxic", "at", "pooled", F.col("doc_id").cast("string").alias("doc_id")).mapInArrow(
+        tidy(run), "features array<int>, layout array<double>, lang string, source string, quality int, toxic int, at bigint, pooled int, doc_id string")
 
 
 class Model:
@@ -219,6 +221,10 @@ class Model:
         return dict(zip(keep.tolist(), (scale * w).tolist(), strict=True)), scale * b + shift
 
 
+#: Of rows that repeat a doc_id, the one that is learnt from.
+_LEAST = "min(struct(text, lang, source)) AS row"
+
+
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 6000, rounds: int = 3, least_precision: float = 0.95) -> Model:
     """Fit on at most ``labelled`` + ``pool`` documents. Of several labels of one document the least
     quality and the most toxic count; a null label is none. Documents with a null doc_id, null
@@ -227,13 +233,18 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 60
     have = [c if c in docs.columns else None for c in ("lang", "source")]
     docs = docs.select("doc_id", "text", *(F.col(c).cast("string").alias(n) if c else F.lit(None).cast("string").alias(n) for c, n in zip(have, ("lang", "source"), strict=True)))
     one = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
-    chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    known = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    n = docs.count()
-    share = min(1.0, 3 * pool / max(1, n))
-    free = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).join(one, "doc_id", "left_anti").limit(pool)
+    chosen = one.withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id").limit(labelled)
+    known = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "at", "quality", "toxic").agg(F.expr(_LEAST))
+    at = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit(7))).otherwise(F.xxhash64("doc_id", F.lit(7)))
+    keyed = docs.withColumn("at", at)
+    least = keyed.select("doc_id", "at").join(one, "doc_id", "left_anti").distinct().orderBy("at", "doc_id").limit(pool)
+    least = F.broadcast(least.select(F.col("doc_id").alias("_id"), F.col("at").alias("_at")))
+    free = keyed.join(least, keyed["doc_id"].eqNullSafe(least["_id"]) & (keyed["at"] == least["_at"])).groupBy("doc_id", "at").agg(F.expr(_LEAST))
     free = free.withColumns({"quality": F.lit(None).cast("int"), "toxic": F.lit(None).cast("int")})
-    return Model(_features(known.unionByName(free)).toArrow(), rounds, least_precision)
+    columns = ["doc_id", "at", "quality", "toxic", "row.*"]
+    sample = _features(known.select(columns).withColumn("pooled", F.lit(0)).unionByName(free.select(columns).withColumn("pooled", F.lit(1)))).toArrow()
+    order = pc.sort_indices(sample, [("pooled", "ascending"), ("at", "ascending"), ("doc_id", "ascending")])
+    return Model(sample.take(order), rounds, least_precision)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

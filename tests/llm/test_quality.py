@@ -88,3 +88,15 @@ def test_query_on_labels_left_out(spark):
     assert right >= 0.99 and sum((r.p_toxic >= 0.5) == r.toxic for r in out) / len(out) >= 0.97
     rows = Q.op7_co_training(spark, SF_SMALL).collect()
     assert len(rows) == table(spark, SF_SMALL, "documents").count() and {"doc_id", "kept"} <= set(rows[0].asDict())
+
+
+def test_pool_is_the_least_hashes_whatever_the_partitioning(spark):
+    docs, labels = corpus(random.Random(11), 700)
+    docs += [(None, *r[1:]) for r in docs[:20]] + [(650, "another text of one id", "en", "s1", 1, "x")]
+    known = spark.createDataFrame(labels[:200], "doc_id bigint, quality int, toxic int")
+    d = spark.createDataFrame(docs, DOCS)
+    parts = [quality.fit(x, known, labelled=150, pool=100).parts for x in (d.repartition(3), d.orderBy(F.desc("doc_id")).coalesce(1))]
+    for t in ("quality", "toxic"):
+        one, two = (p[t] for p in parts)
+        assert one["pseudo"] == two["pseudo"] and (one["both"] == two["both"]).all()
+        assert all((x == y).all() if isinstance(x, np.ndarray) else x == y for v in ("text", "meta") for x, y in zip(one[v], two[v], strict=True))
