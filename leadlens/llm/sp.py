@@ -1,9 +1,12 @@
 """SentencePiece encoding and decoding with a relational lattice.
 
-A text with a space in front is cut before every space into segments, and these into units: runs
-of letters, single digits, runs of other marks, each of at most ``MOST`` characters and with at most
-one space, in front. No piece joins two units. The model writes spaces as U+2581; here they stay spaces, so that a U+2581 of the text itself
-is told apart (it becomes its bytes). Each distinct unit is encoded once:
+A text with a space in front is cut before every run of spaces into segments, and these into units:
+runs of letters, single digits, runs of other marks, each with the spaces in front. No piece may join
+two units: the loaded model's pieces are tried against this rule, units stay whole where a piece
+crosses (``Pieces.glue``), and if one crosses into a run of spaces, whole texts are the units. The
+model writes spaces as U+2581; here they stay spaces, so that a U+2581 of the text itself
+is told apart (it becomes its bytes). Each distinct unit is encoded once; those of more than ``MOST``
+characters by :func:`cheapest`, which carries the paths along the unit, the others by the lattice:
 
 * its substrings up to the longest piece are exploded and equi-joined with the piece table;
 * the matches, as edges (end, start, cost, id), are grouped by unit. The units are hash-partitioned
@@ -30,6 +33,7 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +47,10 @@ from .common import filesystem, give_back, private_names, shared_folder, small_b
 
 SPACE = " "
 _MODEL_SPACE = "▁"
-MOST = 48
+MOST = 1000
 FALLBACK = 1000.0
-_UNIT = re.compile(rf"{SPACE}?[^\W\d_]{{1,{MOST}}}|{SPACE}?\d|{SPACE}?[^\w{SPACE}]{{1,{MOST}}}|.", re.S)
+_UNIT = re.compile(rf"{SPACE}*[^\W\d_]+|{SPACE}*\d|{SPACE}*(?:[^\w{SPACE}]+|_+)+|{SPACE}+")
+_SEGMENT = re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 class Pieces:
@@ -72,30 +77,86 @@ class Pieces:
         total = math.log(sum(1 / r for r in range(1, len(self.piece) + 1)))
         self.cost = {i: total + math.log(r) for r, i in enumerate(self.piece.values(), 1)}
         self.longest = max(map(len, self.piece), default=1)
+        #: Whether a piece has a space behind another character; else, where pieces join units.
+        self.whole = any(SPACE in p.lstrip(SPACE) for p in self.piece)
+        joined = {a[-1] + b[0] for p in self.piece for a, b in pairwise(_UNIT.findall(p))}
+        self.glue = None if self.whole or not joined else re.compile("|".join(map(re.escape, sorted(joined))))
+
+    def cut(self, segment: str) -> list[str]:
+        """Units of a segment, given with its spaces in front."""
+        if self.whole:
+            return [segment]
+        found = _UNIT.findall(segment)
+        if not self.glue or not self.glue.search(segment):
+            return found
+        out = found[:1]
+        for u in found[1:]:
+            if self.glue.fullmatch(out[-1][-1] + u[0]):
+                out[-1] += u
+            else:
+                out.append(u)
+        return out
 
 
-def units(text: str | None) -> list[str]:
-    return [u for x in text.split(SPACE) for u in _UNIT.findall(SPACE + x)] if text else []
+def units(text: str | None, pieces: Pieces | None = None) -> list[str]:
+    cut = pieces.cut if pieces else _UNIT.findall
+    whole = pieces is not None and pieces.whole
+    return [u for x in ([SPACE + text] if whole else _SEGMENT.findall(SPACE + text)) for u in cut(x)] if text else []
 
 
-def segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(distinct segments without the space in front, code of each segment, segments up to each
-    text's end)."""
+def segments(texts: pa.Array, whole: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct segments without the first space in front, code of each segment, segments up to
+    each text's end)."""
     full = texts.fill_null("").cast(pa.large_string())
+    if whole:
+        there = pc.greater(pc.binary_length(full), 0)
+        coded = full.filter(there).dictionary_encode()
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.cumsum(there.to_numpy(zero_copy_only=False))
     split = pc.split_pattern(full, SPACE)
-    there = np.repeat(pc.greater(pc.binary_length(full), 0).to_numpy(zero_copy_only=False), np.diff(split.offsets.to_numpy()))
     cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
-    coded = split.flatten().filter(pa.array(there, pa.bool_())).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(there)])[cuts[1:]]
-
-
-def _count(docs: DataFrame, text: str) -> DataFrame:
+    parts = split.flatten()
+    # empty parts are the spaces before the next part, or the last ones of the text
+    ends = pc.greater(pc.binary_length(parts), 0).to_numpy(zero_copy_only=False).copy()
+    ends[cuts[1:][np.diff(cuts) > 0] - 1] = True
+    there = ends & np.repeat(pc.greater(pc.binary_length(full), 0).to_numpy(zero_copy_only=False), np.diff(cuts))
+    at = np.flatnonzero(there)
+    kept = parts.filter(pa.array(there, pa.bool_()))
+    before = np.diff(np.concatenate([[-1], np.flatnonzero(ends)]))[there[ends]] - 1
+    if before.any():
+        spaces = pc.binary_repeat(pa.scalar(SPACE, pa.large_string()), pa.array(before))
+        kept = pc.binary_join_element_wise(spaces, kept, pa.scalar("", pa.large_string()))
+    coded = kept.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.searchsorted(at, cuts[1:])
+
+
+def cheapest(unit: str, pieces: Pieces) -> list[int]:
+    """The ids of the unit's cheapest path, -1 for a character without a piece: as the lattice's
+    fold, in time and memory that grow with the unit's length alone."""
+    cost, last = [0.0], [(0, -1)]
+    for end in range(1, len(unit) + 1):
+        best, step = math.inf, (0, -1)
+        for start in range(max(0, end - pieces.longest), end):
+            i = pieces.piece.get(unit[start:end], -1)
+            if i >= 0 or start == end - 1:
+                c = cost[start] + (pieces.cost[i] if i >= 0 else FALLBACK)
+                if c < best:
+                    best, step = c, (start, i)
+        cost.append(best)
+        last.append(step)
+    out, at = [], len(unit)
+    while at:
+        at, i = last[at]
+        out.append(i)
+    return out[::-1]
+
+
+def _count(docs: DataFrame, text: str, known) -> DataFrame:
     """(uid, unit, times): segments are counted by batches, then over the corpus, then cut."""
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):
-                words, codes, _ = segments(whole.slice(a, 1000).column(0))
+                words, codes, _ = segments(whole.slice(a, 1000).column(0), known.value.whole)
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(np.bincount(codes, minlength=len(words)))], names=["segment", "times"])
                 give_back()
 
@@ -103,7 +164,7 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
         for b in batches:
             seen: Counter = Counter()
             for x, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for u in _UNIT.findall(SPACE + x):
+                for u in known.value.cut(SPACE + x):
                     seen[u] += n
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "times"])
 
@@ -112,27 +173,35 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
     return write_and_read(found.withColumn("uid", F.monotonically_increasing_id()), "counted-units")
 
 
-def encode_units(counted: DataFrame, pieces: Pieces) -> DataFrame:
+def encode_units(counted: DataFrame, pieces: Pieces, known) -> DataFrame:
     """(unit, times, ids) from (uid, unit, times), uid unique; -1 in ids stands for a character
     without a piece.
 
-    An edge is one number, end * 2^40 + start * 2^32 + id + 1, so that edges are small to group and
+    An edge is one number, end * 2^48 + start * 2^32 + id + 1, so that edges are small to group and
     their order is that of their ends, then starts; id + 1 is 0 for a character without a piece."""
     costs = [FALLBACK, *(pieces.cost.get(i, FALLBACK) for i in range(len(pieces.raw)))]
     table = counted.sparkSession.createDataFrame([(p, i + 1) for p, i in pieces.piece.items()], "piece string, id int")
-    dealt = counted.repartition("uid")
+    dealt = counted.where(F.length("unit") <= MOST).repartition("uid")
     tails = dealt.select("uid", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("s"), "unit").select(
         "uid", "s", F.expr(f"substring(unit, s, {pieces.longest})").alias("tail"))
     cuts = tails.select("uid", "s", "tail", F.explode(F.sequence(F.lit(1), F.length("tail"))).alias("l")).select(
         "uid", "s", "l", F.expr("substring(tail, 1, l)").alias("piece"))
     # a character that is no piece keeps an edge of its own, without an id
     edges = cuts.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR l = 1")
-    edge = F.expr(f"(s + l - 1) * {1 << 40}L + (s - 1) * {1 << 32}L + coalesce(id, 0)")
+    edge = F.expr(f"(s + l - 1) * {1 << 48}L + (s - 1) * {1 << 32}L + coalesce(id, 0)")
     lattice = edges.groupBy("uid").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     # state: the cheapest path (cost, ids) to each position met so far; position 0 is its first element
     fold = F.aggregate("edges", F.array(F.struct(F.lit(0.0).alias("cost"), F.array().cast("array<int>").alias("ids"))), _relax(costs),
                        lambda m: F.element_at(m, -1)["ids"])
-    return lattice.select("uid", fold.alias("ids")).join(counted, "uid").select("unit", "times", "ids")
+    folded = lattice.select("uid", fold.alias("ids")).join(counted, "uid").select("unit", "times", "ids")
+
+    def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [cheapest(u, known.value) for u in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], names=["unit", "times", "ids"])
+
+    long = counted.where(F.length("unit") > MOST).select("unit", "times")
+    return folded.unionByName(long.mapInArrow(tidy(carried), "unit string, times bigint, ids array<int>"))
 
 
 def _relax(costs: list[float]):
@@ -140,7 +209,7 @@ def _relax(costs: list[float]):
     price = F.lit(np.array(costs))
 
     def step(m, e):
-        end, start, piece = F.shiftright(e, 40).cast("int"), F.shiftright(e, 32).bitwiseAND(255).cast("int"), e.bitwiseAND((1 << 32) - 1).cast("int")
+        end, start, piece = F.shiftright(e, 48).cast("int"), F.shiftright(e, 32).bitwiseAND(65535).cast("int"), e.bitwiseAND((1 << 32) - 1).cast("int")
         before = F.get(m, start)
         cost = before["cost"] + F.get(price, piece)
         new = F.array(F.struct(cost.alias("cost"), F.concat(before["ids"], F.array(piece - 1)).alias("ids")))
@@ -301,14 +370,14 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids
     small_batches(spark)
     pieces = Pieces(model_file)
     docs = docs.drop(ids)
-    table = write_and_read(encode_units(_count(docs, text), pieces), "units")
-    least = _least(table, shared_units)
     known = spark.sparkContext.broadcast(pieces)
+    table = write_and_read(encode_units(_count(docs, text, known), pieces, known), "units")
+    least = _least(table, shared_units)
     index = _write_index(table.where(F.col("times") >= F.lit(least)).select("unit", "ids"), known)
     at = docs.columns.index(text)
     frame, rest, others = docs, None, table.where(F.col("times") < F.lit(least))
     if others.limit(1).count():
-        frame, rest = _with_rare(docs, others, text, index)
+        frame, rest = _with_rare(docs, others, text, index, known)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,8 +386,8 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids
         for whole in batches:
             for a in range(0, whole.num_rows, 500):
                 b = whole.slice(a, 500)
-                words, codes, ends = segments(b.column(at))
-                cut = [_UNIT.findall(SPACE + w) for w in words]
+                words, codes, ends = segments(b.column(at), pieces.whole)
+                cut = [pieces.cut(SPACE + w) for w in words]
                 coded = pa.array([u for c in cut for u in c], pa.string()).dictionary_encode()
                 found = coded.dictionary.to_pylist()
                 flat, start, size = shared.find(found)
@@ -345,7 +414,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids
     return frame.mapInArrow(tidy(run), schema if finish else own_schema)
 
 
-def _with_rare(docs: DataFrame, rare: DataFrame, text: str, index: tuple[str, list[str]]) -> tuple[DataFrame, str]:
+def _with_rare(docs: DataFrame, rare: DataFrame, text: str, index: tuple[str, list[str]], known) -> tuple[DataFrame, str]:
     """``docs`` with a last column: its units that are not shared, and their ids. Documents meet
     their lists by the hash of the text."""
     column, key = private_names(docs, "_rare", "_key")
@@ -355,7 +424,7 @@ def _with_rare(docs: DataFrame, rare: DataFrame, text: str, index: tuple[str, li
         for b in batches:
             key, unit = [], []
             for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = list(dict.fromkeys(units(t)))
+                words = list(dict.fromkeys(units(t, known.value)))
                 mine = [words[i] for i in np.flatnonzero(shared.find(words)[2] < 0)]
                 unit += mine
                 key += [k] * len(mine)

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -77,3 +78,33 @@ def test_query_matches_brute_force(spark, pieces):
         ids = brute_force(t, pieces)
         assert got[d] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), hashlib.sha256(t.encode()).hexdigest(), True)
     assert len(got) == table(spark, SF_SMALL, "documents").count() and all(x[3] for x in got.values())
+
+
+def over_whole_text(text, pieces):
+    """The cost of the cheapest path over the whole text, cut nowhere, and the decoded ids' cost."""
+    t, best = " " + text, [0.0]
+    for end in range(1, len(t) + 1):
+        options = [best[end - 1] + sp.FALLBACK]
+        options += [best[start] + pieces.cost[i] for start in range(max(0, end - pieces.longest), end) if (i := pieces.piece.get(t[start:end])) is not None]
+        best.append(min(options))
+    return best[-1]
+
+
+CROSSING = ["a  b", "x" + " " * 40 + "y  ", "   ", "def __init__(self, _x):\n        self.__y = a_b_{1}  # ____", "=" * 3000 + " a", "漢字" * 1200 + "。" + "word" * 700, "a².b ². x²", "$_{i}$ _ "]
+
+
+def test_paths_are_the_cheapest_over_the_whole_text(spark, pieces):
+    """Runs of spaces, marks with underscores and long runs are no place to cut."""
+    fallback = set(pieces.byte)
+    got = run(spark, CROSSING)
+    for i, t in enumerate(CROSSING):
+        raw = [x for x in got[i][0] if x in fallback]
+        missing = sum(1 for c in bytes(pieces.raw[x][0] for x in raw).decode() if c)
+        cost = sum(pieces.cost[x] for x in got[i][0] if x not in fallback) + sp.FALLBACK * missing
+        assert got[i][1] == t and math.isclose(cost, over_whole_text(t, pieces))
+    assert sum(len(x) > sp.MOST for t in CROSSING for x in sp.units(t, pieces)) >= 2
+
+
+def test_no_piece_joins_two_units(pieces):
+    assert all(len(pieces.cut(p)) == 1 for p in pieces.piece) and pieces.glue.pattern
+    assert sp.segments(pa.array(["a  b c  ", None, "", "  ", "x"])) == (["a", " b", "c", " ", "  ", "x"], *(pytest.approx(x) for x in ([0, 1, 2, 3, 4, 5], [4, 4, 4, 5, 6])))
