@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, html, lm, minhash, packing, quality, sp, suffix, warc
+from . import ann, decontam, fim, html, line_dedup, lm, minhash, packing, quality, sp, suffix, variants, warc
 from .common import table
 
 
@@ -109,9 +109,76 @@ def op10_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.digest(table(spark, sf_dir, "documents"))
+
+
+#: The letters from U+00C0 to U+00FF, and as many code points of one byte that no
+#: lower-cased word holds: levenshtein() counts bytes.
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_NARROW = "".join(c for c in map(chr, range(0x21, 0x61)) if c != "'") + "~"
+#: CRC-32 a byte at a time, from the table that its polynomial gives; every pair of words by edit distance.
+OP11_SQL = f"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS k, i::BIGINT AS v FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents) WHERE length(w) >= 6 GROUP BY ALL),
+hashed AS (SELECT w, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(x) + 1), lambda i: ('0x' || hex(encode(x))[2 * i - 1:2 * i])::BIGINT)),
+  lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS h FROM (SELECT w, c, doc_id || ':' || w AS x FROM runs), crc),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+plain AS (SELECT word, n, length(word) AS len, translate(word, '{_WIDE}', '{_NARROW}') AS p FROM words),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM plain a JOIN plain b ON b.len BETWEEN a.len - 1 AND a.len + 1
+  AND a.word <> b.word AND levenshtein(a.p, b.p) = 1),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM formed UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN roots USING (word)
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l, sha256('7:' || doc_id) AS s FROM documents),
+h AS (SELECT *, len(l) AS n, ('0x' || s[1:8])::BIGINT % (len(l) + 1) AS h1, ('0x' || s[9:16])::BIGINT % (len(l) + 1) AS h2,
+  t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || s[17:24])::BIGINT % 100 >= 100 AS plain,
+  ('0x' || s[25:32])::BIGINT % 100 < 50 AS spm FROM u),
+p AS (SELECT *, array_to_string(l[1:least(h1, h2)], '') AS pre, array_to_string(l[least(h1, h2) + 1:greatest(h1, h2)], '') AS mid,
+  array_to_string(l[greatest(h1, h2) + 1:], '') AS suf FROM h)
+SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN length(pre) END AS prefix_chars, CASE WHEN NOT plain THEN length(mid) END AS middle_chars,
+  sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+    ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(w) AS line, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+many AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+d AS (SELECT doc_id, i, line, coalesce(doc_id <> keeper, false) AS gone FROM k LEFT JOIN many USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_index, op2_projection_forest, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op6_sentencepiece, op7_co_training, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens)}
+    return {f.__name__: f for f in (op1_warc_index, op2_projection_forest, op3_suffix_array_dedup, op4_decontamination, op5_lm_scoring, op6_sentencepiece, op7_co_training, op8_circulant_minhash, op9_html_extraction, op10_packed_tokens,
+        op11_spelling_variants, op12_fill_in_middle, op13_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_index": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_circulant_minhash": OP8_SQL}
+    return {"op1_warc_index": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_circulant_minhash": OP8_SQL,
+            "op11_spelling_variants": OP11_SQL, "op12_fill_in_middle": OP12_SQL, "op13_line_dedup": OP13_SQL}
