@@ -71,7 +71,7 @@ def compare(spark, name: str, fn, sql: str | None, data_dir: str, con=None, verb
 
 if __name__ == "__main__":
     sys.path.insert(0, ".")
-    from leadlens.plans import oracle_sql, queries
+    from __spark_entry__ import oracle_sql, queries
     from leadlens.session import local_session
 
     data_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
