@@ -30,8 +30,8 @@ from .graph import small
 LETTERS = "a-zÀ-ÿ"
 #: Most words and most code points of a block; pairs compared, and code points gathered, at a time.
 BLOCK_WORDS, BLOCK_CELLS, PAIRS, CELLS = 2048, 1 << 21, 1 << 16, 1 << 21
-#: Different words that a task counts before it hands them over.
-HELD = 200_000
+#: Different words that a task counts before it hands them over; pairs that a task is to compare.
+HELD, TASK_PAIRS = 200_000, 10_000_000
 
 
 def word_counts(docs: DataFrame, least_chars: int = 6, least_count: int = 5, slip: int = 199,
@@ -73,9 +73,13 @@ def word_counts(docs: DataFrame, least_chars: int = 6, least_count: int = 5, sli
     return counted.where(F.col("n") >= least_count)
 
 
+TILE = ["s", "left", "half", "i", "j"]
+
+
 def _tiles(words: DataFrame, least_chars: int) -> DataFrame:
     """(s, left, half, i, j, block, word, n): the words of each tile. ``s`` is the shorter length of
-    the pairs that meet there, ``half`` a hash of the first or last s // 2 code points."""
+    the pairs that meet there, ``half`` a hash of the first or last s // 2 code points. Dealt out by
+    tile to a number of tasks that follows from the pairs, not the bytes."""
     length = F.char_length("word")
     met = words.withColumn("s", F.explode(F.array(length, length - 1))).where(F.col("s") >= least_chars)
     k = F.floor(F.col("s") / 2).cast("int")
@@ -92,7 +96,10 @@ def _tiles(words: DataFrame, least_chars: int) -> DataFrame:
     met = met.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = met.withColumn("other", other)
-    return met.select(*bucket, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "word", "n")
+    met = met.select(*bucket, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "word", "n")
+    pairs = sizes.agg(F.sum(F.col("size").cast("double") * F.col("size") / 2)).first()[0] or 0.0
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(int(pairs / TASK_PAIRS), 100_000))
+    return met.repartition(tasks, *TILE)
 
 
 def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,16 +167,15 @@ def near_words(words: DataFrame, least_chars: int = 6) -> DataFrame:
     largest n (ties: smallest in code-point order). ``words`` (word, n) should be a written table
     with each word once."""
     small_batches(words.sparkSession, 10_000)
-    tile = ["s", "left", "half", "i", "j"]
-    tiles = _tiles(words, least_chars).repartition(*tile).sortWithinPartitions(*tile, "block")
+    tiles = _tiles(words, least_chars).sortWithinPartitions(*TILE, "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(rows: pa.Table) -> pa.RecordBatch:
-            col = {c: rows[c].to_numpy() for c in (*tile, "block", "n")}
+            col = {c: rows[c].to_numpy() for c in (*TILE, "block", "n")}
             words = rows["word"].to_pylist()
             new = np.zeros(len(words), bool)
             new[0] = True
-            for c in tile:
+            for c in TILE:
                 new[1:] |= col[c][1:] != col[c][:-1]
             starts = np.flatnonzero(new)
             ends = np.append(starts[1:], len(words))
@@ -192,7 +198,7 @@ def near_words(words: DataFrame, least_chars: int = 6) -> DataFrame:
             rows = pa.Table.from_batches(held).combine_chunks()
             # whole tiles: all but the last, which may go on in the next batch
             last = np.zeros(len(rows), bool)
-            for c in tile:
+            for c in TILE:
                 v = rows[c].to_numpy()
                 last |= v != v[-1]
             cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
