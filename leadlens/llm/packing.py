@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -120,8 +121,9 @@ class WordCache:
 
     For a tokenizer that drops white space, lower-cases, and parts runs of letters from runs of
     marks (:func:`fits` tries it), a text's ids are those of its words in order, and those of a
-    word that ends in marks are those of its letters, then of the marks. A run of ASCII letters
-    goes straight to the tokenizer's model, other words through the whole tokenizer.
+    word that ends in marks are those of its letters, then of the marks, if its letters are still
+    letters alone when normalised (:meth:`letters`). A run of ASCII letters goes straight to the
+    tokenizer's model, other words through the whole tokenizer.
 
     Two generations of at most about ``most`` words each are held: what the older one still serves
     moves to the younger, the rest is forgotten with it.
@@ -161,13 +163,23 @@ class WordCache:
         _, words, old, runs, _ = self.state
         found = [words.get(w) or old.get(w) for w in wanted]
         missing = [i for i, x in enumerate(found) if x is None]
-        parts = [(w, c.lower(), w[len(c) :]) if (c := w.rstrip(self.MARKS)).decode().isalpha() else (w, w, b"") for w in map(wanted.__getitem__, missing)]
+        parts = [(w, c.lower(), w[len(c) :]) if self.letters(c := w.rstrip(self.MARKS)) else (w, w, b"") for w in map(wanted.__getitem__, missing)]
         self._runs({x for p in parts for x in p[1:]})
         for i, (_, c, m) in zip(missing, parts, strict=True):
             found[i] = runs[c] + runs[m]
         words.update(zip(wanted, found, strict=True))
         return found
 
+    @staticmethod
+    def letters(word: bytes) -> bool:
+        """Whether marks behind the word stand apart from it: it normalises to letters of the Latin,
+        Greek or Cyrillic alphabet. A capital I with a dot, say, leaves a combining dot in lower
+        case, which forms one run with the marks; on rarer letters versions of Unicode differ."""
+        if word.isalpha():  # of bytes: ASCII letters only
+            return True
+        text = unicodedata.normalize("NFC", word.decode()).lower()
+        return text.isalpha() and max(text) < "\u0500"
+
     def _runs(self, wanted: set[bytes]) -> None:
         tokenizer, _, _, runs, old = self.state
         wanted = wanted.difference(runs)
@@ -189,7 +201,8 @@ def fits(tokenizer_json: str) -> bool:
     from tokenizers import Tokenizer
 
     whole, words = Tokenizer.from_str(tokenizer_json), WordCache(tokenizer_json)
-    trials = ["The cat, it's 12 B.C.!  a\tb\n\nc?! ", "Élan über; ÇA va: ñandú, I'll we've... don't", "x", "a ,b . c d's 's", "İstanbul ΑΣ ΑΣ. ﬁne e\u0301t\u00a0o \u0301"]
+    trials = ["The cat, it's 12 B.C.!  a\tb\n\nc?! ", "Élan über; ÇA va: ñandú, I'll we've... don't", "x", "a ,b . c d's 's", "İstanbul ΑΣ ΑΣ. ﬁne e\u0301t\u00a0o \u0301",
+              "TARİHİ. ŞEHRİ! GÜZELLİĞİ, ÉTÉ? МИР; ΤΈΛΟΣ: \u0958. ǅ, क़! ﬀ. e\u0301. 語。語."]
     return all(words.encode(pa.array([t]), 0)[1].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 0] for t in trials)
 
 

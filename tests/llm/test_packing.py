@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -67,3 +68,18 @@ def test_query_matches_whole_text_encoding(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").orderBy("doc_id").collect()]
     got = [tuple(r)[:4] for r in Q.op10_packed_tokens(spark, SF_SMALL).orderBy(F.col("doc_id")).collect()]
     assert got == brute_force(docs)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_unicode_as_the_library(seed):
+    """Words of letters of many alphabets, capitals that lower-case to several code points,
+    combining marks and white space of all kinds, each before punctuation, against whole texts."""
+    tok, rng = Tokenizer.from_file(PATH), np.random.default_rng(seed)
+    words = packing.WordCache(open(PATH, encoding="utf-8").read())
+    special = list("İıŞĞÉßẞΣςǅﬁﬀクホ語ไทยक़ाȩ़́́̇क़ẞΩKŉᲉꟋͅ") + ["TARİHİ", "GÜZELLİĞİ", "'s", "’", "12", "½", "Ⅳ"]
+    marks = list(",.;:!?") + ["...", "?!", ").", "", "", " ", " ", "\x1c", "\x85", "​", "_"]
+    for _ in range(400):
+        text = "".join(str(rng.choice([*special, chr(rng.integers(0x21, 0x2FFF)), "ab"])) * int(rng.integers(1, 3)) + str(rng.choice(marks)) + str(rng.choice(["", " ", " ", "\n"]))
+                       for _ in range(rng.integers(1, 12)))
+        n, ids = words.encode(pa.array([text]), 1)
+        assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 1], text
