@@ -3,10 +3,14 @@
 The parser's events give lines: runs of text between block elements, each with its tag count,
 its place among the page's containers, and whether it stands in a part that is no article text
 by its element, role, class or id (menu, header, footer, sidebar, notice, advert, form, reader
-comments). Of the other lines, the ratio of text to tags is smoothed with a Gaussian; lines at
+comments). A class or id only makes an element suspect, and only if it is made of such names and of
+words that templates put beside them ("site-header", not "notice-period"): a suspect element that
+holds most of the page's text, or all there is, is read as any other. Of the lines left, the ratio of text to tags is smoothed with a Gaussian; lines at
 or above the deviation of the smoothed ratios form the content clusters. They select the region:
 the articles that hold them, unless the text outside outweighs these, else the smallest set of
-containers that holds them all; its lines, short ones included, are the page's text. One Arrow batch of pages is in memory; no shuffle.
+containers that holds them all; its lines, short ones included, are the page's text. A headline
+beside an article element, not in it, is not taken: it can't be told from the site's own. One Arrow
+batch of pages is in memory; no shuffle.
 """
 
 from __future__ import annotations
@@ -38,6 +42,16 @@ OUT_WORDS = frozenset(
     "overlay pager pagination popup promo promoted promotion search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe toolbar topbar widget widgets".split())
 READERS = frozenset("comment comments discussion disqus recommended related replies reply respond".split())
+# Words that stand beside those in names of the same parts.
+BESIDE = frozenset(
+    "a aria area article articles bar block bottom box btn button buttons center col column container fixed form global group "
+    "head holder icon icons in inner item items js label large layout left link links list lists m main menus mobile new news "
+    "of outer page panel posts primary region right root row secondary section site small sticky stories sub text the thread "
+    "title to top up us wrap wrapper x".split())
+NAMES = OUT_WORDS | READERS | BESIDE
+#: A suspect element of at least so many code points and such a share of the page's text is the text;
+#: where nothing else is, one of at least ALONE code points.
+DENSE, SHARE, ALONE = 500, 2 / 3, 200
 CLOSED_BY = {  # an open element that the start of another one ends
     "p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody"]), "th": frozenset(["td", "th", "tr", "tbody"]),
@@ -49,22 +63,24 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Lines(HTMLParser):
-    """Collects ``lines``: [text, tags, path of region ids, article ids]."""
+    """Collects ``lines``: (text, tags, path of region ids, article id, suspect), suspect being 0 or
+    the outermost suspect element's id, negative for readers' comments."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple, int]] = []
-        #: (tag, id, out, readers, path, article); out: 0 in, 1 by words, 2 by element
-        self.open: list[tuple[str, int, int, bool, tuple, int]] = [("", 0, 0, False, (0,), 0)]
-        self.text: list[str] = []
+        self.lines: list[tuple[str, int, tuple, int, int]] = []
+        #: (tag, id, out, readers, path, article, suspect); out: 0 in, 1 by words, 2 for good or by readers' words
+        self.open: list[tuple[str, int, int, bool, tuple, int, int]] = [("", 0, 0, False, (0,), 0, 0)]
+        self.text: list[tuple[int, str]] = []
         self.tags = self.n = 0
 
     def flush(self) -> None:
         if self.text:
-            text = " ".join("".join(self.text).split())
-            if text:
-                _, _, _, _, path, article = self.open[-1]
-                self.lines.append((text, self.tags, path, article))
+            _, _, _, _, path, article, _ = self.open[-1]
+            for suspect in dict.fromkeys(k for k, _ in self.text):
+                text = " ".join("".join(x for k, x in self.text if k == suspect).split())
+                if text:
+                    self.lines.append((text, self.tags, path, article, suspect))
             self.text = []
         self.tags = 0
 
@@ -84,8 +100,9 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         self.n += 1
-        _, _, out, readers, path, article = self.open[-1]
-        mine = self.judge(tag, attrs) if out < 2 else (2, readers)
+        _, _, out, readers, path, article, suspect = self.open[-1]
+        mine = self.judge(tag, attrs) if out < 2 or readers else (2, readers)
+        hard = mine[0] == 2 and not mine[1] or out == 2 and not readers
         if tag in ("article", "main") and out == 1 and not readers and not mine[0]:
             out = 0  # a wrapper named for what stands beside its article
         out, readers = max(out, mine[0]), readers or mine[1]
@@ -95,7 +112,13 @@ class Lines(HTMLParser):
             path = (*path, self.n)
         if tag == "article" or tag == "main":
             article = self.n
-        self.open.append((tag, self.n, out, readers, path, article))
+        if hard:
+            out, readers = 2, False  # for good, whatever is around it
+        elif not out:
+            suspect = 0
+        elif not suspect or readers and suspect > 0:
+            suspect = -self.n if readers else self.n
+        self.open.append((tag, self.n, out, readers, path, article, suspect))
 
     def judge(self, tag, attrs) -> tuple[int, bool]:
         """Whether the element itself leaves the article's text, and as readers' comments."""
@@ -110,11 +133,16 @@ class Lines(HTMLParser):
             if name == "role" and value.lower() in OUT_ROLES or name == "style" and _HIDDEN.search(value):
                 return 2, False
             if name in ("class", "id") and tag not in ("html", "body", "main"):
-                words = set(_SPLIT.split(_CAMEL.sub("-", value).lower()))
-                if words & READERS:
-                    return 2, True
-                if words & OUT_WORDS and tag != "article" and tag not in HEADING:
-                    out = 1
+                for one in value.split():
+                    words = set(_SPLIT.split(_CAMEL.sub("-", one).lower())) - {""}
+                    if not words <= NAMES:
+                        continue  # a name with words of its own says something else
+                    if words & READERS:
+                        readers = True
+                    if words & OUT_WORDS and tag != "article" and tag not in HEADING:
+                        out = 1
+        if readers:
+            return 2, True
         return out, readers
 
     def handle_startendtag(self, tag, attrs):
@@ -133,8 +161,9 @@ class Lines(HTMLParser):
                 break  # a stray end tag closes nothing outside its block
 
     def handle_data(self, data):
-        if not self.open[-1][2]:
-            self.text.append(data)
+        _, _, out, readers, _, _, suspect = self.open[-1]
+        if out < 2 or readers:
+            self.text.append((suspect, data))
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -188,6 +217,19 @@ def _region(lines: list[tuple[str, int, tuple, int]], core: np.ndarray) -> np.nd
     return np.array([ends[0] <= i <= ends[-1] or part[i] not in tagged for i in range(len(lines))])
 
 
+def unsuspected(lines: list[tuple[str, int, tuple, int, int]]) -> list[tuple[str, int, tuple, int]]:
+    """The lines outside suspect elements, with those of one that holds most of the text, or all."""
+    size: dict[int, int] = {}
+    for x in lines:
+        size[x[4]] = size.get(x[4], 0) + len(x[0])
+    most = max((k for k in size if k > 0), key=size.get, default=0)
+    if most and not (size[most] >= DENSE and size[most] >= SHARE * sum(n for k, n in size.items() if k >= 0)):
+        most = 0
+    if not most and not size.get(0):
+        most = max((k for k in size if size[k] >= ALONE), key=lambda k: (k > 0, size[k]), default=0)
+    return [x[:4] for x in lines if x[4] in (0, most)]
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -195,7 +237,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    return "\n".join(content(parser.lines))
+    return "\n".join(content(unsuspected(parser.lines)))
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

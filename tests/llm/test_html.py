@@ -90,3 +90,33 @@ def test_teaser_articles_beside_the_body():
     got = html.main_text(f"{TOP}<article>{marked(teasers)}</article><div class=post>{marked(body)}</div>{END}").split("\n")
     assert got == [*teasers, *body]
     assert html.main_text(f"{TOP}<article>{marked(body)}</article><div>{marked(teasers)}</div>{END}") == "\n".join(body)
+
+
+def test_names_with_words_of_their_own():
+    """Only names made of template words are menus and the like; what else holds such a word stays."""
+    body = paragraphs(4, 300, "body")
+    for name in ("related-work", "discussion-of-results", "header-content", "notice-period", "share-price", "socialHistory", "with-sidebar"):
+        for attr in ("class", "id"):
+            want = "\n".join([*body[:2], "More about this.", *body[2:]])
+            part = f'<div {attr}="{name}"><p>More about this.</p></div>'
+            assert html.main_text(f"{TOP}<article>{marked(body[:2])}{part}{marked(body[2:])}</article>{END}") == want
+            assert html.main_text(f'{TOP}<div {attr}="{name}">{marked(body)}</div>{END}') == "\n".join(body)
+    for name in ("related-articles", "post-x social-links", "site-header", "shareButtons", "ad-box", "comment-list", "col newsletter-box"):
+        part = f'<div class="{name}"><p>Not about this.</p></div>'
+        assert html.main_text(f"{TOP}<article>{marked(body[:2])}{part}{marked(body[2:])}</article>{END}") == "\n".join(body)
+
+
+def test_suspect_elements_with_most_of_the_text():
+    """Names are no reason to drop the article itself, nor to return nothing of a page with text."""
+    body = paragraphs(5, 400, "body")
+    for name in ("notice", "announcement-box", "social", "promo", "header"):
+        assert html.main_text(f'{TOP}<div class="{name}">{marked(body)}</div>{END}') == "\n".join(body)
+        inline = f'<p>Start <span class="{name}">{"word " * 30}</span> end.</p>'
+        assert html.main_text(f"{TOP}<article>{marked(body)}{inline}</article>{END}") == "\n".join([*body, "Start end."])
+    # the rest of the page is enough text: the suspect part goes
+    assert html.main_text(f'{TOP}<div class=post>{marked(body)}</div><div class="notice">{marked(paragraphs(3, 300, "notice"))}</div>{END}') == "\n".join(body)
+    # readers outweigh the article and still go, but for a page with nothing else
+    readers = f'<div class="discussion">{marked(paragraphs(30, 300, "reader"))}<nav>menu</nav><script>x</script></div>'
+    assert html.main_text(f"<body><article>{marked(body)}</article>{readers}</body>") == "\n".join(body)
+    assert html.main_text(f"<body>{readers}</body>") == "\n".join(paragraphs(30, 300, "reader"))
+    assert html.main_text('<body><div class="cookie-notice"><p>We use cookies.</p></div></body>') == ""
