@@ -206,7 +206,7 @@ def encode_units(counted: DataFrame, pieces: Pieces, known) -> DataFrame:
 
 def _relax(costs: list[float]):
     """A fold's step: take an edge if it ends at a new position or more cheaply than before."""
-    price = F.lit(np.array(costs))
+    price = F.split(F.lit(",".join(map(repr, costs))), ",").cast("array<double>")  # one constant, not 32k columns
 
     def step(m, e):
         end, start, piece = F.shiftright(e, 48).cast("int"), F.shiftright(e, 32).bitwiseAND(65535).cast("int"), e.bitwiseAND((1 << 32) - 1).cast("int")
