@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import private_names, small_batches, tidy
+from .common import give_back, private_names, small_batches, tidy
 
 _CORE = re.compile(r"[^\W\d_]+")
 _SLOTS = 1 << 20
@@ -100,17 +100,26 @@ class Logistic:
 
 def _platt(x: np.ndarray, y: np.ndarray, steps: int = 200) -> np.ndarray:
     """Weights (bias last) of a logistic model of ``y`` on the columns of ``x``, by Newton steps
-    towards a prior that leaves the columns as they are."""
+    towards a prior that leaves the columns as they are. A step that would not lower the loss is
+    halved: on classes that the columns part well, whole steps swing about the minimum for good."""
     x = np.column_stack([np.clip(x, -20, 20), np.ones(len(y))])
     prior = np.append(np.full(x.shape[1] - 1, 1 / max(1, x.shape[1] - 1)), 0.0)
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.sum(np.logaddexp(0, z) - y * z) + 0.5 * np.sum((w - prior) ** 2))
+
     w = prior.copy()
+    now = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + 1.0 * (w - prior)
+        p = _sigmoid(x @ w)
+        grad = x.T @ (p - y) + (w - prior)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)), grad)
-        w -= step
+        while (then := loss(w - step)) > now and np.abs(step).max() >= 1e-10:
+            step = step / 2
         if np.abs(step).max() < 1e-8:
             break
+        w, now = w - step, then
     return w
 
 
@@ -121,11 +130,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _select(rows: list[np.ndarray], y: np.ndarray, least_z: float = 5.0) -> np.ndarray:
     """Text features whose rate of positives differs from the sample's by ``least_z`` standard
     errors and that at least five documents have: the others would only add noise to long texts."""
-    flat, hit = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64), np.repeat(y, [len(r) for r in rows])
-    cells, inverse = np.unique(flat, return_inverse=True)
-    n, ones, rate = np.bincount(inverse), np.bincount(inverse, hit), y.mean()
-    z = (ones - n * rate) / np.sqrt(n * max(rate * (1 - rate), 1e-9))
-    return cells[(n >= 5) & (np.abs(z) >= least_z)]
+    flat = np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int32)  # each document has a feature once
+    cells, n = np.unique(flat, return_counts=True)
+    cells, n = cells[n >= 5], n[n >= 5]
+    ones, rate = np.zeros(len(cells) + 1), y.mean()
+    for r, target in zip(rows, y, strict=True):  # row by row: the driver holds no second copy of the sample
+        if target and len(cells):
+            at = np.minimum(np.searchsorted(cells, r), len(cells) - 1)
+            ones[at[cells[at] == r]] += target
+    z = (ones[:-1] - n * rate) / np.sqrt(n * max(rate * (1 - rate), 1e-9))
+    return cells[np.abs(z) >= least_z].astype(np.int64)
 
 
 class View:
@@ -196,7 +210,6 @@ def _features(frame: DataFrame) -> DataFrame:
 
 class Model:
     def __init__(self, sample: pa.Table, rounds: int, least_precision: float):
-        sample = sample.combine_chunks()
         lists = sample.column("features").combine_chunks()
         flat, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
         text = np.split(flat, np.cumsum(size)[:-1]) if len(size) else []
@@ -243,8 +256,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 60
     free = free.withColumns({"quality": F.lit(None).cast("int"), "toxic": F.lit(None).cast("int")})
     columns = ["doc_id", "at", "quality", "toxic", "row.*"]
     sample = _features(known.select(columns).withColumn("pooled", F.lit(0)).unionByName(free.select(columns).withColumn("pooled", F.lit(1)))).toArrow()
-    order = pc.sort_indices(sample, [("pooled", "ascending"), ("at", "ascending"), ("doc_id", "ascending")])
-    return Model(sample.take(order), rounds, least_precision)
+    sample = sample.take(pc.sort_indices(sample, [("pooled", "ascending"), ("at", "ascending"), ("doc_id", "ascending")]))
+    model = Model(sample, rounds, least_precision)
+    del sample
+    give_back()  # the driver goes on to other work
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -100,3 +100,15 @@ def test_pool_is_the_least_hashes_whatever_the_partitioning(spark):
         one, two = (p[t] for p in parts)
         assert one["pseudo"] == two["pseudo"] and (one["both"] == two["both"]).all()
         assert all((x == y).all() if isinstance(x, np.ndarray) else x == y for v in ("text", "meta") for x, y in zip(one[v], two[v], strict=True))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_calibration_reaches_the_minimum(seed):
+    """Also where two views part the classes nearly always, and agree: the gradient is nil there."""
+    rng = np.random.default_rng(seed)
+    y = (rng.random(1500) < 0.85).astype(float)
+    logits = np.column_stack([np.where(rng.random(1500) < 0.002, -1, 1) * (2 * y - 1) * rng.gamma(4, s, 1500) for s in (2.0, 3.5)])
+    w = quality._platt(logits, y)
+    x = np.column_stack([np.clip(logits, -20, 20), np.ones(len(y))])
+    assert np.abs(x.T @ (1 / (1 + np.exp(-x @ w)) - y) + w - [0.5, 0.5, 0]).max() < 1e-4
+    assert ((x @ w > 0) == (y > 0)).mean() > 0.99
