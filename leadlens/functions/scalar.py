@@ -102,11 +102,6 @@ def two_groups(c: str | Column, members: Iterable[str], inside: str, outside: st
     return F.when(_c(c).isin(*list(members)), F.lit(inside)).otherwise(F.lit(outside))
 
 
-def rare_to_other(c: str | Column, frequent: Iterable[str], other: str = "Other") -> Column:
-    """Keep listed levels, map everything else (and NULL) to ``other``."""
-    return F.when(_c(c).isin(*list(frequent)), _c(c)).otherwise(F.lit(other))
-
-
 def significance(p: str | Column, alpha: float = 0.05) -> Column:
     return F.when(_c(p) < F.lit(alpha), F.lit("Yes")).otherwise(F.lit("No"))
 

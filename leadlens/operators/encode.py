@@ -1,8 +1,9 @@
 """Level reduction, dummy encoding, scaling and the fit-on-train / serve-on-new feature
 pipeline, as Spark ML Estimators and Transformers built from Column expressions.
 
-Fitted state is small (level lists, min/max per column) and travels with the model, so
-serving never recomputes it from the data being scored.
+Fitted state (tables of kept levels, the dummies' names, min/max per column) travels with the
+model, so serving never recomputes it from the data being scored. Dummies are a column each here;
+for columns of very many levels see :class:`levels.SparseDesign`.
 """
 
 from __future__ import annotations
@@ -12,13 +13,14 @@ from collections.abc import Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..functions.scalar import named
-from . import clean
+from ..session import cleanup_at_exit, scratch_path
+from . import clean, levels
 
 # Issue types that tend to resolve quickly.
 SHORT_ISSUE_TYPES = ["Bug", "Improvement", "Task", "Test"]
@@ -35,7 +37,8 @@ class _Persist(DefaultParamsReadable, DefaultParamsWritable):
 
 class RareLevels(Estimator, _Persist):
     """Keep the levels of ``inputCol`` seen more than ``minCount`` times in the fitting
-    data; map the rest (and NULL, and levels unseen at fit time) to ``other``."""
+    data; map the rest (and NULL, and levels unseen at fit time) to ``other``. The kept levels are
+    a Parquet table in the shared folder; nothing reaches the driver."""
 
     inputCol = Param(Params._dummy(), "inputCol", "column", TypeConverters.toString)
     minCount = Param(Params._dummy(), "minCount", "keep levels with count > minCount", TypeConverters.toInt)
@@ -49,30 +52,47 @@ class RareLevels(Estimator, _Persist):
 
     def _fit(self, df: DataFrame) -> "RareLevelsModel":
         c = self.getOrDefault("inputCol")
-        frequent = (
-            df.where(named(c).isNotNull())
-            .groupBy(c)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > self.getOrDefault("minCount"))
-        )
-        # The kept list is bounded by rows / minCount and becomes the model's schema.
-        lv = sorted(r[0] for r in frequent.select(c).collect())
-        return RareLevelsModel(inputCol=c, levels=lv, other=self.getOrDefault("other"))
+        folder = scratch_path(df.sparkSession, "kept-levels")
+        levels.frequent_levels(df, c, self.getOrDefault("minCount")).write.parquet(folder)
+        cleanup_at_exit(df.sparkSession, folder)
+        return RareLevelsModel(inputCol=c, folder=folder, other=self.getOrDefault("other"))
+
+
+class _LevelsWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.levels().write.parquet(f"{path}/levels")
+
+
+class _LevelsReader(DefaultParamsReader):
+    def load(self, path: str):
+        return super().load(path)._set(folder=f"{path}/levels")
 
 
 class RareLevelsModel(Model, _Persist):
+    """Joins the kept levels from the left. A saved model has its own copy of their table."""
+
     inputCol = Param(Params._dummy(), "inputCol", "column", TypeConverters.toString)
-    levels = Param(Params._dummy(), "levels", "kept levels", TypeConverters.toListString)
+    folder = Param(Params._dummy(), "folder", "Parquet table (level, n) of the kept levels", TypeConverters.toString)
     other = Param(Params._dummy(), "other", "replacement level", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, inputCol: str = "reporter", levels: list | None = None, other: str = "Other"):
+    def __init__(self, inputCol: str = "reporter", folder: str = "", other: str = "Other"):
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def levels(self) -> DataFrame:
+        return SparkSession.active().read.parquet(self.getOrDefault("folder"))
+
+    def write(self):
+        return _LevelsWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _LevelsReader(cls)
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        c = self.getOrDefault("inputCol")
-        return df.withColumn(c, S.rare_to_other(c, self.getOrDefault("levels"), self.getOrDefault("other")))
+        return levels.keep_levels(df, self.getOrDefault("inputCol"), self.levels(), self.getOrDefault("other"))
 
 
 class GroupLevels(Transformer, _Persist):

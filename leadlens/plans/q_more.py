@@ -149,18 +149,19 @@ def numeric_predictors(spark, data_dir):
     with_issues(
         f"""SELECT lv.c || '_' || lv.v AS feature FROM lv
 WHERE NOT EXISTS (SELECT 1 FROM (
-    SELECT 'priority' AS c, priority AS v FROM op UNION SELECT 'issue_type', issue_type FROM op
-    UNION SELECT 'reporter', reporter FROM op) s WHERE s.c = lv.c AND s.v = lv.v)""",
-        TR + ",\n" + _SERVE,
+    SELECT 'priority' AS c, priority AS v FROM sv UNION SELECT 'issue_type', issue_type FROM sv
+    UNION SELECT 'reporter', reporter FROM sv) s WHERE s.c = lv.c AND s.v = lv.v)""",
+        TR + ",\n" + _SERVE + ",\nsv AS (SELECT * FROM op WHERE priority > '2' AND reporter < 'M')",
     ),
 )
 def serving_missing_columns(spark, data_dir):
-    """Training design columns that the open issues' own level values would not produce
-    (the columns the serving side fills with 0)."""
+    """Training design columns that a serving table's own level values would not produce (the
+    columns the serving side fills with 0): open issues below the first priority, of the reporters
+    before M."""
     from ..operators import encode
 
     model, _, _ = design(spark, data_dir)
-    _, op = clean.split_labelled(issues(spark, data_dir))
+    _, op = clean.split_labelled(issues(spark, data_dir).where("priority > '2' AND reporter < 'M'"))
     # every stage but the dummy encoder: reduced levels as the encoder would see them
     enc = [s for s in model.stages if isinstance(s, encode.DummyEncoderModel)][0]
     served = clean.feature_table(op, target=None)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators import clean, encode, modeling_data, split
-from ..operators.profile import value_counts
+from ..operators import clean, encode, levels, modeling_data, split
+from ..session import write_and_read
 from ..sources.issues import issues
 from ..sources.tables import table
 from .registry import register, rounded, with_issues
@@ -110,13 +110,14 @@ FROM issues"""
 )
 def level_groupings(spark, data_dir):
     df = issues(spark, data_dir)
-    rare = [r[0] for r in value_counts(df, "priority").where(F.col("count") < 50).collect()]
-    return df.select(
+    kept = write_and_read(levels.frequent_levels(df, "priority", 49), "levels")
+    out = df.select(
         "key",
         S.two_groups("issue_type", SHORT_TYPES, "Short", "Long").alias("issue_group"),
         S.two_groups("priority", encode.MAJOR_PRIORITIES, "Major", "Minor").alias("priority_group"),
-        F.when(F.col("priority").isin(*rare), F.lit("Others")).otherwise(F.col("priority")).alias("priority_reduced"),
+        F.col("priority").alias("priority_reduced"),
     )
+    return levels.keep_levels(out, "priority_reduced", kept, "Others", null_to_other=False)
 
 
 _FEAT_SQL = f"""SELECT key, priority, issue_type, reporter, vote_count, comment_count,

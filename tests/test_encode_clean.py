@@ -11,7 +11,7 @@ def test_rare_levels_boundary_null_and_unseen(spark):
     rows = [("ten",)] * 10 + [("eleven",)] * 11 + [(None,)] * 12
     df = spark.createDataFrame(rows, "reporter string")
     m = encode.RareLevels(inputCol="reporter", minCount=10).fit(df)
-    assert m.getOrDefault("levels") == ["eleven"]
+    assert [tuple(r) for r in m.levels().collect()] == [("eleven", 11)]
     serve = spark.createDataFrame([("eleven",), ("ten",), ("new",), (None,)], "reporter string")
     assert [r[0] for r in m.transform(serve).collect()] == ["eleven", "Other", "Other", "Other"]
 
