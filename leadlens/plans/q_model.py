@@ -721,9 +721,10 @@ def json_canonical(spark, data_dir):
                       jsonops.canonical_json("value").alias("pretty"))
 
 
-def _export_path(spark, data_dir):
+def _export_path(spark, data_dir, damaged=False):
     """The issue table in the form of a tracker's export: keys such as DEMO-1, timestamps with an
-    offset, quotes and a line break in a field."""
+    offset, quotes and a line break in a field; ``damaged``: with timestamps that are none, and
+    others that lost their offset."""
 
     def build():
         path = scratch_path(spark, "issue-export")
@@ -733,19 +734,26 @@ def _export_path(spark, data_dir):
             "project": F.concat(F.col("project"), F.lit(' "alpha",\nsecond line')),
             **{c: stamp(c) for c in files.EXPORT_TIMESTAMPS},
         })
+        if damaged:
+            out = out.withColumns({
+                "created": F.when(F.expr("int(substr(key, 6)) % 97 = 5"), F.lit("yesterday, \n about noon")).otherwise(F.col("created")),
+                "resolutiondate": F.when(F.expr("int(substr(key, 6)) % 89 = 3"), F.substring("resolutiondate", 1, 23)).otherwise(F.col("resolutiondate"))})
         files.write_csv(out, path)
         return cleanup_at_exit(spark, path)
 
-    return memo(spark, data_dir, "issue_export", build)
+    return memo(spark, data_dir, f"issue_export_{damaged}", build)
 
 
 @register("csv_export_profile", with_issues(
     """SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT key) AS BIGINT) AS n_keys, CAST(count(created) AS BIGINT) AS n_created,
        CAST(count(resolutiondate) AS BIGINT) AS n_resolved, min(created) AS first_created, max(resolutiondate) AS last_resolved,
-       CAST(sum(CASE WHEN project = 'DEMO' THEN 1 ELSE 0 END) AS BIGINT) AS n_quoted, CAST(0 AS BIGINT) AS bad_timestamps FROM issues"""))
+       CAST(sum(CASE WHEN project = 'DEMO' THEN 1 ELSE 0 END) AS BIGINT) AS n_quoted, CAST(sum(bad) AS BIGINT) AS bad_timestamps
+FROM (SELECT key, project, CASE WHEN key % 97 <> 5 THEN created END AS created, CASE WHEN key % 89 <> 3 THEN resolutiondate END AS resolutiondate,
+        CASE WHEN key % 97 = 5 THEN 1 ELSE 0 END + CASE WHEN key % 89 = 3 AND resolutiondate IS NOT NULL THEN 1 ELSE 0 END AS bad FROM issues)"""))
 def csv_export_profile(spark, data_dir):
-    """Rows, keys and dates of an export-form CSV file as read back with the export's types."""
-    df = files.read_issue_export(spark, _export_path(spark, data_dir), strict=False)
+    """Rows, keys, dates and malformed dates of a damaged export-form CSV file as read back with
+    the export's types."""
+    df = files.read_issue_export(spark, _export_path(spark, data_dir, damaged=True), strict=False)
     return df.agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("n_keys"), F.count("created").alias("n_created"),
         F.count("resolutiondate").alias("n_resolved"), F.min("created").alias("first_created"), F.max("resolutiondate").alias("last_resolved"),

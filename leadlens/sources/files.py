@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import ISSUE_TS_PATTERN, parse_timestamp
 from .issues import ISSUE_SCHEMA
+from .records import read_quoted_csv
 
 CORRUPT = "_corrupt_record"
 
@@ -23,7 +24,8 @@ EXPORT_TIMESTAMPS = [f.name for f in ISSUE_SCHEMA.fields if isinstance(f.dataTyp
 def read_issues_csv(spark: SparkSession, path: str, schema: T.StructType = ISSUE_SCHEMA,
                     keep_corrupt: bool = False, multi_line: bool = False) -> DataFrame:
     """Header CSV with the declared schema (no inference pass). A quote inside a quoted field is
-    doubled; ``multi_line`` lets such fields hold line breaks (a file is then one split).
+    doubled; ``multi_line`` lets such fields hold line breaks (a file is then one split; see
+    :func:`records.read_quoted_csv` for large files).
     Malformed rows are kept with NULL fields; with ``keep_corrupt`` their raw text is in
     ``_corrupt_record``."""
     sch = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else schema
@@ -39,8 +41,9 @@ def read_issue_export(spark: SparkSession, path: str, multi_line: bool = True, s
     (``2013-04-05T10:11:12.000+0000``), parsed to UTC wall-clock timestamps.
 
     With ``strict`` a non-empty timestamp that does not parse fails the read with its count;
-    otherwise it becomes NULL and ``bad_timestamps`` tells how many of the row's did."""
-    raw = read_issues_csv(spark, path, EXPORT_SCHEMA, multi_line=multi_line)
+    otherwise it becomes NULL and ``bad_timestamps`` tells how many of the row's did. With
+    ``multi_line`` quoted fields may hold line breaks; files are read in splits on either way."""
+    raw = read_quoted_csv(spark, path, EXPORT_SCHEMA) if multi_line else read_issues_csv(spark, path, EXPORT_SCHEMA)
     parsed = {c: F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp(parse_timestamp(c, pattern), F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
               for c in EXPORT_TIMESTAMPS}
     bad = sum((F.when(F.trim(F.col(c)).isNotNull() & (F.trim(F.col(c)) != "") & parse_timestamp(c, pattern).isNull(), 1).otherwise(0)
