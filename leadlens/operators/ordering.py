@@ -16,7 +16,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.scalar import named
 from ..session import write_and_read
 
 _LOW33 = (1 << 33) - 1
@@ -47,18 +49,22 @@ def rank_rows(
 ) -> DataFrame:
     """Add ``rank_col``: the 0-based position of each row in ascending (nulls first)
     ``order`` within its ``by`` group; ``size_col`` (optional) is the group size.
-    Ties get distinct consecutive ranks; include a unique key in ``order`` when the rank
-    must identify rows reproducibly."""
+    Ties get distinct consecutive ranks, in order of hashes of the whole row: the same on any
+    partitioning and after a task is retried."""
     by, order = list(by), list(order)
-    # A unique tie-break lets the range partitioner split a value shared by a huge number
-    # of rows (a third of the table, say) over many partitions instead of one.
-    keys = by + order + ["_tb"]
+    # A tie-break lets the range partitioner split a value shared by a huge number of rows (a third
+    # of the table, say) over many partitions instead of one. It is a hash of the row, not a row
+    # id: a retried task then deals the same rows to the same ranges. Rows equal in all columns
+    # have one hash and stay together; which of them has which rank can't be told apart.
+    row = [F.to_json(named(f.name)) if isinstance(f.dataType, T.MapType) else F.to_json(F.struct(named(f.name)))
+           if isinstance(f.dataType, (T.StructType, T.ArrayType, T.VariantType)) else named(f.name) for f in df.schema.fields]
+    keys = by + order + ["_tb", "_tc"]
     ranged = _materialize(
-        df.withColumn("_tb", F.monotonically_increasing_id())
+        df.withColumns({"_tb": F.xxhash64(*row), "_tc": F.xxhash64(F.lit(1), *row)})
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .drop("_tb")
+        .drop("_tb", "_tc")
     )
     ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33))
               .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33))).drop("_mid"))
