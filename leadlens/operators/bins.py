@@ -84,20 +84,21 @@ def equal_width_hist(df: DataFrame, col: str, bins: int = 10, by: Sequence[str]
     )
 
 
-def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), approx_accuracy: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), approx_accuracy: int | None = None, weight: str | None = None) -> DataFrame:
     """Box-plot statistics of ``col`` per ``by`` group: n, mean, min, q1, median, q3, max,
     iqr, whiskers (the most extreme data points within 1.5 IQR of the quartiles) and the
     number of outliers beyond them. Quartiles are exact (linear interpolation).
 
     The data is scanned once, into (group, value, count); quartiles, whiskers, outlier
-    counts and the mean are all computed from that distinct-value table."""
+    counts and the mean are all computed from that distinct-value table. ``weight``: a column
+    of how often each row counts."""
     by = list(by)
     if approx_accuracy:
         # Sketch quartiles (one pass); whiskers and outliers from a second pass over rows.
         q = approx_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"], approx_accuracy)
         cum = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull()).withColumn("_c", F.lit(1))
     else:
-        cum = ranked_value_counts(df, col, by)
+        cum = ranked_value_counts(df, col, by, weight)
         q = quantiles_from_ranked(cum, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("_lf", F.col("q1") - 1.5 * F.col("iqr")).withColumn("_hf", F.col("q3") + 1.5 * F.col("iqr"))
@@ -178,21 +179,24 @@ HEX_Q = math.sqrt(3.0) / 3.0
 HEX_R = 2.0 / 3.0
 
 
-def hexbin(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
-    """Counts per pointy-top hexagon of circumradius ``size`` (axial q, r), found by
-    cube rounding of the fractional axial coordinates."""
-    X, Y = F.col(x).cast("double"), F.col(y).cast("double")
-    qf = (F.lit(HEX_Q) * X - Y / F.lit(3.0)) / F.lit(float(size))
-    rf = (F.lit(HEX_R) * Y) / F.lit(float(size))
+def hexagon(x, y, size: float):
+    """Axial (q, r) of the pointy-top hexagon of circumradius ``size`` around a point, by cube
+    rounding of its fractional coordinates."""
+    qf = (F.lit(HEX_Q) * x - y / F.lit(3.0)) / F.lit(float(size))
+    rf = (F.lit(HEX_R) * y) / F.lit(float(size))
     sf = -qf - rf
     q, r, s = F.round(qf), F.round(rf), F.round(sf)
     dq, dr, ds = F.abs(q - qf), F.abs(r - rf), F.abs(s - sf)
     q2 = F.when((dq > dr) & (dq > ds), -r - s).otherwise(q)
     r2 = F.when((dq > dr) & (dq > ds), r).when(dr > ds, -q - s).otherwise(r)
-    base = df.where(X.isNotNull() & Y.isNotNull())
-    return base.groupBy(q2.cast("bigint").alias("hq"), r2.cast("bigint").alias("hr")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    return q2.cast("bigint"), r2.cast("bigint")
+
+
+def hexbin(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
+    """Counts per pointy-top hexagon of circumradius ``size`` (axial q, r)."""
+    X, Y = F.col(x).cast("double"), F.col(y).cast("double")
+    hq, hr = hexagon(X, Y, size)
+    return df.where(X.isNotNull() & Y.isNotNull()).groupBy(hq.alias("hq"), hr.alias("hr")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:

@@ -21,8 +21,9 @@ from ..session import write_and_read
 from .moments import Moments
 from .select import cv_scores
 
-#: Nodes that a task opens in a round; open nodes that a task gets on average.
-STEPS, SHARE = 20_000, 8
+#: Nodes opened before any are dealt out; nodes that a task opens in a round; open nodes that a task
+#: gets on average.
+FIRST, STEPS, SHARE = 50, 20_000, 8
 _ROWS = "fixed array<int>, free array<int>, k int, rss double, subset array<int>"
 
 
@@ -60,10 +61,10 @@ class Tree:
                 least, size = rss + added[order[i]], len(columns) - 1
                 if least < best[size]:
                     best[size], subsets[size] = least, sorted(fixed + free[:i] + free[i + 1:])
-                if i + 1 < len(free) and least < best[len(fixed) + i]:  # best falls with the size
+                if i + 1 < len(free) and least < best[len(fixed) + i:size].max():
                     below.append((fixed + free[:i], free[i + 1:]))
             stack += below  # the last, smallest subtree first: good sums are found early
-        return [(f, r) for f, r in stack if self.fit(f + r)[0] < best[len(f)]]
+        return [(f, r) for f, r in stack if self.fit(f + r)[0] < best[len(f):len(f) + len(r)].max()]
 
 
 def independent(mom: Moments, tolerance: float = 1e-10) -> list[int]:
@@ -101,7 +102,7 @@ def best_subsets(spark: SparkSession, mom: Moments, max_rounds: int = 100) -> Da
         rss, added = tree.fit(path)
         best[len(path)], subsets[len(path)] = rss, sorted(path)
         path.pop(int(np.argmin(added)))
-    opened = tree.walk(([], list(range(p))), best, subsets, 50)
+    opened = tree.walk(([], list(range(p))), best, subsets, FIRST)
     nodes, count = spark.createDataFrame(opened, "fixed array<int>, free array<int>"), len(opened)
     for _ in range(max_rounds):
         if not count:
@@ -117,7 +118,7 @@ def best_subsets(spark: SparkSession, mom: Moments, max_rounds: int = 100) -> Da
                 for fixed, free in zip(b["fixed"], b["free"]):
                     each = max(1, steps // max(1, len(b)))
                     node = (list(map(int, fixed)), list(map(int, free)))
-                    if tree.fit(sum(node, []))[0] < best[len(fixed)]:
+                    if tree.fit(sum(node, []))[0] < best[len(fixed):len(fixed) + len(free)].max():
                         left += tree.walk(node, best, subsets, each)
             found = [([], [], k, best[k], subsets[k]) for k in range(1, len(best)) if best[k] < known[k]]
             yield pd.DataFrame(found + [(f, r, None, None, None) for f, r in left], columns=["fixed", "free", "k", "rss", "subset"])

@@ -132,13 +132,15 @@ def row_numbers(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), col
     return rank_rows(df, order, by, rank_col="_r0").withColumn(col, F.col("_r0") + 1).drop("_r0")
 
 
-def ranked_value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def ranked_value_counts(df: DataFrame, col: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """(by..., _x, _c, _cb, _n): each distinct non-null value of ``col`` per group with
     its count, the count of smaller values, and the group's non-null total. Only distinct
-    values are shuffled and ranked (a partial aggregate runs first)."""
+    values are shuffled and ranked (a partial aggregate runs first). A row counts once, or as
+    often as its ``weight`` says."""
     by = list(by)
-    vals = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    times = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    vals = df.select(*by, F.col(col).cast("double").alias("_x"), times.alias("_w")).where(F.col("_x").isNotNull())
+    counts = vals.groupBy(*by, "_x").agg((F.count(F.lit(1)) if weight is None else F.sum("_w")).alias("_c"))
     # Written once: callers aggregate it several times (quantiles, whiskers, moments).
     return write_and_read(cumulative_weights(counts, ["_x"], "_c", by, before_col="_cb", total_col="_n"), "ranked")
 

@@ -1,5 +1,5 @@
 """Distribution tests: Jarque-Bera, D'Agostino-Pearson omnibus, Shapiro-Wilk (Royston
-1995), Q-Q points, Durbin-Watson and the condition number.
+1995), Lilliefors, Q-Q points, Durbin-Watson and the condition number.
 
 Each test is one or two aggregates over the data; only the final handful of numbers is
 turned into a p-value. Order statistics come from the range-partitioned ranking.
@@ -14,8 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dist import norm_ppf_col, norm_sf
-from .ordering import rank_rows, with_previous
+from ..functions.dist import norm_cdf_col, norm_ppf_col, norm_sf
+from .ordering import rank_rows, ranked_value_counts, with_previous
 
 
 def central_moments(df: DataFrame, col: str) -> DataFrame:
@@ -141,7 +141,7 @@ def shapiro(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
 
 
 # P of the modified statistic (Stephens 1974) in pieces, by its upper end.
-_LILLIEFORS = [(0.302, [1.0]), (0.5, [2.76773, -19.828315, 80.709644, -138.55152, 81.218052]),
+LILLIEFORS_PIECES = [(0.302, [1.0]), (0.5, [2.76773, -19.828315, 80.709644, -138.55152, 81.218052]),
                (0.9, [-4.901232, 40.662806, -97.490286, 94.029866, -32.355711]),
                (1.31, [6.198765, -19.558097, 23.186922, -12.234627, 2.423045]), (math.inf, [0.0])]
 
@@ -152,7 +152,7 @@ def lilliefors_p(d: float, n: float) -> float:
     same at every n, so this holds for large tables; a plain Kolmogorov-Smirnov p would not, as the
     parameters are fitted."""
     k = d * (math.sqrt(n) - 0.01 + 0.85 / math.sqrt(n))
-    return min(1.0, max(0.0, next(_pv(c, k) for end, c in _LILLIEFORS if k <= end)))
+    return min(1.0, max(0.0, next(_pv(c, k) for end, c in LILLIEFORS_PIECES if k <= end)))
 
 
 def lilliefors(df: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:

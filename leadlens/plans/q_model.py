@@ -87,7 +87,7 @@ ss_ AS (SELECT sum((x - (SELECT avg(x) FROM d)) * (x - (SELECT avg(x) FROM d)))
 @register("shapiro_w_summary_length", _shapiro_w_sql())
 def shapiro_w_summary_length(spark, data_dir):
     """The Shapiro-Wilk W statistic of summary_length (Royston's weights)."""
-    return rounded(stattests.shapiro(issues(spark, data_dir), "summary_length", ks=False).select("n", "w"))
+    return rounded(stattests.shapiro(issues(spark, data_dir), "summary_length").select("n", "w"))
 
 
 @register("shapiro_summary_length")
@@ -96,6 +96,34 @@ def shapiro_summary_length(spark, data_dir):
     return rounded(stattests.shapiro(issues(spark, data_dir), "summary_length"))
 
 
+def _lilliefors_sql(expr: str, src: str, ctes: str = "") -> str:
+    from ..functions.dist import norm_cdf_sql
+
+    cases = " ".join(f"WHEN k <= {end!r} THEN {' + '.join(f'{c!r} * power(k, {i})' for i, c in enumerate(coef))}"
+                     for end, coef in stattests.LILLIEFORS_PIECES[:-1])
+    return with_issues(
+        f"""SELECT n, round(d, 6) AS lilliefors, round(p, 6) AS lilliefors_p_value, p > 0.05 AS gaussian
+FROM (SELECT n, d, least(1.0, greatest(0.0, CASE {cases} ELSE 0.0 END)) AS p
+      FROM (SELECT n, d, d * (sqrt(n) - 0.01 + 0.85 / sqrt(n)) AS k
+            FROM (SELECT CAST(max(n) AS BIGINT) AS n, max(greatest(i / n - f, f - (i - 1) / n)) AS d
+                  FROM (SELECT i, n, {norm_cdf_sql('((x - mu) / sd)')} AS f FROM r))))""",
+        (ctes + ",\n" if ctes else "") + f"""d AS (SELECT CAST({expr} AS DOUBLE) AS x FROM {src} WHERE {expr} IS NOT NULL),
+r AS (SELECT x, CAST(row_number() OVER (ORDER BY x) AS DOUBLE) AS i, CAST(count(*) OVER () AS DOUBLE) AS n, avg(x) OVER () AS mu,
+             stddev_samp(x) OVER () AS sd FROM d)""")
+
+
+@register("lilliefors_summary_length", _lilliefors_sql("summary_length", "issues"))
+def lilliefors_summary_length(spark, data_dir):
+    """Lilliefors' test of summary_length: a normal with fitted mean and deviation, valid at any n."""
+    return rounded(stattests.lilliefors(issues(spark, data_dir), "summary_length"))
+
+
+@register("lilliefors_log_duration", _lilliefors_sql("ln(duration_min)", "(SELECT * FROM lab WHERE duration_min > 0)", LAB_CTE))
+def lilliefors_log_duration(spark, data_dir):
+    """Lilliefors' test of ln(resolution minutes)."""
+    return rounded(stattests.lilliefors(modeling_data.labelled_with_target(issues(spark, data_dir)), "log_duration"))
+
+
 def _qq_sql() -> str:
     from ..functions.dist import norm_ppf_sql
 

@@ -64,4 +64,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the modules registers their queries.
-    from . import q_check, q_model, q_more, q_prep, q_profile, q_sparse  # noqa: F401
+    from . import q_check, q_model, q_more, q_prep, q_profile, q_sparse, q_wide  # noqa: F401

@@ -77,3 +77,11 @@ def test_rank_rows_splits_a_hot_tied_value(spark):
     r = rank_rows(df, ["x"], rank_col="r", size_col="n").toPandas().sort_values("r")
     assert list(r["r"]) == list(range(9000)) and (r["n"] == 9000).all()
     assert list(r["x"]) == sorted(r["x"])
+
+
+def test_tied_ranks_are_the_same_on_other_partitions(spark):
+    df, _ = _df(spark)
+    tied = df.select("g", "x", (F.col("k") % 7).alias("m"))  # ties, and rows equal in all columns
+    runs = [sorted(tuple(r) for r in rank_rows(tied.repartition(n, *by), ["x"], by=["g"], rank_col="r").collect())
+            for n, by in ((1, []), (5, ["m"]), (13, ["x", "m"]))]
+    assert runs[0] == runs[1] == runs[2]

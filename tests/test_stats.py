@@ -75,12 +75,49 @@ def test_durbin_watson(spark):
     assert stattests.durbin_watson(df, "e", ["t"]).first()[0] == pytest.approx(exp)
 
 
-def test_shapiro_reports_ks(spark):
+def test_shapiro_reports_the_distance_between_distributions(spark):
     rng = np.random.default_rng(11)
     x = rng.normal(size=400)
     r = stattests.shapiro(spark.createDataFrame([(float(v),) for v in x], "x double"), "x").first()
     xs = np.sort(x)
     cdf = np.array([dist.norm_cdf((v - x.mean()) / x.std(ddof=1)) for v in xs])
     d = max(np.max(np.arange(1, 401) / 400 - cdf), np.max(cdf - np.arange(0, 400) / 400))
-    assert r["ks_statistic"] == pytest.approx(d, abs=1e-9)
-    assert r["ks_p_value"] > 0.01
+    assert r["lilliefors"] == pytest.approx(d, abs=1e-9)
+    assert r["lilliefors_p_value"] > 0.01
+
+
+def test_lilliefors_equals_sorted_distances_and_handles_small_tables(spark):
+    rng = np.random.default_rng(7)
+    x = np.sort(np.round(rng.gamma(3.0, size=400), 1))  # with ties
+    z = (x - x.mean()) / x.std(ddof=1)
+    f = np.array([dist.norm_cdf(v) for v in z])
+    n = len(x)
+    d = max(((np.arange(1, n + 1) / n) - f).max(), (f - np.arange(n) / n).max())
+    frame = spark.createDataFrame([(float(v),) for v in x], "x double")
+    r = stattests.lilliefors(frame, "x").first()
+    assert r["n"] == n and r["lilliefors"] == pytest.approx(d, abs=1e-12)
+    assert r["lilliefors_p_value"] == pytest.approx(stattests.lilliefors_p(d, n))
+    assert stattests.shapiro(frame, "x").first()["lilliefors"] == pytest.approx(d, abs=1e-12)
+    for rows in ([], [(1.0,)] * 9, [(None,)] * 3):
+        r = stattests.lilliefors(spark.createDataFrame(rows, "x double"), "x").first()
+        assert r["lilliefors"] is None and r["gaussian"] is None
+
+
+def test_lilliefors_rejects_about_one_in_twenty_normal_tables_of_twenty_thousand():
+    from numpy.random import default_rng
+
+    rng, rejected, tries, n = default_rng(11), 0, 400, 20_000
+    grid = np.arange(1, n + 1) / n
+    cells = np.linspace(-6, 6, 200_001)
+    table = np.array([dist.norm_cdf(v) for v in cells])
+    for _ in range(tries):
+        x = np.sort(rng.normal(size=n))
+        f = np.interp((x - x.mean()) / x.std(ddof=1), cells, table)
+        rejected += stattests.lilliefors_p(max((grid - f).max(), (f - grid + 1 / n).max()), n) < 0.05
+    assert 0.02 * tries < rejected < 0.09 * tries
+
+
+def test_published_lilliefors_quantiles():
+    # 5 % and 1 % points of the modified statistic
+    assert stattests.lilliefors_p(0.895 / (100 - 0.01 + 0.85 / 100), 10_000) == pytest.approx(0.05, abs=0.004)
+    assert stattests.lilliefors_p(1.035 / (100 - 0.01 + 0.85 / 100), 10_000) == pytest.approx(0.01, abs=0.002)
