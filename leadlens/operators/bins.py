@@ -211,9 +211,8 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
         lo, hi = rng[f"lo_{c}"], rng[f"hi_{c}"]
         if lo is None:
             return F.lit(None).cast("int")
-        if lo == hi:
-            return F.lit(0)
-        return F.least(F.width_bucket(F.col(c).cast("double"), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)) - 1
+        x = F.col(c).cast("double")  # least() passes over nulls
+        return F.when(x.isNotNull(), F.lit(0) if lo == hi else F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)) - 1)
 
     binned = df.select(*[b(c).alias(c) for c in cols])
     pairs = [(a, c) for a in cols for c in cols]

@@ -53,7 +53,7 @@ class BinCube:
             x = _finite(c)
             if lo == hi:
                 return F.when(x.isNotNull(), F.lit(0))
-            return F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(n_bins)), F.lit(n_bins)).cast("int") - 1
+            return F.when(x.isNotNull(), F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(n_bins)), F.lit(n_bins)).cast("int") - 1)
 
         placed = df.select(*[place(c).alias(f"b{i}") for i, c in enumerate(columns)])
         cells = placed.groupBy(*placed.columns).agg(F.count(F.lit(1)).alias("n"))

@@ -69,3 +69,8 @@ def test_boxes_and_shares_of_groupings(spark):
     sums = shares.groupBy("grouping", "level", "target").agg(F.sum("share").alias("s")).collect()
     assert len(sums) == 10 and all(abs(r.s - 1) < 1e-9 for r in sums)
     assert cube.boxes_by(counts.where("n < 0")).collect() == [] and cube.shares_by(counts.where("n < 0")).collect() == []
+
+
+def test_pair_bins_leave_nulls_out(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (3.0, 1.0)], "a double, b double")
+    assert _rows(bins.pair_bins(df, ["a", "b"], 2).where("x_col = 'a' AND y_col = 'b'"), "bx", "by", "count") == [(0, 1, 1), (1, 0, 1)]
