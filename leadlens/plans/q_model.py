@@ -9,9 +9,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators import clean, encode, evaluate, leaps, linear, modeling_data, score, select, split, stattests, trees
+from ..operators import clean, cube, encode, evaluate, leaps, linear, modeling_data, profile, score, select, split, stattests, trees
 from ..operators import moments as M
-from ..session import cleanup_at_exit, scratch_path
+from ..operators.ordering import row_numbers
+from ..session import cleanup_at_exit, scratch_path, write_and_read
 from ..sources import files, jsonops
 from ..sources.issues import issues
 from ..sources.tables import table
@@ -314,7 +315,7 @@ def _ols_full(spark, data_dir):
 @register("ols_coefficients")
 def ols_coefficients(spark, data_dir):
     """Coefficient table of the full model: coef, se, t, p, 95 % CI, significance."""
-    return rounded(_ols_full(spark, data_dir)[1])
+    return rounded(_ols_full(spark, data_dir)[1], significant=["p_value"])
 
 
 @register("ols_statistics")
@@ -327,7 +328,7 @@ def ols_statistics(spark, data_dir):
                        F.concat(F.lit("Adj. R-squared: "), S.fmt("adj_r2", 3)),
                        F.concat(F.lit("F-statistic: "), S.fmt("f_stat", 2)),
                        F.concat(F.lit("No. Observations: "), F.col("n").cast("string")))
-    return rounded(st.withColumn("summary", line))
+    return rounded(st.withColumn("summary", line), significant=[c for c in st.columns if c.endswith("p_value")])
 
 
 @register("ols_formula_fit")
@@ -566,7 +567,7 @@ def tuned_forest_improvement(spark, data_dir):
     _, test = train_test(spark, data_dir)
     _, _, feats = design(spark, data_dir)
     models = {"forest": _models(spark, data_dir)["forest"], "tuned": _search_forest(spark, data_dir)[0].bestModel}
-    pr = score.score_side_by_side(test, feats, models).join(test.select("key", "log_duration"), "key")
+    pr = score.score_side_by_side(test, feats, models, keep=["log_duration"])
     rows = evaluate.accuracy_by_model(pr, {(m, "log"): (F.col("log_duration"), F.col(f"pred_{m}")) for m in models})
     base = F.max(F.when(F.col("model") == "forest", F.col("accuracy"))).over(Window.partitionBy("scale"))
     return rounded(rows.withColumn("improvement_vs_base", evaluate.improvement(F.col("accuracy"), base)))
@@ -577,7 +578,7 @@ def model_train_metrics(spark, data_dir):
     """MAE, MSE, RMSE and R^2 of the three models on the training split."""
     train, _ = train_test(spark, data_dir)
     _, _, feats = design(spark, data_dir)
-    pr = score.score_side_by_side(train, feats, _models(spark, data_dir)).join(train.select("key", "log_duration"), "key")
+    pr = score.score_side_by_side(train, feats, _models(spark, data_dir), keep=["log_duration"])
     return rounded(evaluate.regression_metrics_by_model(
         pr, "log_duration", {m: f"pred_{m}" for m in ("linear", "tree", "forest")}))
 
@@ -612,7 +613,7 @@ def importance_vs_t(spark, data_dir):
 def _test_predictions(spark, data_dir):
     _, test = train_test(spark, data_dir)
     _, _, feats = design(spark, data_dir)
-    return score.score_side_by_side(test, feats, _models(spark, data_dir)).join(test.select("key", "log_duration"), "key")
+    return score.score_side_by_side(test, feats, _models(spark, data_dir), keep=["log_duration"])
 
 
 @register("model_test_metrics")
@@ -639,6 +640,96 @@ def model_accuracy(spark, data_dir):
     return rounded(rows.withColumn("improvement_vs_tree", evaluate.improvement(F.col("accuracy"), base)))
 
 
+_TREES = ("tree", "forest")
+
+
+def _trees(spark, data_dir):
+    return {m: _models(spark, data_dir)[m] for m in _TREES}
+
+
+@register("tree_actual_predicted")
+def tree_actual_predicted(spark, data_dir):
+    """Actual and predicted values of tree and forest on the test split, on the log scale and as
+    minutes: (model, key, actual, predicted, actual_exp, predicted_exp)."""
+    pr = _test_predictions(spark, data_dir)
+    rows = pr.select(F.inline(F.array(*[F.struct(F.lit(m).alias("model"), "key", F.col("log_duration").alias("actual"),
+                                                 F.col(f"pred_{m}").alias("predicted")) for m in _TREES])))
+    return rounded(rows.withColumns({"actual_exp": F.exp("actual"), "predicted_exp": F.exp("predicted")}))
+
+
+def _fitted(spark, data_dir):
+    """(key, log_duration, pred_tree, pred_forest) of the training split, written once."""
+
+    def build():
+        train, _ = train_test(spark, data_dir)
+        _, _, feats = design(spark, data_dir)
+        scores = score.score_side_by_side(train, feats, _trees(spark, data_dir), keep=["log_duration"])
+        return write_and_read(scores.select("key", "log_duration", *[f"pred_{m}" for m in _TREES]), "fitted")
+
+    return memo(spark, data_dir, "fitted", build)
+
+
+@register("tree_fitted_by_position")
+def tree_fitted_by_position(spark, data_dir):
+    """Actual values of the training rows in key order with those fitted by tree and forest."""
+    t = row_numbers(_fitted(spark, data_dir), ["key"], col="position")
+    return rounded(t.select(F.col("position").cast("bigint"), "key", F.col("log_duration").alias("actual"),
+                            *[F.col(f"pred_{m}").alias(f"fitted_{m}") for m in _TREES]))
+
+
+@register("tree_residual_tables")
+def tree_residual_tables(spark, data_dir):
+    """Fitted values against residuals of tree and forest on the training split: 20 x 20 cells."""
+    t = _fitted(spark, data_dir)
+    df = t.select(*[F.col(f"pred_{m}").alias(f"fitted_{m}") for m in _TREES], *[(F.col("log_duration") - F.col(f"pred_{m}")).alias(f"resid_{m}") for m in _TREES])
+    k = cube.BinCube.fit(df, df.columns, 20)
+    return k.scatter([(f"fitted_{m}", f"resid_{m}") for m in _TREES])
+
+
+# ---------------------------------------------------------------- the model on selected features
+def _selected(spark, data_dir):
+    """(features of the floating forward search's best size, least squares on them)."""
+
+    def build():
+        table = _search(spark, data_dir)
+        feats = table.where("is_best AND method = 'SFFS'").first()["features"]
+        train, _ = train_test(spark, data_dir)
+        return list(feats), linear.ols_summary(train, list(feats), "log_duration", order=["key"])
+
+    return memo(spark, data_dir, "selected", build)
+
+
+@register("selected_ols_coefficients")
+def selected_ols_coefficients(spark, data_dir):
+    """Coefficient table of least squares on the features that the floating forward search keeps."""
+    return rounded(_selected(spark, data_dir)[1][1], significant=["p_value"])
+
+
+@register("selected_ols_statistics")
+def selected_ols_statistics(spark, data_dir):
+    """Fit statistics of that model."""
+    st = _selected(spark, data_dir)[1][2]
+    return rounded(st, significant=[c for c in st.columns if c.endswith("p_value")])
+
+
+@register("selected_ols_test_metrics")
+def selected_ols_test_metrics(spark, data_dir):
+    """MAE, MSE, RMSE and R^2 on the test split of the model on selected features and on all."""
+    feats, (fit, _, _) = _selected(spark, data_dir)
+    _, test = train_test(spark, data_dir)
+    full = _ols_full(spark, data_dir)[0]
+    pr = test.select("log_duration", fit.prediction().alias("pred_selected"), full.prediction().alias("pred_all"))
+    return rounded(evaluate.regression_metrics_by_model(pr, "log_duration", {m: f"pred_{m}" for m in ("selected", "all")}))
+
+
+@register("selected_describe")
+def selected_describe(spark, data_dir):
+    """Count, mean, deviation, quartiles and extremes of the selected predictors."""
+    feats, _ = _selected(spark, data_dir)
+    _, enc, _ = design(spark, data_dir)
+    return rounded(profile.describe(enc, feats))
+
+
 def _open_scores(spark, data_dir):
     model, _, feats = design(spark, data_dir)
     _, op = clean.split_labelled(issues(spark, data_dir))
@@ -664,6 +755,20 @@ def open_issue_case_report(spark, data_dir):
     return rounded(rep.select(*[F.col(c).cast("string").alias(c) if c.startswith("duration_") else F.col(c) for c in rep.columns]))
 
 
+@register("open_issue_chosen_cases")
+def open_issue_chosen_cases(spark, data_dir):
+    """The open issues at the case study's positions, in (created, key) order, with their raw fields
+    and each model's prediction."""
+    from .q_more import CASE_POSITIONS
+
+    _, op = clean.split_labelled(issues(spark, data_dir))
+    raw = row_numbers(op, ["created", "key"], col="_n").withColumn("position", (F.col("_n") - 1).cast("bigint")).where(
+        F.col("position").isin(*CASE_POSITIONS))
+    raw = raw.select("position", "key", "status", "priority", "issue_type", "reporter", "assignee", "vote_count", "comment_count", "watch_count")
+    rep = score.case_report(_open_scores(spark, data_dir), raw, models=["linear", "tree", "forest"])
+    return rounded(rep.select(*[F.col(c).cast("string").alias(c) if c.startswith("duration_") else F.col(c) for c in rep.columns]))
+
+
 # ---------------------------------------------------------------- JSON and CSV sources
 def _json_lines_path(spark, data_dir):
     """The events' JSON payloads written once as a JSON-lines folder (one object per
@@ -739,7 +844,17 @@ def json_top_keys(spark, data_dir):
     return ev.select("event_id", F.explode(jsonops.top_level_keys("props")).alias("json_key"))
 
 
-@register("json_canonical")
+def _json_sql() -> str:
+    nl, pad = "chr(10)", lambda k: " " * k
+    item = (f"""'{pad(8)}{{' || {nl} || '{pad(12)}"step": ' || i || ',' || {nl} || '{pad(12)}"to": "' || event_type || '"' || {nl} || '{pad(8)}}}'""")
+    return f"""SELECT event_id, '{{' || {nl} || '{pad(4)}"event_id": ' || event_id || ',' || {nl} || '{pad(4)}"props": {{' || {nl} || '{pad(8)}"k": ' || k || {nl}
+       || '{pad(4)}}},' || {nl} || '{pad(4)}"transitions": ' || CASE WHEN k % 3 = 0 THEN '[]' ELSE '[' || {nl}
+       || array_to_string(list_transform(range(1, k % 3 + 1), lambda i: {item}), ',' || {nl}) || {nl} || '{pad(4)}]' END || ',' || {nl}
+       || '{pad(4)}"user_id": ' || user_id || {nl} || '}}' AS pretty
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
+
+
+@register("json_canonical", _json_sql())
 def json_canonical(spark, data_dir):
     """Sorted-key, indented text of each JSON-lines record."""
     raw = spark.read.text(_json_lines_path(spark, data_dir))

@@ -3,7 +3,7 @@ when the result is expressible in SQL, the equivalent DuckDB query over the raw
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,15 +41,18 @@ def with_issues(body: str, extra_ctes: str = "") -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column so engine-level float noise does not change results."""
-    return df.select(
-        *[
-            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def rounded(df: DataFrame, digits: int = DIGITS, significant: Sequence[str] = ()) -> DataFrame:
+    """Round every double column so engine-level float noise does not change results: to ``digits``
+    places, columns in ``significant`` (p-values, which may be tiny) to as many significant digits."""
+
+    def one(f):
+        if not isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return F.col(f.name)
+        if f.name in significant:
+            return F.format_string(f"%.{digits - 1}e", F.col(f.name)).try_cast("double").alias(f.name)
+        return F.round(F.col(f.name), digits).alias(f.name)
+
+    return df.select(*[one(f) for f in df.schema.fields])
 
 
 def queries() -> dict[str, QueryFn]:

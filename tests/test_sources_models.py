@@ -87,3 +87,19 @@ def test_trees_random_search_and_scores(spark):
     assert {"pred_tree", "minutes_tree", "duration_tree"} <= set(s.columns)
     rep = score.case_report(s, df.select("key", "a"), keys=[1, 2])
     assert rep.count() == 2
+
+
+def test_native_canonical_json_equals_the_json_module(spark):
+    import json
+
+    values = [{}, [], {"a": [], "b": {}}, [[[[1]]]], {"q": 'a"b\\', "r": "\\\\\"{[,:]}", "s": "\n\té 😀", "t": ""}, "x", 7, None, True, [None, False, -2.5],
+              {str(i): {"n": i, "l": list(range(i % 5))} for i in range(300)}, ["\\\"" * 20_000, {"deep": [{"er": "\\"}]}]]
+    for _ in range(40):
+        values[3] = [values[3], {"k": 1}]
+    df = spark.createDataFrame([(i, json.dumps(v, ensure_ascii=i % 2 == 0)) for i, v in enumerate(values)], "i int, t string")
+    got = df.select("i", jsonops.canonical_json("t").alias("p"), jsonops.canonical_json("t", indents=1).alias("one")).orderBy("i").collect()
+    for r, v in zip(got, values):
+        assert r.p == json.dumps(v, indent=4, sort_keys=True, ensure_ascii=False)
+        assert r.one == json.dumps(v, indent=1, sort_keys=True, ensure_ascii=False)
+    plan = df.select(jsonops.canonical_json("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
