@@ -93,3 +93,11 @@ def private_names(df: DataFrame, *names: str) -> tuple[str, ...]:
         taken.add(n.lower())
         out.append(n)
     return tuple(out)
+
+
+def by_position(docs: DataFrame, *kept: str):
+    """``docs`` with all columns but ``kept`` renamed by their place, and a function that gives a
+    frame of the same columns their names back: for operators that pass columns through, whatever
+    dots or clashing names they have."""
+    names = docs.columns
+    return docs.toDF(*(c if c in kept else f"_c{i}" for i, c in enumerate(names))), lambda out: out.toDF(*names)

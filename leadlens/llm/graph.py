@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..session import write_and_read
 
 
-def small(df: DataFrame, most_rows: int) -> DataFrame:
+def small(df: DataFrame, most_rows: int, most_bytes: int = 64 << 20) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most_rows`` rows (counted, so ``df`` should
-    be a written table); beyond that Spark joins it by a shuffle."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    be a written table) in files of at most ``most_bytes``; beyond that Spark joins it by a shuffle."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most_bytes and df.limit(most_rows + 1).count() <= most_rows else df
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

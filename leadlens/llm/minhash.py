@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import write_and_read
-from .common import lower_words, small_batches, tidy
+from .common import by_position, lower_words, small_batches, tidy
 from .graph import components, small
 
 WORDS, BANDS, ROWS = 5, 40, 4
@@ -175,7 +175,7 @@ def _agreeing(rows: list[dict], least: int, size_ratio: float) -> Iterator[tuple
             yield x, y + x + 1, agree[y]
 
 
-def link(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block: int = 1024,
+def link(docs: DataFrame, percent: int = 75, least_agreement: float = 0.5, block: int = 1024,
          broadcast_rows: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -187,7 +187,7 @@ def link(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block
     return _linked(docs, percent, least_agreement, block, broadcast_rows).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def _linked(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, block: int = 1024, broadcast_rows: int = 2_000_000) -> DataFrame:
+def _linked(docs: DataFrame, percent: int = 75, least_agreement: float = 0.5, block: int = 1024, broadcast_rows: int = 2_000_000) -> DataFrame:
     """The columns of :func:`link`, and each row's text_hash and component (of its class; null
     without words)."""
     docs = docs.select("doc_id", "text")
@@ -195,14 +195,14 @@ def _linked(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, bl
     rows = write_and_read(sketch(docs), "sketch")
     classes = write_and_read(
         rows.where("class IS NOT NULL").groupBy("class")
-        .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("low").alias("low")),
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("low").alias("low")),
         "classes")
     least = int(least_agreement * K)
     ratio = percent / 100
 
     def alike(unit: list[dict]) -> list[tuple]:
         forest, out = _Forest(len(unit)), []
-        for x, ys, _ in _agreeing(unit, least, ratio) if len(unit) > 1 else ():
+        for x, ys, _ in _agreeing(unit, least, ratio) if len(unit) > 1 else ():  # candidates, by their sketches
             out += [(unit[x]["class"], unit[y]["class"]) for y in ys.tolist() if forest.join(x, y)]
         return out
 
@@ -217,7 +217,7 @@ def _linked(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, bl
         if len(unit) < 2:
             return []
         sets = [np.frombuffer(r["shingles"], np.uint64) for r in unit]
-        pairs = [(x, ys, agree) for x, ys, agree in _agreeing(unit, least, ratio)]
+        pairs = [(x, ys, agree) for x, ys, agree in _agreeing(unit, 0, ratio)]  # the sketches only give the order
         if not pairs:
             return []
         xs = np.repeat([p[0] for p in pairs], [len(p[1]) for p in pairs])
@@ -242,11 +242,13 @@ def _linked(docs: DataFrame, percent: int = 75, least_agreement: float = 0.6, bl
 
     least_id = comp.join(classes.select("class", "first_id"), comp.node == classes["class"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = comp.join(least_id, "root").select(F.col("node").alias("class"), "root", "component_id")
-    of_class = classes.select("class", "first_id").join(named, "class", "left").select(
+    of_class = classes.select("class", "first_id", "copies").join(named, "class", "left").where("copies > 1 OR root IS NOT NULL").select(
         "class", F.coalesce("root", "class").alias("component"),
-        F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
-    out = rows.select("doc_id", "text_hash", "n_shingles", "class").join(of_class, "class", "left")
-    found = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"), F.lit(True).alias("met"))
+    # the only text of its set, linked with none, is a component of its own: no row of it is joined
+    of_class = small(write_and_read(of_class, "linked-classes"), broadcast_rows)
+    out = rows.select("doc_id", "text_hash", "n_shingles", "class").join(of_class, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    found = F.when(F.col("met").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept"), "text_hash", "component")
 
 
@@ -265,7 +267,8 @@ def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000, **options) ->
     """The rows of ``docs`` that stay: one row of each component, with all its columns, and of the
     texts without words one row of each doc_id and text. Of a component, the row of the smallest
     doc_id stays (a null one is the largest), of its texts the one of the least hash, of its rows
-    with that text the one whose columns have the least hash."""
+    with that text the one whose columns have the least hash. Columns may have any names."""
+    docs, named_back = by_position(docs, "doc_id", "text")
     rows = write_and_read(_linked(docs, broadcast_rows=broadcast_rows, **options).select("doc_id", "text_hash", "component"), "linked")
     met = rows.where("component IS NOT NULL")
     first = met.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("first"))
@@ -280,11 +283,11 @@ def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000, **options) ->
 
     gone = small(gone, broadcast_rows)
     if not twice.limit(1).count():
-        return docs.join(gone, same(gone), "left_anti")
+        return named_back(docs.join(gone, same(gone), "left_anti"))
     several = small(twice, broadcast_rows)
     single = docs.join(gone, same(gone), "left_anti").join(several, same(several), "left_anti")
     row = F.struct(*(docs[c] for c in docs.columns))
     least = F.min_by(row, F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)).alias("row")
     of_several = docs.join(gone, same(gone), "left_anti").join(several, same(several), "left_semi").groupBy(
         docs["doc_id"].cast("long").alias("_id"), F.xxhash64(docs["text"]).alias("_hash")).agg(least)
-    return single.unionByName(of_several.select("row.*"))
+    return named_back(single.unionByName(of_several.select("row.*")))

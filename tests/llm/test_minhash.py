@@ -118,3 +118,11 @@ def test_deduplicate_keeps_one_of_repeated_rows_and_of_null_ids(spark):
         assert [x for x in texts if not str(x[1]).startswith("d")] == want
         assert [x in ((None, long[3]), (None, near)) for x in texts if str(x[1]).startswith("d")] == [True]
         assert sorted(got, key=repr) == sorted(out[0], key=repr)  # the same rows from any partitioning
+
+
+def test_deduplicate_takes_any_column_names(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, 1, 2, "x"), (2, text + " more", 3, 4, "y"), (3, "other words stand in here", 5, 6, "z"), (3, "other words stand in here", 5, 6, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id int, `a.b` int, TEXT string")
+    out = minhash.deduplicate(df)
+    assert out.columns == df.columns and sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2]]
