@@ -18,10 +18,11 @@ import bisect
 import gzip
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
+from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +55,20 @@ def url_key(url: str | None) -> str:
     return f"{','.join(reversed(host.split('.')))}{port}){u.path or '/'}{'?' + u.query if u.query else ''}"
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def _record_id(page_id: int | None, digest: str) -> str:
+    """Of a page and its payload: rows of one page_id with different payloads are told apart."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
-def _clean(url: str | None) -> str:
-    return json.dumps(url)  # any string in one header line, null apart from ""
+def _target(url: str | None) -> list[str]:
+    """Header lines for a URL: the bare URI; where it can't stand in a header as it is, its
+    percent-encoded form, and the URL itself as JSON in a line of our own. None for null."""
+    if url is None:
+        return []
+    if re.fullmatch("[!-~]+", url):
+        return [f"WARC-Target-URI: {url}"]
+    uri = quote(url.encode("utf-8", "surrogatepass"), safe="%/:=&?~#+!$,;'@()*[]")
+    return [*([f"WARC-Target-URI: {uri}"] if uri else []), f"X-Target-URI-JSON: {json.dumps(url)}"]
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -67,12 +76,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     kind = "response" if refers_to is None else "revisit"
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if refers_to is None else http
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {_DATE}",
-            f"WARC-Target-URI: {_clean(url)}", f"WARC-Payload-Digest: sha1:{digest}",
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(page_id, digest)}", f"WARC-Date: {_DATE}",
+            *_target(url), f"WARC-Payload-Digest: sha1:{digest}",
             f"X-Page-Id: {'' if page_id is None else page_id}"]
     if refers_to is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: {_record_id(refers_to)}", f"X-Refers-To-Page-Id: {refers_to}"]
+                 f"WARC-Refers-To: {_record_id(refers_to, digest)}", f"X-Refers-To-Page-Id: {refers_to}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
 
@@ -84,7 +93,7 @@ def parse(raw: bytes) -> dict:
     http, _, payload = rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")
     told = int(http.rpartition(b"Content-Length: ")[2])
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    out = {"page_id": int(fields["X-Page-Id"]) if fields["X-Page-Id"] else None, "url": json.loads(fields["WARC-Target-URI"]),
+    out = {"page_id": int(fields["X-Page-Id"]) if fields["X-Page-Id"] else None, "url": json.loads(fields["X-Target-URI-JSON"]) if "X-Target-URI-JSON" in fields else fields.get("WARC-Target-URI"),
            "record_type": fields["WARC-Type"], "payload_bytes": told, "payload_digest": digest, "refers_to": None, "payload": None}
     if out["record_type"] == "revisit":
         return out | {"refers_to": int(fields["X-Refers-To-Page-Id"])}
@@ -234,14 +243,21 @@ def lookup(urls: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
                         rows = []
             yield _batch(rows, CAPTURE)
 
-    key = F.udf(url_key, T.StringType())
-    wanted = urls.select("url").distinct().withColumn("key", key("url"))
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _batch([(u, url_key(u)) for u in b.column(0).to_pylist()], "url string, key string")
+
+    wanted = urls.select("url").distinct().mapInArrow(keyed, "url string, key string")
     return wanted.repartitionByRange("key", "url").sortWithinPartitions("key", "url").mapInArrow(run, CAPTURE)
 
 
-def read_records(captures: DataFrame, folder: str, gap: int = 0, span: int = 8_000_000) -> DataFrame:
+def read_records(captures: DataFrame, folder: str, gap: int = 0, span: int = 8_000_000, task_bytes: int = 16_000_000) -> DataFrame:
     """The records of captures (RECORD), by range reads; neighbours in an archive at most
-    ``gap`` bytes apart share one read of at most ``span`` bytes."""
+    ``gap`` bytes apart share one read of at most ``span`` bytes. The captures are written to the
+    shared folder and dealt out to a task for about every ``task_bytes`` of records, not of pointers."""
+    captures = write_and_read(captures.select("archive", "offset", "length"), "wanted-captures")
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = min(100_000, int(total // task_bytes) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
@@ -265,7 +281,7 @@ def read_records(captures: DataFrame, folder: str, gap: int = 0, span: int = 8_0
                 i = j
 
     order = ["archive", "offset"]
-    return captures.select(*order, "length").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, RECORD)
+    return captures.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(run, RECORD)
 
 
 def round_trip(pages: DataFrame, block_lines: int = 3000, min_revisit_bytes: int = 1000) -> DataFrame:

@@ -64,3 +64,12 @@ def test_query_matches_sql(spark):
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_SMALL}/pages.parquet'")
     want = con.execute(Q.oracle_sql()["op1_warc_index"]).fetchall()
     assert sorted(tuple(r) for r in Q.op1_warc_index(spark, SF_SMALL).collect()) == sorted(want)
+
+
+def test_target_uri_stands_bare_and_any_url_comes_back():
+    for url in (None, "", "http://a.b/c?d=e: f", "http://a.b/é\n", "http://a.b/c?d=%20#x", "no url"):
+        raw = warc.record(1, url, b"<p>", hashlib.sha1(b"<p>").hexdigest(), None)
+        assert warc.parse(raw)["url"] == url
+        assert url is None or " " in url or "\n" in url or not url or f"\r\nWARC-Target-URI: {url}\r\n".encode() in raw
+    ids = {warc.record(1, "u", p, hashlib.sha1(p).hexdigest(), None).split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0] for p in (b"a", b"b")}
+    assert len(ids) == 2
