@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import write_and_read
-from .common import private_names, tidy
+from .common import by_position, private_names, tidy
 
 #: A-Z fall to a-z; bytes 0x30-0x39, 0x61-0x7A and 0x80-0xFF belong to words, the rest parts them.
 _WORDS = bytes(
@@ -255,14 +255,22 @@ def _one_pass(docs: DataFrame, shared, text: str, n_words: str, spans: str, item
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 10,
                   max_coverage: float = 0.8, **options) -> DataFrame:
     """``docs`` with benchmark spans cut out of ``text``; a document of whose words at least
-    ``max_coverage`` are hit goes whole. Other columns stay as they are."""
-    n_words, spans, items = added_names(docs)
-    found = match(docs, benchmark, text=text, n=n, **options)
+    ``max_coverage`` are hit goes whole. Other columns, whatever their names, stay as they are."""
+    inner, named_back = by_position(docs, text)
+    n_words, spans, items = added_names(inner)
+    found = match(inner, benchmark, text=text, n=n, **options)
     covered = F.expr(f"aggregate(`{spans}`, 0L, (a, s) -> a + s[1] - s[0])")
-    cut = F.udf(lambda t, s: _cut(t, s) if s else t, T.StringType())
-    kept = found.where((F.col(n_words) == 0) | (covered < max_coverage * F.col(n_words)))
-    return kept.withColumn(text, F.when(F.size(spans) > 0, cut(F.col(f"`{text}`"), F.col(spans)))
-                           .otherwise(F.col(f"`{text}`"))).drop(n_words, spans, items)
+    kept = found.where((F.col(n_words) == 0) | (covered < max_coverage * F.col(n_words))).drop(n_words, items)
+    names, at = inner.columns, inner.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns, hits = list(b.columns[:-1]), b.column(b.num_columns - 1).to_pylist()
+            if any(hits):
+                columns[at] = pa.array([_cut(t, s) if s else t for t, s in zip(columns[at].to_pylist(), hits, strict=True)], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return named_back(kept.mapInArrow(tidy(run), inner.schema))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, private_names, small_batches, tidy
+from .common import by_position, give_back, private_names, small_batches, tidy
 
 _CORE = re.compile(r"[^\W\d_]+")
 _SLOTS = 1 << 20
@@ -312,9 +312,11 @@ def added_names(docs: DataFrame) -> tuple[str, ...]:
 
 
 def keep(docs: DataFrame, labels: DataFrame, least_quality: float = 0.5, most_toxic: float = 0.5, **options) -> DataFrame:
-    """The rows of ``docs`` of quality at least ``least_quality`` and toxic below ``most_toxic``."""
-    new = added_names(docs)
-    return score(docs, fit(docs, labels, **options)).where((F.col(new[0]) >= least_quality) & (F.col(new[3]) < most_toxic)).drop(*new)
+    """The rows of ``docs`` of quality at least ``least_quality`` and toxic below ``most_toxic``, with
+    all their columns, whatever their names."""
+    inner, named_back = by_position(docs, "doc_id", "text", "lang", "source")
+    new = added_names(inner)
+    return named_back(score(inner, fit(inner, labels, **options)).where((F.col(new[0]) >= least_quality) & (F.col(new[3]) < most_toxic)).drop(*new))
 
 
 def digest(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_and_read
-from .common import filesystem, give_back, private_names, shared_folder, small_batches, tidy
+from .common import by_position, filesystem, give_back, private_names, shared_folder, small_batches, tidy
 
 SPACE = " "
 _MODEL_SPACE = "▁"
@@ -470,8 +470,11 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text")
 
 def with_check(docs: DataFrame, model_file: str, text: str = "text", **options) -> DataFrame:
     """``docs`` with ``ids`` in place of ``text``, n_pieces, and same: whether the ids decode to the
-    text (a null text, to the empty one)."""
-    kept = [f for f in docs.drop("ids").schema.fields if f.name not in (text, "n_pieces", "same")]
+    text (a null text, to the empty one). Other columns, whatever their names, stay."""
+    names = [c for c in docs.columns if c not in (text, "ids", "n_pieces", "same")]
+    places = [i for i, c in enumerate(docs.columns) if c in names]
+    docs, _ = by_position(docs, text)
+    kept = [docs.schema.fields[i] for i in places]
 
     def finish(b: pa.RecordBatch, pieces: Pieces) -> pa.RecordBatch:
         lists = b.column("ids")
@@ -482,7 +485,7 @@ def with_check(docs: DataFrame, model_file: str, text: str = "text", **options)
 
     docs = docs.select(*(f"`{f.name}`" for f in kept), f"`{text}`")
     columns = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "ids array<int>", "n_pieces bigint", "same boolean"])
-    return encode(docs, model_file, text, finish=finish, schema=columns, **options)
+    return encode(docs, model_file, text, finish=finish, schema=columns, **options).toDF(*names, "ids", "n_pieces", "same")
 
 
 def digest(docs: DataFrame, model_file: str, **options) -> DataFrame:

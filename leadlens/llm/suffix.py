@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import write_and_read
-from .common import small_batches, tidy
+from .common import by_position, small_batches, tidy
 from .graph import small
 
 GRAM = 32
@@ -316,7 +316,7 @@ def repeats(docs: DataFrame, length: int = 400, shard_contexts: int = 1000, broa
     both = kinds.join(of_kind, ["anchor", "ctx"], "left").select("anchor", "ctx", F.when(
         F.col("times") > 1, F.array(F.struct(F.lit(0).cast("long").alias("firsts"), (F.col("n") - 1).alias("lasts")))).otherwise(F.col("hits")).alias("hits"))
     both = write_and_read(both.where("hits IS NOT NULL"), "repeated-contexts")
-    hits = met.join(both, ["anchor", "ctx"]).select("class", "lo", F.explode("hits").alias("h")).select(
+    hits = met.join(small(both, broadcast_rows), ["anchor", "ctx"]).select("class", "lo", F.explode("hits").alias("h")).select(
         "class", (F.col("lo") + F.col("h.firsts")).alias("a"), (F.col("lo") + F.col("h.lasts") + length).alias("b"))
     # in order of their starts, an interval beyond all earlier ends opens a new removed run
     order = Window.partitionBy("class").orderBy("a", "b")
@@ -340,30 +340,41 @@ def _cut(raw: bytes, spans: list[dict]) -> bytes:
     return b"".join([*out, raw[end:]])
 
 
-def _with_spans(docs: DataFrame, listed: DataFrame, broadcast_rows: int) -> DataFrame:
-    """``docs`` with ``_cuts``: the (class, spans) known for their doc_id, or null."""
+def remove(docs: DataFrame, length: int = 250, broadcast_rows: int = 500_000, **options) -> DataFrame:
+    """``docs`` with the covered bytes cut out of ``text``; of characters cut in part, the rest
+    goes too. Other columns, whatever their names, and all rows stay as they are: null and short
+    texts too, and repeated rows are cut alike. An empty table gives an empty one."""
+    inner, named_back = by_position(docs, "doc_id", "text")
+    rows, spans = repeats(inner.select("doc_id", "text"), length, broadcast_rows=broadcast_rows, **options)
+    listed = rows.select(F.col("doc_id").alias("_id"), "class").distinct().join(small(spans.drop("first_id"), broadcast_rows), "class")
     cuts = listed.groupBy("_id").agg(F.collect_list(F.struct("class", "spans")).alias("_cuts"))
     cuts = small(write_and_read(cuts, "cuts"), broadcast_rows)
-    return docs.join(cuts, docs["doc_id"].eqNullSafe(cuts["_id"]), "left").drop("_id")
+    met = inner.join(cuts, inner["doc_id"].eqNullSafe(cuts["_id"]), "left").select(*inner.columns, "_cuts")
+    names, at = inner.columns, inner.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns, held = list(b.columns[:-1]), b.column(b.num_columns - 1)
+            there = np.flatnonzero(held.is_valid().to_numpy(zero_copy_only=False))
+            if len(there):
+                texts = columns[at].to_pylist()
+                for i, cut in zip(there.tolist(), held.take(pa.array(there)).to_pylist(), strict=True):
+                    left = _kept(texts[i], cut)
+                    texts[i] = texts[i] if left is None else left.decode("utf-8", "ignore")
+                columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    return named_back(met.mapInArrow(tidy(run), inner.schema))
 
-def _kept(text: str | None, cuts: list | None) -> bytes | None:
+
+def _kept(text: str | None, cuts: list) -> bytes | None:
+    """What is left of a text, or None if none of ``cuts`` is of this text."""
     raw = _raw(text)
     cls = hashlib.sha256(raw).digest()
-    spans = next((c["spans"] for c in cuts or () if bytes(c["class"]) == cls), None)
+    spans = next((c["spans"] for c in cuts if bytes(c["class"]) == cls), None)
     return None if spans is None else _cut(raw, spans)
 
 
-def remove(docs: DataFrame, length: int = 250, broadcast_rows: int = 500_000, **options) -> DataFrame:
-    """``docs`` with the covered bytes cut out of ``text``; of characters cut in part, the rest
-    goes too. Other columns and rows stay as they are."""
-    rows, spans = repeats(docs.select("doc_id", "text"), length, broadcast_rows=broadcast_rows, **options)
-    listed = rows.select(F.col("doc_id").alias("_id"), "class").distinct().join(spans.drop("first_id"), "class")
-    cut = F.udf(lambda t, c: k.decode("utf-8", "ignore") if (k := _kept(t, c)) is not None else t, "string")
-    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(cut("text", "_cuts"))
-    return _with_spans(docs, listed, broadcast_rows).withColumn("text", text).select(docs.columns)
-
-
 def digest(docs: DataFrame, length: int = 400, broadcast_rows: int = 500_000, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs`` (doc_id, text);
     null texts are empty, texts shorter than ``length`` lose nothing, repeated rows repeat each
@@ -389,6 +400,7 @@ def digest(docs: DataFrame, length: int = 400, broadcast_rows: int = 500_000, **
 
     held = docs.join(part, docs.doc_id.eqNullSafe(part["_id"])).select("text", "_cuts")
     cut = held.mapInArrow(tidy(run), "class binary, n_removed bigint, n_spans bigint, kept_sha256 string").dropDuplicates(["class"])
+    cut = small(write_and_read(cut, "cut-classes"), broadcast_rows)  # copies of one text are many rows of a class
     return rows.join(cut, "class", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", F.lower(F.hex("class"))).alias("kept_sha256"))

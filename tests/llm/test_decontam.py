@@ -60,3 +60,13 @@ def test_decontaminate_cuts_spans_and_drops_covered_documents(spark):
     b = spark.createDataFrame([(1, item)], "item_id bigint, text string")
     got = {r.doc_id: (r.text, r["items"]) for r in decontam.decontaminate(d, b, max_coverage=0.9).collect()}
     assert got == {1: ("Keep this. ! And that.", 7), 3: ("clean", 9), 4: (None, 1), 5: ("", 2)}
+
+
+def test_decontaminate_takes_any_column_names(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(1, "before it " * 20 + item + " after", 1, 2, "x"), (2, "clean", 3, 4, "y"), (3, None, 5, 6, "z")],
+                               "doc_id long, text string, spans int, `a.b` int, TEXT string")
+    out = decontam.decontaminate(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert out.columns == df.columns
+    rows = sorted(tuple(r) for r in out.collect())
+    assert [r[2:] for r in rows] == [(1, 2, "x"), (3, 4, "y"), (5, 6, "z")] and "w5" not in rows[0][1] and rows[0][1].startswith("before it")

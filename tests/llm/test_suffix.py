@@ -102,3 +102,12 @@ def test_remove_keeps_rows_and_columns(spark):
 def test_query_matches_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()]
     assert sorted((tuple(r) for r in Q.op3_suffix_array_dedup(spark, SF_SMALL).collect()), key=repr) == brute_force(docs, 400)
+
+
+def test_remove_takes_any_column_names(spark):
+    a = "".join(f"{i:05d}" for i in range(100))
+    df = spark.createDataFrame([(1, "Start " + a, 1, 2, 3, "x"), (2, a + " end", 4, 5, 6, "y"), (None, None, 7, 8, 9, "z")],
+                               "doc_id long, text string, _cuts int, _id int, `a.b` int, TEXT string")
+    out = suffix.remove(df, 100)
+    assert out.columns == df.columns
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == [(1, "Start ", 1, 2, 3, "x"), (2, " end", 4, 5, 6, "y"), (None, None, 7, 8, 9, "z")]
