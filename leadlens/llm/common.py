@@ -39,7 +39,8 @@ def coded_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 def small_batches(spark: SparkSession, most: int = 1000) -> None:
     """Have Spark hand texts to Python at most ``most`` rows at a time: at the default of 10,000
-    long texts fill both the executor's off-heap buffers and the workers."""
+    long texts fill both the executor's off-heap buffers and the workers. Plans are read lazily, so
+    the setting stays for the rest of the session."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > most:

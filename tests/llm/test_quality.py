@@ -112,3 +112,13 @@ def test_calibration_reaches_the_minimum(seed):
     x = np.column_stack([np.clip(logits, -20, 20), np.ones(len(y))])
     assert np.abs(x.T @ (1 / (1 + np.exp(-x @ w)) - y) + w - [0.5, 0.5, 0]).max() < 1e-4
     assert ((x @ w > 0) == (y > 0)).mean() > 0.99
+
+
+def test_keep_takes_any_column_names(spark):
+    rows = [(i, " ".join(["fine", "clear", "words"] if i % 2 else ["junk", "spam", "noise"]) + f" {i}", "en", "web", i, i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `a.b` int, p_quality int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    out = quality.keep(docs, labels)
+    assert out.columns == docs.columns
+    kept = out.collect()
+    assert kept and all(tuple(r) == rows[r.doc_id] for r in kept)

@@ -108,3 +108,10 @@ def test_paths_are_the_cheapest_over_the_whole_text(spark, pieces):
 def test_no_piece_joins_two_units(pieces):
     assert all(len(pieces.cut(p)) == 1 for p in pieces.piece) and pieces.glue.pattern
     assert sp.segments(pa.array(["a  b c  ", None, "", "  ", "x"])) == (["a", " b", "c", " ", "  ", "x"], *(pytest.approx(x) for x in ([0, 1, 2, 3, 4, 5], [4, 4, 4, 5, 6])))
+
+
+def test_with_check_takes_any_column_names(spark):
+    df = spark.createDataFrame([(1, "two words", 3, 4, "x"), (2, None, 5, 6, "y")], "doc_id long, text string, `a.b` int, same int, TEXT string")
+    out = sp.with_check(df, PATH)
+    assert out.columns == ["doc_id", "a.b", "TEXT", "ids", "n_pieces", "same"]
+    assert sorted((r[0], r[1], r[2], r[5]) for r in out.collect()) == [(1, 3, "x", True), (2, 5, "y", True)]
