@@ -8,7 +8,9 @@
    anything else;
 5. SentencePiece encoding: the texts that are left, as piece ids, with the decoded text's check.
 
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``, extra ones of any names too. Null and
+empty texts pass as they are (the classifier judges them by their other columns), repeated rows come
+down to one where near copies go, null doc_ids are kept, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
