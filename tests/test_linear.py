@@ -158,3 +158,19 @@ def test_ols_drops_constant_and_duplicate_columns(spark, tiny):
     assert np.allclose(fit.coef, ref.coef, atol=1e-9)
     flags = {r["feature"]: r["significant"] for r in coefs.collect()}
     assert flags["const"] == "aliased" and flags["a_copy"] == "aliased"
+
+
+def test_lasso_of_nearly_collinear_columns(spark):
+    """Coordinate descent alone creeps along the valley of two near copies; the minimum is met by
+    its optimality conditions."""
+    rng = np.random.default_rng(3)
+    a, c = rng.normal(size=(2, 400))
+    pdf = pd.DataFrame({"a": a, "b": a + 3e-4 * rng.normal(size=400), "c": c})
+    pdf["y"] = 2 * pdf.a - 1.5 * pdf.b + 0.5 * pdf.c + 0.01 * rng.normal(size=400)
+    mom = M.moments(spark.createDataFrame(pdf), ["a", "b", "c"], "y")
+    for alpha in (1e-9, 1e-4, 0.05):
+        coef = linear.lasso(mom, alpha)
+        xx, xy, _, _, _, n = mom.centered()
+        slope = (xy - xx @ coef[1:]) / n
+        on = coef[1:] != 0
+        assert np.allclose(slope[on], alpha * np.sign(coef[1:][on]), atol=1e-9) and (np.abs(slope[~on]) <= alpha + 1e-9).all()
