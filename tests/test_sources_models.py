@@ -103,3 +103,14 @@ def test_native_canonical_json_equals_the_json_module(spark):
         assert r.one == json.dumps(v, indent=1, sort_keys=True, ensure_ascii=False)
     plan = df.select(jsonops.canonical_json("t"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_serving_columns_of_all_open_issues(spark):
+    """No level that any open issue has is missing from the serving side."""
+    from leadlens.operators import clean
+    from leadlens.plans import q_more
+    from leadlens.sources.issues import issues
+
+    _, op = clean.split_labelled(issues(spark, SF_SMALL))
+    missing = {r.feature for r in q_more.serving_missing_columns(spark, SF_SMALL).collect()}
+    assert not missing & {f"{c}_{r[0]}" for c in ("priority", "reporter") for r in op.select(c).distinct().collect()}
