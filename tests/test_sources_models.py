@@ -105,6 +105,19 @@ def test_native_canonical_json_equals_the_json_module(spark):
     assert "Python" not in plan
 
 
+def test_shuffles_grow_with_the_table(spark):
+    from leadlens.session import shuffles_for
+
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k, None) for k in keys]
+    with shuffles_for(spark, 100):
+        assert [spark.conf.get(k, None) for k in keys] == before
+    with pytest.raises(KeyError), shuffles_for(spark, 10**6, rows_per_task=1000):
+        assert [spark.conf.get(k) for k in keys] == ["1000", "16m"]
+        raise KeyError
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 def test_serving_columns_of_all_open_issues(spark):
     """No level that any open issue has is missing from the serving side."""
     from leadlens.operators import clean
