@@ -105,6 +105,24 @@ def test_native_canonical_json_equals_the_json_module(spark):
     assert "Python" not in plan
 
 
+def test_training_rows_are_dealt_out_evenly(spark):
+    df = spark.range(1000).selectExpr("double(id) a", "double(id % 7) b", "double(id % 3) y").coalesce(1)
+    out = trees.dealt(df, ["a", "b"], "y", rows_per_task=50)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == max(20, spark.sparkContext.defaultParallelism) and max(sizes) <= 2 * 1000 / len(sizes)
+    assert sorted((*map(float, r.features), r.y) for r in out.collect()) == sorted(map(tuple, df.collect()))
+    assert trees.dealt(df, ["a", "b"], "y").rdd.getNumPartitions() == 1
+
+
+def test_only_the_models_asked_for_are_fitted(spark, monkeypatch):
+    from leadlens.plans import q_model, shared
+
+    shared.forget()
+    monkeypatch.setattr(trees, "fit_forest", lambda *a, **k: pytest.fail("the forest is not asked for"))
+    assert q_model.tree_importances(spark, SF_SMALL).where("rank = 1").count() == 1
+    shared.forget()
+
+
 def test_shuffles_grow_with_the_table(spark):
     from leadlens.session import shuffles_for
 
