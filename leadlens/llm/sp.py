@@ -9,9 +9,9 @@ is told apart (it becomes its bytes). Each distinct unit is encoded once; those
 characters by :func:`cheapest`, which carries the paths along the unit, the others by the lattice:
 
 * its substrings up to the longest piece are exploded and equi-joined with the piece table;
-* the matches, as edges (end, start, cost, id), are grouped by unit. The units are hash-partitioned
-  before they are exploded, so no edge is shuffled;
-* a higher-order aggregate folds the edges in order of their ends to the cheapest path (Viterbi);
+* the matches, as edges (end, start, id), stand together by unit: the units are hash-partitioned and
+  sorted before they are exploded, so no edge is shuffled, sorted or held beyond its batch;
+* many units' edges at a time are folded in order of their ends to the cheapest paths (Viterbi);
   a character without a piece costs ``FALLBACK`` and becomes its bytes.
 
 A piece costs ln(H r), r being its rank in the model's order: its negative log probability under
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_and_read
-from .common import by_position, filesystem, give_back, private_names, shared_folder, small_batches, tidy
+from .common import by_position, filesystem, give_back, private_names, shared_folder, small_batches, tidy, values
 
 SPACE = " "
 _MODEL_SPACE = "▁"
@@ -111,7 +111,7 @@ def segments(texts: pa.Array, whole: bool = False) -> tuple[list[str], np.ndarra
     if whole:
         there = pc.greater(pc.binary_length(full), 0)
         coded = full.filter(there).dictionary_encode()
-        return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.cumsum(there.to_numpy(zero_copy_only=False))
+        return values(coded.dictionary), coded.indices.to_numpy().astype(np.int64), np.cumsum(there.to_numpy(zero_copy_only=False))
     split = pc.split_pattern(full, SPACE)
     cuts = split.offsets.to_numpy() - split.offsets[0].as_py()
     parts = split.flatten()
@@ -126,7 +126,7 @@ def segments(texts: pa.Array, whole: bool = False) -> tuple[list[str], np.ndarra
         spaces = pc.binary_repeat(pa.scalar(SPACE, pa.large_string()), pa.array(before))
         kept = pc.binary_join_element_wise(spaces, kept, pa.scalar("", pa.large_string()))
     coded = kept.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.searchsorted(at, cuts[1:])
+    return values(coded.dictionary), coded.indices.to_numpy().astype(np.int64), np.searchsorted(at, cuts[1:])
 
 
 def cheapest(unit: str, pieces: Pieces) -> list[int]:
@@ -163,7 +163,7 @@ def _count(docs: DataFrame, text: str, known) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: Counter = Counter()
-            for x, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for x, n in zip(values(b.column(0)), values(b.column(1)), strict=True):
                 for u in known.value.cut(SPACE + x):
                     seen[u] += n
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "times"])
@@ -177,23 +177,54 @@ def encode_units(counted: DataFrame, pieces: Pieces, known) -> DataFrame:
     """(unit, times, ids) from (uid, unit, times), uid unique; -1 in ids stands for a character
     without a piece.
 
-    An edge is one number, end * 2^48 + start * 2^32 + id + 1, so that edges are small to group and
-    their order is that of their ends, then starts; id + 1 is 0 for a character without a piece."""
-    costs = [FALLBACK, *(pieces.cost.get(i, FALLBACK) for i in range(len(pieces.raw)))]
+    An edge is one number, end * 2^48 + start * 2^32 + id + 1 (id + 1 is 0 for a character without a
+    piece). Units are dealt and sorted by uid before they are exploded; neither that nor the join
+    with the broadcast pieces moves rows, so a unit's edges stay together and need no other sort."""
+    costs = np.array([FALLBACK, *(pieces.cost.get(i, FALLBACK) for i in range(len(pieces.raw)))])
     table = counted.sparkSession.createDataFrame([(p, i + 1) for p, i in pieces.piece.items()], "piece string, id int")
-    dealt = counted.where(F.length("unit") <= MOST).repartition("uid")
-    tails = dealt.select("uid", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("s"), "unit").select(
-        "uid", "s", F.expr(f"substring(unit, s, {pieces.longest})").alias("tail"))
-    cuts = tails.select("uid", "s", "tail", F.explode(F.sequence(F.lit(1), F.length("tail"))).alias("l")).select(
-        "uid", "s", "l", F.expr("substring(tail, 1, l)").alias("piece"))
-    # a character that is no piece keeps an edge of its own, without an id
+    dealt = counted.where(F.length("unit") <= MOST).repartition("uid").sortWithinPartitions("uid")
+    tails = dealt.select("uid", "times", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("s"), "unit").select(
+        "uid", "s", F.expr(f"substring(unit, s, {pieces.longest})").alias("tail"), *(F.when(F.col("s") == 1, F.col(c)).alias(c) for c in ("unit", "times")))
+    cuts = tails.select("uid", "s", "tail", "unit", "times", F.explode(F.sequence(F.lit(1), F.length("tail"))).alias("l")).select(
+        "uid", "s", "l", F.expr("substring(tail, 1, l)").alias("piece"), *(F.when(F.col("l") == 1, F.col(c)).alias(c) for c in ("unit", "times")))
+    # a character that is no piece keeps an edge of its own, without an id; that of the first one brings the unit along
     edges = cuts.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR l = 1")
     edge = F.expr(f"(s + l - 1) * {1 << 48}L + (s - 1) * {1 << 32}L + coalesce(id, 0)")
-    lattice = edges.groupBy("uid").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    # state: the cheapest path (cost, ids) to each position met so far; position 0 is its first element
-    fold = F.aggregate("edges", F.array(F.struct(F.lit(0.0).alias("cost"), F.array().cast("array<int>").alias("ids"))), _relax(costs),
-                       lambda m: F.element_at(m, -1)["ids"])
-    folded = lattice.select("uid", fold.alias("ids")).join(counted, "uid").select("unit", "times", "ids")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows, last = 0, -1
+
+        def close() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            there = t.filter(pc.is_valid(t.column("unit")))
+            size, ids = cheapest_paths(t.column("uid").to_numpy(), t.column("edge").to_numpy(), costs)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(ids, pa.int32()))
+            return pa.RecordBatch.from_arrays([*(there.column(c).combine_chunks() for c in ("unit", "times")), lists], names=["unit", "times", "ids"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            uid = b.column(0).to_numpy()
+            if uid[0] < last or (np.diff(uid) < 0).any():
+                raise RuntimeError("the edges of a unit are not together")
+            last = uid[-1]
+            if rows < _EDGES:
+                held.append(b)
+                rows += b.num_rows
+                continue
+            # what goes before this batch's last unit, or before the batch if that unit has begun there, is whole
+            cut = int(np.searchsorted(uid, last))
+            if cut or held[-1].column(0)[-1].as_py() != last:
+                held.append(b.slice(0, cut))
+                yield close()
+                held, rows = [], 0
+            held.append(b.slice(cut))
+            rows += b.num_rows - cut
+        if held:
+            yield close()
+
+    folded = edges.select("uid", edge.alias("edge"), "unit", "times").mapInArrow(tidy(fold), "unit string, times bigint, ids array<int>")
 
     def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -204,18 +235,38 @@ def encode_units(counted: DataFrame, pieces: Pieces, known) -> DataFrame:
     return folded.unionByName(long.mapInArrow(tidy(carried), "unit string, times bigint, ids array<int>"))
 
 
-def _relax(costs: list[float]):
-    """A fold's step: take an edge if it ends at a new position or more cheaply than before."""
-    price = F.split(F.lit(",".join(map(repr, costs))), ",").cast("array<double>")  # one constant, not 32k columns
-
-    def step(m, e):
-        end, start, piece = F.shiftright(e, 48).cast("int"), F.shiftright(e, 32).bitwiseAND(65535).cast("int"), e.bitwiseAND((1 << 32) - 1).cast("int")
-        before = F.get(m, start)
-        cost = before["cost"] + F.get(price, piece)
-        new = F.array(F.struct(cost.alias("cost"), F.concat(before["ids"], F.array(piece - 1)).alias("ids")))
-        return F.when(F.size(m) == end, F.concat(m, new)).when(cost < F.get(m, end)["cost"], F.concat(F.slice(m, F.lit(1), end), new)).otherwise(m)
-
-    return step
+_EDGES = 100_000  # of lattices folded at a time
+
+
+def cheapest_paths(uid: np.ndarray, edge: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids, ids one unit after the other) of the cheapest path of each unit, whose edges stand
+    together: the edges that end at the first character of all units are folded, then those at the
+    second, and so on. Of equal costs the edge that starts first is taken."""
+    unit = np.cumsum(np.concatenate([[True], uid[1:] != uid[:-1]])) - 1
+    end, start, piece = edge >> 48, (edge >> 32) & 65535, edge & ((1 << 32) - 1)
+    size = np.zeros(unit[-1] + 1, np.int64)
+    np.maximum.at(size, unit, end)
+    base = np.cumsum(size + 1) - size - 1  # a unit's position 0
+    order = np.lexsort((start, unit, end))
+    node, before, price = (base[unit] + end)[order], (base[unit] + start)[order], costs[piece[order]]
+    cost, back, taken = np.zeros(int((size + 1).sum())), np.zeros(int((size + 1).sum()), np.int64), np.zeros(int((size + 1).sum()), np.int64)
+    piece = piece[order]
+    layers = np.searchsorted(end[order], np.arange(1, size.max() + 2))
+    for a, b in pairwise(layers.tolist()):
+        at, found = node[a:b], cost[before[a:b]] + price[a:b]
+        heads = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        least = np.minimum.reduceat(found, heads)
+        best = np.flatnonzero(found == np.repeat(least, np.diff(np.append(heads, len(at)))))
+        best = best[np.concatenate([[True], at[best][1:] != at[best][:-1]])]  # the first of equal ones
+        cost[at[heads]], back[at[heads]], taken[at[heads]] = least, before[a:b][best], piece[a:b][best]
+    which, now, steps = np.arange(len(size)), base + size, []
+    while len(which):
+        steps.append((which, taken[now] - 1))
+        now = back[now]
+        more = now > base[which]
+        which, now = which[more], now[more]
+    who, ids = (np.concatenate(x[::-1]) for x in zip(*steps, strict=True))
+    return np.bincount(who, minlength=len(size)), ids[np.argsort(who, kind="stable")].astype(np.int32)
 
 
 _PARTS = 16
@@ -230,7 +281,7 @@ def _write_index(table: DataFrame, known) -> tuple[str, list[str]]:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(0).to_pylist()
+            texts = values(b.column(0))
             size, flat = spelled(texts, b.column(1), known.value)
             h = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(flat, pa.int32()))
@@ -384,12 +435,12 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids
         pieces = known.value
         shared = Shared.of(*index)
         for whole in batches:
-            for a in range(0, whole.num_rows, 500):
-                b = whole.slice(a, 500)
+            for a in range(0, whole.num_rows, 1000):
+                b = whole.slice(a, 1000)
                 words, codes, ends = segments(b.column(at), pieces.whole)
                 cut = [pieces.cut(SPACE + w) for w in words]
                 coded = pa.array([u for c in cut for u in c], pa.string()).dictionary_encode()
-                found = coded.dictionary.to_pylist()
+                found = values(coded.dictionary)
                 flat, start, size = shared.find(found)
                 missing = np.flatnonzero(size < 0)
                 if len(missing):  # in the join's lists

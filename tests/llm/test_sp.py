@@ -115,3 +115,31 @@ def test_with_check_takes_any_column_names(spark):
     out = sp.with_check(df, PATH)
     assert out.columns == ["doc_id", "a.b", "TEXT", "ids", "n_pieces", "same"]
     assert sorted((r[0], r[1], r[2], r[5]) for r in out.collect()) == [(1, 3, "x", True), (2, 5, "y", True)]
+
+
+def test_lattices_are_folded_without_grouping_their_edges(spark, pieces, monkeypatch):
+    """Many units at a time, also where batches part them; nothing is shuffled or sorted behind the join."""
+    rng = random.Random(7)
+    words = [*{"".join(rng.choice(["th", "e", "ing", "ö", "漢", "z", "."]) for _ in range(rng.randint(1, 40))) for _ in range(300)}, "a"]
+    df = spark.createDataFrame([(i, w, i + 1) for i, w in enumerate(words)], "uid bigint, unit string, times bigint")
+    monkeypatch.setattr(sp, "_EDGES", 500)
+    known = spark.sparkContext.broadcast(pieces)
+    frame = sp.encode_units(df, pieces, known)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortMergeJoin" not in plan
+    got = {r.unit: (r.times, r.ids) for r in frame.collect()}
+    assert got == {w: (i + 1, sp.cheapest(w, pieces)) for i, w in enumerate(words)}
+
+
+def test_of_equal_costs_the_earlier_start_wins():
+    edges = [(1, 0, 1), (2, 0, 4), (2, 1, 1), (3, 0, 9), (3, 1, 4), (3, 2, 1)]  # aaa: 1+1+1, 2+1 and 1+2 cost the same
+    edge = np.array([e << 48 | s << 32 | p for e, s, p in edges] * 2, np.int64)
+    size, ids = sp.cheapest_paths(np.repeat([5, 9], len(edges)), edge, np.array([9, 1.0, 0, 0, 2.0, 0, 0, 0, 0, 5.0]))
+    assert size.tolist() == [2, 2] and ids.tolist() == [0, 3, 0, 3]
+
+
+def test_lists_of_strings_equal_those_of_pylist():
+    from leadlens.llm.common import values
+
+    for a in (pa.array(["a", "é", ""]), pa.array([b"\xff", b""], pa.large_binary()), pa.array([3, 4]), pa.array([], pa.string())):
+        assert values(a) == a.to_pylist()
