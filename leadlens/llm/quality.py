@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_position, give_back, private_names, small_batches, tidy
+from .common import by_position, give_back, private_names, small_batches, tidy, values
 
 _CORE = re.compile(r"[^\W\d_]+")
 _SLOTS = 1 << 20
@@ -53,7 +53,7 @@ def tokens(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct tokens, code of each token, documents' ends): white-space separated, lower case."""
     cut = [t.lower().split() if t else [] for t in texts]
     coded = pa.array([w for c in cut for w in c], pa.string()).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.cumsum([len(c) for c in cut])
+    return values(coded.dictionary), coded.indices.to_numpy().astype(np.int64), np.cumsum([len(c) for c in cut])
 
 
 def layout(text: str | None, codes: np.ndarray) -> list[float]:
