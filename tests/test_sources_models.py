@@ -114,6 +114,19 @@ def test_training_rows_are_dealt_out_evenly(spark):
     assert trees.dealt(df, ["a", "b"], "y").rdd.getNumPartitions() == 1
 
 
+def test_search_keeps_the_nodes_of_its_rows(spark):
+    """The same forests as without, though no pass walks the trees again."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    df = spark.range(400).selectExpr("double(hash(id) % 97) a", "double(id % 7) b", "double(hash(id, 1) % 31) y")
+    cv, drawn = trees.random_search(df, ["a", "b"], "y", n_iter=2, folds=2, max_trees=10)
+    assert cv.bestModel.getCacheNodeIds()
+    d = drawn[max(range(2), key=lambda i: cv.avgMetrics[i])]
+    plain = RandomForestRegressor(labelCol="y", seed=0, numTrees=d["trees"], featureSubsetStrategy=d["subset"], maxDepth=d["used_depth"],
+                                  minInstancesPerNode=d["used_min_instances"], bootstrap=d["bootstrap"])
+    assert plain.fit(trees.dealt(df, ["a", "b"], "y")).toDebugString.split("\n")[1:] == cv.bestModel.toDebugString.split("\n")[1:]
+
+
 def test_only_the_models_asked_for_are_fitted(spark, monkeypatch):
     from leadlens.plans import q_model, shared
 
