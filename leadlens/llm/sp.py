@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_and_read
-from .common import by_position, filesystem, give_back, private_names, shared_folder, small_batches, tidy, values
+from .common import by_position, filesystem, give_back, private_names, shared_folder, slices, small_batches, tidy, values
 
 SPACE = " "
 _MODEL_SPACE = "▁"
@@ -155,8 +155,8 @@ def _count(docs: DataFrame, text: str, known) -> DataFrame:
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a in range(0, whole.num_rows, 1000):
-                words, codes, _ = segments(whole.slice(a, 1000).column(0), known.value.whole)
+            for b in slices(whole, 0):
+                words, codes, _ = segments(b.column(0), known.value.whole)
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(np.bincount(codes, minlength=len(words)))], names=["segment", "times"])
                 give_back()
 
@@ -435,8 +435,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "ids
         pieces = known.value
         shared = Shared.of(*index)
         for whole in batches:
-            for a in range(0, whole.num_rows, 1000):
-                b = whole.slice(a, 1000)
+            for b in slices(whole, at):
                 words, codes, ends = segments(b.column(at), pieces.whole)
                 cut = [pieces.cut(SPACE + w) for w in words]
                 coded = pa.array([u for c in cut for u in c], pa.string()).dictionary_encode()

@@ -10,7 +10,7 @@ import pytest
 
 from leadlens.llm import queries as Q
 from leadlens.llm import sp
-from leadlens.llm.common import table
+from leadlens.llm.common import slices, table
 from tests.conftest import SF_SMALL
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -143,3 +143,26 @@ def test_lists_of_strings_equal_those_of_pylist():
 
     for a in (pa.array(["a", "é", ""]), pa.array([b"\xff", b""], pa.large_binary()), pa.array([3, 4]), pa.array([], pa.string())):
         assert values(a) == a.to_pylist()
+
+
+def test_long_texts_are_encoded_a_bounded_number_of_bytes_at_a_time(spark):
+    rows = [(i, f"text {i} " * 12_000) for i in range(12)] + [(90, None), (91, ""), (92, "y " * 400_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+
+    def held(b, pieces):
+        sizes = [len(t or "") for t in b.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([sum(sizes)] * len(sizes)), pa.array([len(sizes)] * len(sizes))], names=["doc_id", "bytes", "n"])
+
+    out = sp.encode(docs, PATH, finish=held, schema="doc_id bigint, bytes bigint, n bigint").collect()
+    assert sorted(r.doc_id for r in out) == sorted(i for i, _ in rows)
+    assert all(r.bytes <= 1 << 19 or r.n == 1 for r in out)
+
+
+def test_slices_keep_rows_in_order():
+    rng = random.Random(4)
+    texts = [rng.choice([None, "", "é" * rng.randrange(40)]) for _ in range(300)]
+    b = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts, pa.string())], names=["i", "text"])
+    parts = list(slices(b.slice(7), 1, rows=20, size=100))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(7, 300))
+    assert all(p.num_rows <= 20 and (p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= 100) for p in parts)
+    assert not list(slices(b.slice(300), 1))
