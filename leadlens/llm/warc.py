@@ -9,7 +9,8 @@ read only the blocks they need; captures found are then read by byte range from
 
 Files are written by tasks under names that no other attempt uses, and only names that a
 committed manifest table holds are ever read, so a retried or speculative task does no harm.
-Memory per task: one Arrow batch of pages, or one block.
+Memory per task: one Arrow batch of pages, or one block; what is made of pages and records is
+handled by at most BATCH_BYTES of payload at a time, or by one larger payload.
 """
 
 from __future__ import annotations
@@ -30,12 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import write_and_read
-from .common import filesystem, shared_folder
+from .common import filesystem, shared_folder, slices, small_batches, tidy
+from .graph import small
 
 CAPTURE = "key string, url string, page_id bigint, record_type string, archive string, offset bigint, length bigint"
 RECORD = ("page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
           "refers_to bigint, payload binary")
 _DATE = "1970-01-01T00:00:00Z"
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 20
 
 
 def url_key(url: str | None) -> str:
@@ -102,16 +105,17 @@ def parse(raw: bytes) -> dict:
     return out | {"payload": payload}
 
 
-def roles(pages: DataFrame, min_revisit_bytes: int = 1000) -> DataFrame:
+def roles(pages: DataFrame, min_revisit_bytes: int = 1000, broadcast_rows: int = 100_000) -> DataFrame:
     """page_id, url, payload, digest, refers_to. Of equal payloads of at least
     ``min_revisit_bytes``, the rows of the largest page_id are responses (all of them, should
     that id be repeated), rows of other or null ids revisit it; if all ids are null, all are
-    responses. The join moves no payload unless the repeated digests outgrow a broadcast."""
+    responses. The join moves no payload unless the repeated digests outgrow ``broadcast_rows``."""
     base = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     base = base.withColumn("digest", F.sha1("payload")).withColumn("size", F.length("payload"))
     heads = (base.where(F.col("size") >= min_revisit_bytes).groupBy("digest")
              .agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("n"))
              .where((F.col("n") > 1) & F.col("head").isNotNull()).select("digest", "head"))
+    heads = small(write_and_read(heads, "repeated-digests"), broadcast_rows)
     other = ~F.col("page_id").eqNullSafe(F.col("head")) & F.col("head").isNotNull()
     return base.join(heads, "digest", "left").select(
         "page_id", "url", "payload", "digest", F.when(other, F.col("head")).alias("refers_to"))
@@ -121,11 +125,12 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 1000,
                    max_archive_bytes: int = 1_000_000_000, level: int = 6) -> DataFrame:
     """Write every row of ``pages`` (page_id, url, html) as a WARC record below ``folder``;
     returns the committed table of captures (CAPTURE)."""
+    small_batches(pages.sparkSession, BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         out, name, offset = None, "", 0
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2, BATCH_ROWS, BATCH_BYTES)):
             rows: list[tuple] = []
             for page_id, url, payload, digest, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if out is None or offset >= max_archive_bytes:
@@ -141,7 +146,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 1000,
         if out is not None:
             out.close()
 
-    return write_and_read(roles(pages, min_revisit_bytes).mapInArrow(run, CAPTURE), "captures")
+    return write_and_read(roles(pages, min_revisit_bytes).mapInArrow(tidy(run), CAPTURE), "captures")
 
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
@@ -189,7 +194,7 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = 3000) -> Da
     order = ["key", "page_id", "archive", "offset"]
     columns = [x.strip().split(" ")[0] for x in CAPTURE.split(",")]
     dealt = captures.select(columns).repartitionByRange(*order).sortWithinPartitions(*order)
-    return write_and_read(dealt.mapInArrow(run, shard_ddl), "index-shards")
+    return write_and_read(dealt.mapInArrow(tidy(run), shard_ddl), "index-shards")
 
 
 class Shard:
@@ -247,21 +252,23 @@ def lookup(urls: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
         for b in batches:
             yield _batch([(u, url_key(u)) for u in b.column(0).to_pylist()], "url string, key string")
 
-    wanted = urls.select("url").distinct().mapInArrow(keyed, "url string, key string")
-    return wanted.repartitionByRange("key", "url").sortWithinPartitions("key", "url").mapInArrow(run, CAPTURE)
+    wanted = urls.select("url").distinct().mapInArrow(tidy(keyed), "url string, key string")
+    return wanted.repartitionByRange("key", "url").sortWithinPartitions("key", "url").mapInArrow(tidy(run), CAPTURE)
 
 
-def read_records(captures: DataFrame, folder: str, gap: int = 0, span: int = 8_000_000, task_bytes: int = 16_000_000) -> DataFrame:
+def read_records(captures: DataFrame, folder: str, gap: int = 0, span: int = 1_000_000, task_bytes: int = 16_000_000) -> DataFrame:
     """The records of captures (RECORD), by range reads; neighbours in an archive at most
-    ``gap`` bytes apart share one read of at most ``span`` bytes. The captures are written to the
+    ``gap`` bytes apart share one read of at most ``span`` bytes, unpacked record by record. The captures are written to the
     shared folder and dealt out to a task for about every ``task_bytes`` of records, not of pointers."""
     captures = write_and_read(captures.select("archive", "offset", "length"), "wanted-captures")
     total = captures.agg(F.sum("length")).first()[0] or 0
     tasks = min(100_000, int(total // task_bytes) + 1)
+    fields = [f.strip().split(" ")[0] for f in RECORD.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         at, file = "", None
+        rows, size = [], 0
         for b in batches:
             names, offsets, lengths = (c.to_pylist() for c in b.columns)
             i = 0
@@ -276,12 +283,19 @@ def read_records(captures: DataFrame, folder: str, gap: int = 0, span: int = 8_0
                     at, file = names[i], fs.open_input_file(f"{root}/{names[i]}")
                 data = file.read_at(end - offsets[i], offsets[i])
                 base = offsets[i]
-                found = [parse(gzip.decompress(data[offsets[k] - base : offsets[k] - base + lengths[k]])) for k in range(i, j)]
-                yield _batch([tuple(x[f.strip().split(" ")[0]] for f in RECORD.split(",")) for x in found], RECORD)
+                for k in range(i, j):
+                    x = parse(gzip.decompress(data[offsets[k] - base : offsets[k] - base + lengths[k]]))
+                    rows.append(tuple(x[f] for f in fields))
+                    size += len(x["payload"] or b"")
+                    if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield _batch(rows, RECORD)
+                        rows, size = [], 0
                 i = j
+        if rows:
+            yield _batch(rows, RECORD)
 
     order = ["archive", "offset"]
-    return captures.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(run, RECORD)
+    return captures.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(tidy(run), RECORD)
 
 
 def round_trip(pages: DataFrame, block_lines: int = 3000, min_revisit_bytes: int = 1000) -> DataFrame:

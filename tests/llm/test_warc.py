@@ -73,3 +73,26 @@ def test_target_uri_stands_bare_and_any_url_comes_back():
         assert url is None or " " in url or "\n" in url or not url or f"\r\nWARC-Target-URI: {url}\r\n".encode() in raw
     ids = {warc.record(1, "u", p, hashlib.sha1(p).hexdigest(), None).split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0] for p in (b"a", b"b")}
     assert len(ids) == 2
+
+
+def test_payloads_pass_by_bounded_batches(spark, monkeypatch, tmp_path):
+    """A batch of large pages is not held whole, packed or unpacked: no step of it exceeds BATCH_BYTES."""
+    sizes = str(tmp_path / "sizes")
+    batch = warc._batch
+
+    def noted(rows, ddl):
+        if ddl == warc.RECORD:
+            with open(sizes, "a") as f:
+                f.write(f"{len(rows)} {sum(len(r[-1] or b'') for r in rows)}\n")
+        return batch(rows, ddl)
+
+    monkeypatch.setattr(warc, "_batch", noted)
+    rows = [(i, f"http://a.b/{i}", f"{i:06d}" + "x" * 200_000) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    folder = shared_folder(spark, "warc-test")
+    captures = warc.write_archives(df, folder)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    got = warc.read_records(captures, folder).where("record_type = 'response' AND octet_length(payload) = payload_bytes")
+    assert got.count() == 60
+    made = [line.split() for line in open(sizes)]
+    assert sum(int(n) for n, _ in made) == 60 and max(int(size) for _, size in made) <= warc.BATCH_BYTES + 200_006
