@@ -111,3 +111,22 @@ def test_remove_takes_any_column_names(spark):
     out = suffix.remove(df, 100)
     assert out.columns == df.columns
     assert sorted((tuple(r) for r in out.collect()), key=repr) == [(1, "Start ", 1, 2, 3, "x"), (2, " end", 4, 5, 6, "y"), (None, None, 7, 8, 9, "z")]
+
+
+def test_runs_of_a_repeated_line_are_one_row_of_a_text(spark, monkeypatch):
+    """A line that texts repeat many times meets others as one row a text, not one an occurrence."""
+    rng = np.random.default_rng(5)
+    line = bytes(rng.integers(97, 123, 90, np.uint8)).decode()
+    docs = [(i, line * 40 + f" {i} " + bytes(rng.integers(97, 123, 60, np.uint8)).decode()) for i in range(12)]
+    kept, write = {}, suffix.write_and_read
+    monkeypatch.setattr(suffix, "write_and_read", lambda df, tag: kept.setdefault(tag, write(df, tag)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    _, spans = suffix.repeats(df, 64)
+    got = {r.first_id: [(x.a, x.b) for x in r.spans] for r in spans.collect()}
+    want = {}
+    for (i, _), (_, mask) in zip(docs, covered([t for _, t in docs], 64), strict=True):
+        firsts, lasts = suffix._spans(mask)
+        want[i] = [(a, b + 1) for a, b in zip(firsts, lasts, strict=True)]
+    assert got == {i: w for i, w in want.items() if w}
+    met = kept["met-runs"]
+    assert met.count() <= 12 * 8 and met.groupBy("class", "anchor", "ctx", "n", "off").count().where("count > 1").count() == 0
