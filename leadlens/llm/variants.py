@@ -76,6 +76,12 @@ def word_counts(docs: DataFrame, least_chars: int = 6, least_count: int = 5, sli
 TILE = ["s", "left", "half", "i", "j"]
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked for a join by a shuffle. Spark would broadcast it by the size of its files, which
+    hold many times as many rows as the driver can, and which an explode behind them does not raise."""
+    return df.hint("merge")
+
+
 def _tiles(words: DataFrame, least_chars: int) -> DataFrame:
     """(s, left, half, i, j, block, word, n): the words of each tile. ``s`` is the shorter length of
     the pairs that meet there, ``half`` a hash of the first or last s // 2 code points. Dealt out by
@@ -92,7 +98,7 @@ def _tiles(words: DataFrame, least_chars: int) -> DataFrame:
     sizes = write_and_read(sizes.where("size > 1 AND shortest = s").drop("shortest"), "variant-buckets")
     blocks = F.ceil(F.col("size") / F.greatest(F.lit(16), F.least(F.lit(BLOCK_WORDS), F.floor(F.lit(BLOCK_CELLS) / F.col("s"))))).cast("int")
     big = sizes.withColumn("blocks", blocks).where("blocks > 1").drop("size")
-    met = met.join(sizes.drop("size"), bucket, "left_semi").join(small(big, 100_000), bucket, "left")
+    met = met.join(shuffled(sizes.drop("size")), bucket, "left_semi").join(small(big, 100_000), bucket, "left")
     met = met.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = met.withColumn("other", other)
@@ -221,7 +227,7 @@ def _roots(forms: DataFrame, salts: int = 16) -> DataFrame:
     reach = write_and_read(forms.select("word", F.col("form").alias("root")), "variant-roots")
     while True:
         further = reach.select(F.col("word").alias("root"), F.col("root").alias("next"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-        step = reach.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(salts)).cast("int")).join(further, ["root", "salt"], "left")
+        step = reach.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(salts)).cast("int")).join(shuffled(further), ["root", "salt"], "left")
         step = write_and_read(step.select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "variant-roots")
         if step.where("moved").isEmpty():
             return step.select("word", "root")
@@ -238,7 +244,7 @@ def group_variants(words: DataFrame, least_chars: int = 6, times: int = 5) -> Da
     all_words = write_and_read(near.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
                                            F.when(is_form, F.col("form")).alias("form"), F.when(is_form, F.col("form_n")).alias("form_n")), "variant-forms")
     roots = _roots(all_words.where("form IS NOT NULL"))
-    return all_words.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return all_words.join(shuffled(roots), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -113,6 +113,27 @@ def test_counts_in_small_portions(spark, monkeypatch):
     assert got == counts([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_joins_are_shuffled(spark):
+    """However few bytes their files take: neither the roots, sixteen times exploded, nor the buckets
+    go through the driver."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+    words = variants.write_and_read(spark.createDataFrame(list(random_words(3, 300).items()), "word string, n long"), "t")
+    assert "BroadcastHashJoin LeftSemi" not in (tiles := plan(variants._tiles(words, 6))) and "SortMergeJoin" in tiles
+    steps, write = [], variants.write_and_read
+
+    def kept(df, tag):
+        steps.append((tag, plan(df)))
+        return write(df, tag)
+
+    variants.write_and_read = kept
+    try:
+        out = variants.group_variants(words)
+    finally:
+        variants.write_and_read = write
+    roots = [p for tag, p in steps if tag == "variant-roots" and "Join" in p]
+    assert roots and all("BroadcastHashJoin" not in p and "SortMergeJoin" in p for p in [*roots, plan(out)])
+
+
 def test_empty(spark):
     assert rows(variants.digest(spark.createDataFrame([], "doc_id bigint, text string"))) == []
     assert group(spark, {"lonely": 9}) == [("lonely", None, "lonely", 9, 0, None)]
